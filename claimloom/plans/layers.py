@@ -19,7 +19,7 @@ from claimloom.operators.quality import RuleOutcome, apply_rules
 from claimloom.plans import gold
 from claimloom.plans.conform import conform
 from claimloom.sources import driver_tables
-from claimloom.sources.config import Config, load_config
+from claimloom.sources.config import Config, load_config, references_of
 from claimloom.sources.tables import stage
 
 CONFIG = Path(__file__).parents[2] / "config" / "claims.json"
@@ -34,7 +34,7 @@ class Layers:
     def __init__(self, spark: SparkSession, folder: str, config: Config):
         self.spark = spark
         self.config = config
-        self.extracts = driver_tables.extracts(spark, folder)
+        self._extracts = driver_tables.extracts(spark, folder)
         self._place = f"{spark.sparkContext.applicationId}-{sha256(folder.encode()).hexdigest()[:12]}"
         self._stored: dict[str, DataFrame] = {}
 
@@ -46,17 +46,22 @@ class Layers:
     def _sorted(self, name: str) -> Store:
         return lambda df: self._store(f"sorted/{name}", lambda: df)
 
-    def extract(self, name: str) -> DataFrame:
-        return self.extracts[name]()
+    def bronze(self, name: str) -> DataFrame:
+        """Raw rows of one dataset, as derived from the driver's tables."""
+        return self._store(f"bronze/{name}", self._extracts[name])
 
-    def outcome(self, name: str) -> RuleOutcome:
-        """Rules of one dataset, from its raw rows and stored clean keys."""
+    def outcome(self, name: str, rule: int | None = None) -> RuleOutcome:
+        """All rules of one dataset, or just one, on its bronze rows.
+
+        References are the stored clean keys of other datasets.
+        """
         ds = self.config.datasets[name]
+        rules = ds.rules if rule is None else ds.rules[rule : rule + 1]
         keys = {
             other: self.stored_outcome(other).clean.select(self.config.datasets[other].key)
-            for other in sorted(ds.references)
+            for other in sorted(references_of(rules))
         }
-        return apply_rules(self.extract(name), name, ds.rules, keys, [driver_tables.ORDER])
+        return apply_rules(self.bronze(name), name, rules, keys, [driver_tables.ORDER])
 
     def stored_outcome(self, name: str) -> RuleOutcome:
         if f"checked/{name}" not in self._stored:
@@ -64,7 +69,7 @@ class Layers:
             self._store(f"checked/{name}", lambda: outcome.checked)
         ds = self.config.datasets[name]
         stored = self._stored[f"checked/{name}"]
-        columns = tuple(c for c in self.extract(name).columns if c != driver_tables.ORDER)
+        columns = tuple(c for c in self.bronze(name).columns if c != driver_tables.ORDER)
         return RuleOutcome(stored, name, ds.rules, columns)
 
     def silver(self, name: str) -> DataFrame:

@@ -21,19 +21,17 @@ def _failing_rows(built: Layers, rule_type: str) -> DataFrame:
     found = []
     for name in built.config.order:
         ds = built.config.datasets[name]
-        places = [i for i, rule in enumerate(ds.rules) if rule.type == rule_type]
-        if not places:
-            continue
-        outcome = built.outcome(name)
-        for i in places:
-            found.append(
-                outcome.failing(i).select(
-                    F.lit(name).alias("dataset"),
-                    F.lit(ds.rules[i].label).alias("rule_column"),
-                    F.col(ds.key).alias("row_key"),
-                    F.col(ORDER).alias("row_order"),
+        for i, rule in enumerate(ds.rules):
+            if rule.type == rule_type:
+                failing = built.outcome(name, i).failing(0)
+                found.append(
+                    failing.select(
+                        F.lit(name).alias("dataset"),
+                        F.lit(rule.label).alias("rule_column"),
+                        F.col(ds.key).alias("row_key"),
+                        F.col(ORDER).alias("row_order"),
+                    )
                 )
-            )
     return reduce(DataFrame.unionByName, found)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from graphlib import CycleError, TopologicalSorter
 from pathlib import Path
@@ -12,6 +12,11 @@ from typing import Any
 from claimloom.operators.rules import Rule, rule_from_dict
 
 
+def references_of(rules: Sequence[Rule]) -> set[str]:
+    """Datasets whose keys the rules look into."""
+    return {r.args["reference"] for r in rules if r.type == "referential"}
+
+
 @dataclass(frozen=True)
 class Dataset:
     """One raw extract. ``key`` is the column other datasets refer to."""
@@ -25,7 +30,7 @@ class Dataset:
 
     @property
     def references(self) -> set[str]:
-        return {r.args["reference"] for r in self.rules if r.type == "referential"}
+        return references_of(self.rules)
 
 
 @dataclass(frozen=True)

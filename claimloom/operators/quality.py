@@ -12,6 +12,9 @@ from claimloom.operators.lookup import BROADCAST_ROWS, ROWS_PER_TASK
 from claimloom.operators.rules import RULE_TYPES, Rule, RuleInputs
 
 REASONS = "_dq_failures"
+REPORT_LINE = (
+    "array<struct<rule_type:string,column:string,description:string,rows_failed:bigint>>"
+)
 
 
 def _flag(i: int) -> str:
@@ -62,7 +65,7 @@ class RuleOutcome:
             )
             for i, rule in enumerate(self.rules)
         ]
-        each = counts.select("rows_checked", F.explode(F.array(*lines)).alias("line"))
+        each = counts.select("rows_checked", F.explode(F.array(*lines).cast(REPORT_LINE)).alias("line"))
         return each.select(
             F.lit(self.dataset).alias("dataset"),
             "line.rule_type",

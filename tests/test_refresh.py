@@ -1,0 +1,233 @@
+"""A full run from CSV files to gold tables, compared with the DuckDB results."""
+
+import csv
+import datetime as dt
+import json
+from pathlib import Path
+
+import pytest
+from compare import duck, duck_bag, spark_bag
+from conftest import TABLES, TESTDATA
+from pyspark.sql import functions as F
+
+from claimloom.plans import checks
+from claimloom.plans.layers import AS_OF, CONFIG
+from claimloom.plans.refresh import build_silver, load_bronze, run_pipeline
+from claimloom.sources import driver_tables
+from claimloom.sources.config import config_from_dict, load_config
+from claimloom.sources.extracts import ROW_ORDER, read_extract
+from oracle import SQL
+
+FOLDER = TESTDATA / "sf0.001"
+STAMP = "2026-07-01T00:00:00+00:00"
+
+
+def write_csv(path, header, rows):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", newline="") as f:
+        out = csv.writer(f)
+        out.writerow(header)
+        out.writerows(rows)
+
+
+def config_for(folder, prefix, **changes):
+    declared = json.loads(CONFIG.read_text())
+    declared["paths"] = {k: f"{folder}/{k}" for k in declared["paths"]}
+    declared["database_prefix"] = prefix
+    declared.update(changes)
+    return config_from_dict(declared)
+
+
+@pytest.fixture(scope="module")
+def run(spark, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("run")
+    config = config_for(folder, "e2e_")
+    for name, extract in driver_tables.extracts(spark, str(FOLDER)).items():
+        df = extract().orderBy(driver_tables.ORDER)
+        columns = [c for c in df.columns if c != driver_tables.ORDER]
+        path = Path(config.raw_zone) / config.datasets[name].file
+        write_csv(path, columns, [tuple(r) for r in df.select(*columns).collect()])
+    kpis = run_pipeline(spark, config, as_of=AS_OF, batch_ts=STAMP)
+    return config, kpis
+
+
+def table(spark, config, layer, name):
+    return spark.table(f"{config.database(layer)}.{name}")
+
+
+def quarantine(spark, config, name):
+    path = f"{config.quarantine_zone}/{name}_quarantine.csv"
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
+@pytest.mark.parametrize(
+    "layer,name,query",
+    [
+        ("silver", "members", "conform_members"),
+        ("silver", "claims", "conform_claims"),
+        ("gold", "dim_member", "dim_member"),
+        ("gold", "dim_provider", "dim_provider"),
+        ("gold", "fact_claims", "fact_claims"),
+        ("gold", "mart_monthly_kpis", "mart_monthly_kpis"),
+        ("gold", "mart_specialty_costs", "mart_specialty_costs"),
+        ("gold", "mart_member_utilisation", "mart_member_utilisation"),
+        ("audit", "dq_report", "dq_report"),
+    ],
+)
+def test_tables_equal_the_sql(spark, run, layer, name, query):
+    found = table(spark, run[0], layer, name).drop("_loaded_at", "_source_file")
+    assert spark_bag(found) == duck_bag(duck(FOLDER, TABLES), SQL[query])
+
+
+def test_latest_kpis(spark, run):
+    assert spark_bag(run[1]) == duck_bag(duck(FOLDER, TABLES), SQL["q_latest_kpis"])
+    assert [r.month for r in run[1].collect()] == [f"2026-0{m}" for m in (6, 5, 4, 3, 2, 1)]
+
+
+def test_all_layers_exist(spark, run):
+    config = run[0]
+    names = checks.layer_tables(spark, [config.database(x) for x in ("bronze", "silver", "audit", "gold")])
+    expected = {
+        **{f"bronze.{n}": 1 for n in config.datasets},
+        **{f"silver.{n}": 1 for n in config.datasets},
+        "audit.dq_report": 1,
+        **{f"gold.{n}": 1 for n in ("dim_member", "dim_provider", "dim_date", "fact_claims")},
+        **{f"gold.mart_{n}": 1 for n in ("monthly_kpis", "specialty_costs", "member_utilisation")},
+    }
+    assert names == {f"e2e_{n}" for n in expected}
+
+
+def test_bronze_has_every_line_and_load_metadata(spark, run):
+    bronze = table(spark, run[0], "bronze", "claims")
+    lines = (Path(run[0].raw_zone) / "claims.csv").read_text().splitlines()
+    assert bronze.count() == len(lines) - 1
+    stamps = bronze.select("_loaded_at", "_source_file").distinct().collect()
+    assert [tuple(r) for r in stamps] == [(STAMP, "claims.csv")]
+    assert dict(bronze.dtypes)["service_date"] == "string"
+    assert dict(bronze.dtypes)["billed_amount_eur"] == "double"
+
+
+def test_nothing_is_lost(spark, run):
+    for name in run[0].datasets:
+        kept = table(spark, run[0], "silver", name).count()
+        assert kept + quarantine(spark, run[0], name).count() == table(spark, run[0], "bronze", name).count()
+
+
+def test_invariants(spark, run):
+    config = run[0]
+    claims = table(spark, config, "silver", "claims")
+    fact = table(spark, config, "gold", "fact_claims")
+    members = table(spark, config, "gold", "dim_member")
+    kpis = table(spark, config, "gold", "mart_monthly_kpis")
+    assert checks.duplicate_keys(claims).first()[0] == 0
+    assert checks.negative_amounts(claims).first()[0] == 0
+    assert checks.orphan_facts(fact, members).first()[0] == 0
+    assert checks.failures_recorded(table(spark, config, "audit", "dq_report")).first()[1]
+    low, high = checks.rate_bounds(kpis).first()
+    assert 0 <= low <= high <= 100
+    keys = members.agg(F.min("member_key"), F.max("member_key"), F.count_distinct("member_key")).first()
+    assert tuple(keys) == (1, members.count(), members.count())
+    total = kpis.agg(F.sum("total_approved_eur")).first()[0]
+    assert total == pytest.approx(fact.agg(F.sum("approved_amount_eur")).first()[0], abs=0.01)
+    assert fact.count() == claims.count() == kpis.agg(F.sum("total_claims")).first()[0]
+
+
+def test_calendar(spark, run):
+    days = table(spark, run[0], "gold", "dim_date")
+    assert days.count() == 1096
+    row = days.where("date_key = 20240229").first()
+    assert tuple(row) == (20240229, dt.date(2024, 2, 29), 2024, 1, 2, "2024-02", 4, False)
+    span = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(1096)]
+    weekend = {d for d in span if d.isoweekday() >= 6}
+    assert {r.full_date for r in days.where("is_weekend").collect()} == weekend
+
+
+def test_second_run_leaves_no_stale_rows(spark, tmp_path):
+    config = config_for(tmp_path, "again_")
+    header = ["member_id", "first_name", "last_name", "date_of_birth", "county", "plan_type",
+              "enrolment_date", "monthly_premium_eur"]
+    good = ("MBR000001", "A", "B", "1980-05-05", "Cork", "gold plan", "2020-01-01", "10.5")
+    bad = ("MBX000002", "A", "B", "1980-05-05", "NA", "Gold", "2020-01-01", "10.5")
+    write_csv(tmp_path / "raw_zone/providers.csv",
+              ["provider_id", "provider_name", "specialty", "county", "network_status"],
+              [("PRV0001", 'The "Old" Clinic, Cork', "ENT", "Cork", "IN_NETWORK")])
+    write_csv(tmp_path / "raw_zone/claims.csv",
+              ["claim_id", "member_id", "provider_id", "procedure_code", "service_date",
+               "submitted_date", "billed_amount_eur", "approved_amount_eur", "claim_status"],
+              [("CLM1", "MBR000001", "PRV0001", "PRC1", "2025-01-01", "2025-01-03", "10", "5", "APPROVED"),
+               ("CLM2", "MBX000002", "PRV0001", "PRC1", "2025-01-01", "2025-01-03", "10", "5", "APPROVED")])
+    members = tmp_path / "raw_zone/members.csv"
+
+    write_csv(members, header, [good, bad])
+    run_pipeline(spark, config)
+    (row,) = quarantine(spark, config, "members").collect()
+    assert row._dq_failures == "not_null:county;regex_match:member_id;"
+    # The claim of the quarantined member falls with it.
+    (row,) = quarantine(spark, config, "claims").collect()
+    assert (row.claim_id, row._dq_failures) == ("CLM2", "referential:member_id;")
+    assert table(spark, config, "silver", "members").first().plan_type == "Gold Plan"
+    assert table(spark, config, "silver", "providers").first().provider_name == 'The "Old" Clinic, Cork'
+
+    write_csv(members, header, [good, (*bad[:0], "MBR000002", *bad[1:4], "Cork", *bad[5:])])
+    run_pipeline(spark, config)
+    assert quarantine(spark, config, "members").count() == 0
+    assert table(spark, config, "silver", "members").count() == 2
+    assert [r.claim_id for r in quarantine(spark, config, "claims").collect()] == ["CLM2"]
+
+
+def test_a_bad_date_stops_the_run(spark, tmp_path):
+    config = config_for(tmp_path, "bad_date_")
+    write_csv(tmp_path / "raw_zone/members.csv",
+              ["member_id", "county", "plan_type", "date_of_birth", "enrolment_date", "monthly_premium_eur"],
+              [("MBR000001", "Cork", "Gold", "someday", "2020-01-01", "1")])
+    only = config_for(tmp_path, "bad_date_", datasets={"members": {
+        "file": "members.csv", "rules": [{"type": "unique", "column": "member_id"}]}})
+    with pytest.raises(Exception, match="not a date: someday"):
+        build_silver(spark, only, load_bronze(spark, only, STAMP))
+    assert config.order[-1] == "claims"
+
+
+def test_extract_goes_by_header_and_knows_missing_values(spark, tmp_path):
+    write_csv(tmp_path / "x.csv", ["b", "a"], [("1.5", "NA"), ("n/a", "x"), ("much", "")])
+    df = read_extract(spark, str(tmp_path / "x.csv"), STAMP, {"b": "double"})
+    assert [tuple(r) for r in df.select("a", "b").collect()] == [(None, 1.5), ("x", None), (None, None)]
+    with pytest.raises(ValueError, match="no column c"):
+        read_extract(spark, str(tmp_path / "x.csv"), STAMP, {"c": "double"})
+
+
+def test_extract_with_line_breaks_in_quotes(spark, tmp_path):
+    write_csv(tmp_path / "x.csv", ["a", "b"], [("one\ntwo", 'say "hi"'), ("z", "")])
+    df = read_extract(spark, str(tmp_path / "x.csv"), STAMP, multi_line=True)
+    assert [tuple(r) for r in df.select("a", "b").collect()] == [("one\ntwo", 'say "hi"'), ("z", None)]
+
+
+def test_row_order_is_line_order_over_files_and_splits(spark, tmp_path):
+    for f in range(3):
+        write_csv(tmp_path / f"x/part{f}.csv", ["n"], [(f * 1000 + i,) for i in range(1000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        df = read_extract(spark, str(tmp_path / "x"), STAMP, {"n": "int"})
+        assert df.rdd.getNumPartitions() > 6
+        found = [r.n for r in df.orderBy(*ROW_ORDER).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == list(range(3000))
+
+
+def test_config_mistakes(tmp_path):
+    def two(a_refs, b_refs):
+        rule = lambda to: [{"type": "referential", "column": "x", "reference": to}] if to else []
+        return config_for(tmp_path, "", datasets={"as": {"file": "a", "rules": rule(a_refs)},
+                                                  "bs": {"file": "b", "rules": rule(b_refs)}})
+
+    assert two("bs", None).order == ["bs", "as"]
+    assert two("bs", None).datasets["as"].key == "a_id"
+    with pytest.raises(ValueError, match="each other"):
+        two("bs", "as")
+    with pytest.raises(ValueError, match="unknown datasets"):
+        two("cs", None)
+
+
+def test_yaml_config_equals_json():
+    pytest.importorskip("yaml")
+    assert load_config(Path(__file__).parent / "claims.yaml") == load_config(CONFIG)

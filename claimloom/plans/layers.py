@@ -9,12 +9,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from functools import lru_cache
-from hashlib import sha256
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.operators.dense_key import Store
+from claimloom.operators.lookup import BROADCAST_ROWS, ROWS_PER_TASK
 from claimloom.operators.quality import RuleOutcome, apply_rules
 from claimloom.plans import gold
 from claimloom.plans.conform import conform
@@ -31,11 +32,20 @@ AS_OF = dt.date(2026, 7, 1)
 class Layers:
     """Lazy frames by name. ``stored`` ones are written on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str, config: Config):
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        config: Config,
+        rows_per_task: int = ROWS_PER_TASK,
+        broadcast_rows: int = BROADCAST_ROWS,
+    ):
         self.spark = spark
+        self._limits = {"rows_per_task": rows_per_task, "broadcast_rows": broadcast_rows}
         self.config = config
         self._extracts = driver_tables.extracts(spark, folder)
-        self._place = f"{spark.sparkContext.applicationId}-{sha256(folder.encode()).hexdigest()[:12]}"
+        # Of this object alone, as another one may still be read from.
+        self._place = str(uuid4())
         self._stored: dict[str, DataFrame] = {}
 
     def _store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -61,7 +71,8 @@ class Layers:
             other: self.stored_outcome(other).clean.select(self.config.datasets[other].key)
             for other in sorted(references_of(rules))
         }
-        return apply_rules(self.bronze(name), name, rules, keys, [driver_tables.ORDER])
+        order = [driver_tables.ORDER]
+        return apply_rules(self.bronze(name), name, rules, keys, order, **self._limits)
 
     def stored_outcome(self, name: str) -> RuleOutcome:
         if f"checked/{name}" not in self._stored:
@@ -92,7 +103,10 @@ class Layers:
 
     def fact(self) -> DataFrame:
         return gold.fact_claims(
-            self.silver("claims"), self.stored_dim_member(), self.stored_dim_provider()
+            self.silver("claims"),
+            self.stored_dim_member(),
+            self.stored_dim_provider(),
+            **self._limits,
         )
 
     def stored_fact(self) -> DataFrame:

@@ -91,14 +91,18 @@ def apply_rules(
     order_by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
     broadcast_rows: int = BROADCAST_ROWS,
+    earlier: DataFrame | None = None,
 ) -> RuleOutcome:
     """Check every rule on all rows of ``df``, whatever other rules say.
 
     So a copy is still a copy when the row it repeats fails elsewhere. The
     ``order_by`` columns give the input order; they are not part of the
-    clean and quarantined rows.
+    clean and quarantined rows. ``earlier`` rows count as occurrences for
+    ``unique`` and are not checked again.
     """
-    inputs = RuleInputs(df, references or {}, tuple(order_by), rows_per_task, broadcast_rows)
+    inputs = RuleInputs(
+        df, references or {}, tuple(order_by), rows_per_task, broadcast_rows, earlier
+    )
     unknown = [
         r.args["reference"]
         for r in rules

@@ -51,7 +51,8 @@ class RuleInputs:
     ``references`` maps a dataset name to its accepted keys, one column each;
     they are counted when the rule is built, so they should be stored.
     ``order_by`` names columns that put the rows in input order; they must
-    tell any two rows with the same key apart.
+    tell any two rows with the same key apart. ``earlier`` holds rows that
+    came before all of these, for a load in batches.
     """
 
     rows: DataFrame
@@ -59,6 +60,7 @@ class RuleInputs:
     order_by: Sequence[str]
     rows_per_task: int = ROWS_PER_TASK
     broadcast_rows: int = BROADCAST_ROWS
+    earlier: DataFrame | None = None
 
 
 Check = Callable[[DataFrame, Rule, RuleInputs, str], tuple[DataFrame, Column]]
@@ -129,7 +131,21 @@ def _unique(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     parts_of = parts_of_hot(sizes, name, inputs.rows_per_task, slot)
     repeated = sizes.where("n > 1").drop("n")
     found = salted_lookup(df, repeated, name, parts_of, spread_by=inputs.order_by)
-    return found, _decided(position > F.col(slot), when_null=False)
+    later_copy = _decided(position > F.col(slot), when_null=False)
+    if inputs.earlier is None:
+        return found, later_copy
+
+    # Only earlier keys that come up again are looked up, so what is joined
+    # to the rows does not grow with all that came before.
+    own = sizes.select(F.col(name).alias("_own_key"))
+    again = (
+        inputs.earlier.select(name)
+        .join(own, F.col(name).eqNullSafe(F.col("_own_key")), "left_semi")
+        .distinct()
+        .withColumn(f"{slot}_again", F.lit(True))
+    )
+    found = salted_lookup(found, again, name, parts_of, spread_by=inputs.order_by)
+    return found, later_copy | F.col(f"{slot}_again").isNotNull()
 
 
 def _referential(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):

@@ -12,7 +12,7 @@ from claimloom.operators.quality import RuleOutcome, apply_rules, union_reports
 from claimloom.plans import analytics, gold
 from claimloom.plans.conform import conform
 from claimloom.sources.config import Config
-from claimloom.sources.extracts import NUMBER_COLUMNS, ROW_ORDER, read_extract
+from claimloom.sources.extracts import ROW_ORDER, column_kinds, read_extract
 from claimloom.sources.tables import ensure_database, replace_csv, replace_table, stage
 
 
@@ -21,7 +21,7 @@ def load_bronze(spark: SparkSession, config: Config, batch_ts: str) -> dict[str,
     database = config.database("bronze")
     tables = {}
     for name, ds in config.datasets.items():
-        kinds = {**NUMBER_COLUMNS.get(name, {}), **ds.columns}
+        kinds = column_kinds(ds)
         path = f"{config.raw_zone}/{ds.file}"
         extract = read_extract(spark, path, batch_ts, kinds, ds.multi_line)
         tables[name] = replace_table(extract, database, name, config.warehouse)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.sources.config import Dataset
+
 #: Columns that put rows in input order; kept in bronze, dropped in silver.
 ROW_ORDER = ("_order_file", "_order_block", "_order_row")
 
@@ -23,36 +25,30 @@ NUMBER_COLUMNS = {
 }
 
 
+def column_kinds(ds: Dataset) -> dict[str, str]:
+    """Types of a dataset's columns other than text; declared ones win."""
+    return {**NUMBER_COLUMNS.get(ds.name, {}), **ds.columns}
+
+
 def _cell(name: str, kind: str | None) -> Column:
     quoted = F.col(f"`{name}`")
     value = F.when(~quoted.isin(*NULL_TOKENS), quoted)
     return (value.try_cast(kind) if kind else value).alias(name)
 
 
-def read_extract(
-    spark: SparkSession,
-    path: str,
-    batch_ts: str,
-    kinds: Mapping[str, str] | None = None,
-    multi_line: bool = False,
-) -> DataFrame:
-    """A CSV file or folder with header, as it is, plus load metadata.
+# Quotes inside quoted text are doubled; header names are checked per file.
+CSV_OPTIONS = {"header": True, "enforceSchema": False, "escape": '"'}
 
-    Columns go by header name and stay text unless ``kinds`` gives a type, so
-    dates are still text when the rules see them. ``multi_line`` allows line
-    breaks inside quotes, at the price of one task per file.
+
+def bronze_rows(lines: DataFrame, batch_ts: str, kinds: Mapping[str, str]) -> DataFrame:
+    """Cells of CSV ``lines`` with load metadata and row order.
+
+    ``lines`` has the text columns of the file and ``_metadata``.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    kinds = kinds or {}
-    missing = kinds.keys() - set(raw.columns)
+    columns = [c for c in lines.columns if c != "_metadata"]
+    missing = kinds.keys() - set(columns)
     if missing:
-        raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+        raise ValueError(f"extract has no column {', '.join(sorted(missing))}")
     # A file block is read by one task from front to back, so the row id is in
     # line order within a block, though not across blocks.
     order = (
@@ -60,9 +56,32 @@ def read_extract(
         F.col("_metadata.file_block_start"),
         F.monotonically_increasing_id(),
     )
-    return raw.select(
-        *[_cell(c, kinds.get(c)) for c in raw.columns],
+    return lines.select(
+        *[_cell(c, kinds.get(c)) for c in columns],
         F.lit(batch_ts).alias("_loaded_at"),
         F.col("_metadata.file_name").alias("_source_file"),
         *[column.alias(name) for column, name in zip(order, ROW_ORDER)],
     )
+
+
+def read_extract(
+    spark: SparkSession,
+    path: str,
+    batch_ts: str,
+    kinds: Mapping[str, str] | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """A CSV file or folder with header, as it is, plus load metadata.
+
+    Columns go by header name and stay text unless ``kinds`` gives a type, so
+    dates are still text when the rules see them. ``multi_line`` allows line
+    breaks inside quotes, at the price of one task per file.
+    """
+    lines = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
+    return bronze_rows(lines.select("*", "_metadata"), batch_ts, kinds or {})
+
+
+def stream_extract(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Lines of CSV files as they arrive in a folder, for ``bronze_rows``."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    return spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(path).select("*", "_metadata")

@@ -12,8 +12,10 @@ ROWS_PER_TASK = 1_000_000
 #: So many of the largest keys are spread; any other key holds less than
 #: 1/HOT_KEYS of the rows and is left to the adaptive skew split.
 HOT_KEYS = 256
-#: A table counted to have no more rows than this is broadcast.
-BROADCAST_ROWS = 1_000_000
+#: A table measured to be no larger than this is broadcast.
+BROADCAST_BYTES = 64 * 1024 * 1024
+#: What a broadcast row takes besides its texts, and a value that is no text.
+ROW_BYTES, VALUE_BYTES = 48, 16
 
 
 def parts_of_hot(sizes: DataFrame, key: str, rows_per_task: int, *ties: str) -> Column:
@@ -71,26 +73,35 @@ def broadcast_lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "le
     return rows.join(F.broadcast(renamed), matches, how).drop("_table_key")
 
 
+def measured_bytes(table: DataFrame) -> int:
+    """Size of all rows when broadcast, by one pass over the table."""
+    texts = {c for c, kind in table.dtypes if kind == "string"}
+    row = F.lit(ROW_BYTES + VALUE_BYTES * (len(table.columns) - len(texts))).cast("bigint")
+    for name in sorted(texts):
+        row = row + F.coalesce(F.octet_length(name), F.lit(0))
+    return table.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
+
+
 def lookup(
     rows: DataFrame,
     table: DataFrame,
     key: str,
-    table_rows: int,
     spread_by: Sequence[str],
     how: str = "left",
     *,
+    measured: DataFrame | None = None,
     counted_on: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``rows`` to ``table`` in the way its size calls for.
 
-    ``table_rows`` is a counted upper bound. A small table is broadcast and
-    nothing is shuffled; a larger one is joined by shuffle with the hot keys
-    spread. ``counted_on`` is a cheaper frame to find the hot keys in, with
-    the keys of ``rows`` or more.
+    The table, or a stored frame no smaller than it given as ``measured``, is
+    measured now. A small one is broadcast and nothing is shuffled; a larger
+    one is joined by shuffle with the hot keys spread. ``counted_on`` is a
+    cheaper frame to find the hot keys in, with the keys of ``rows`` or more.
     """
-    if table_rows <= broadcast_rows:
+    if measured_bytes(table if measured is None else measured) <= broadcast_bytes:
         return broadcast_lookup(rows, table, key, how)
     parts_of = hot_keys(rows if counted_on is None else counted_on, key, rows_per_task)
     return salted_lookup(rows, table, key, parts_of, spread_by, how)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.lookup import BROADCAST_ROWS, ROWS_PER_TASK
+from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK
 from claimloom.operators.rules import RULE_TYPES, Rule, RuleInputs
 
 REASONS = "_dq_failures"
@@ -90,7 +90,7 @@ def apply_rules(
     references: Mapping[str, DataFrame] | None = None,
     order_by: Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
     earlier: DataFrame | None = None,
 ) -> RuleOutcome:
     """Check every rule on all rows of ``df``, whatever other rules say.
@@ -101,7 +101,7 @@ def apply_rules(
     ``unique`` and are not checked again.
     """
     inputs = RuleInputs(
-        df, references or {}, tuple(order_by), rows_per_task, broadcast_rows, earlier
+        df, references or {}, tuple(order_by), rows_per_task, broadcast_bytes, earlier
     )
     unknown = [
         r.args["reference"]

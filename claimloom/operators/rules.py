@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from claimloom.functions.exprs import parse_timestamp
 from claimloom.operators.lookup import (
-    BROADCAST_ROWS,
+    BROADCAST_BYTES,
     ROWS_PER_TASK,
     lookup,
     parts_of_hot,
@@ -49,7 +49,7 @@ class RuleInputs:
     ``rows`` is the dataset as given, without what earlier rules looked up;
     counting on it keeps those joins out of the counting pass.
     ``references`` maps a dataset name to its accepted keys, one column each;
-    they are counted when the rule is built, so they should be stored.
+    they are measured when the rule is built, so they should be stored.
     ``order_by`` names columns that put the rows in input order; they must
     tell any two rows with the same key apart. ``earlier`` holds rows that
     came before all of these, for a load in batches.
@@ -59,7 +59,7 @@ class RuleInputs:
     references: Mapping[str, DataFrame]
     order_by: Sequence[str]
     rows_per_task: int = ROWS_PER_TASK
-    broadcast_rows: int = BROADCAST_ROWS
+    broadcast_bytes: int = BROADCAST_BYTES
     earlier: DataFrame | None = None
 
 
@@ -157,11 +157,11 @@ def _referential(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
         df,
         accepted.withColumn(slot, F.lit(True)),
         name,
-        keys.count(),
-        spread_by=inputs.order_by or inputs.rows.columns,
+            spread_by=inputs.order_by or inputs.rows.columns,
+        measured=keys,
         counted_on=inputs.rows,
         rows_per_task=inputs.rows_per_task,
-        broadcast_rows=inputs.broadcast_rows,
+        broadcast_bytes=inputs.broadcast_bytes,
     )
     return found, F.col(slot).isNull()
 

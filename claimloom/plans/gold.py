@@ -18,7 +18,7 @@ from claimloom.functions.exprs import (
     weekday_from_sunday,
 )
 from claimloom.operators.dense_key import Store, with_dense_key
-from claimloom.operators.lookup import BROADCAST_ROWS, ROWS_PER_TASK, lookup
+from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK, lookup
 
 # The calendar the monthly figures are limited to.
 CALENDAR_START = dt.date(2024, 1, 1)
@@ -117,12 +117,12 @@ def fact_claims(
     members: DataFrame,
     providers: DataFrame,
     rows_per_task: int = ROWS_PER_TASK,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """One row per silver claim, of any status, with the keys of its dimensions.
 
     Silver claims are unique by id, which is what spreads a hot dimension key.
-    The dimensions are counted here, so they should be stored.
+    The dimensions are measured here, so they should be stored.
     """
     keyed = claims
     for table, key, surrogate in (
@@ -134,11 +134,10 @@ def fact_claims(
             keyed,
             keys,
             key,
-            table.count(),
             ["claim_id"],
             "inner",
             rows_per_task=rows_per_task,
-            broadcast_rows=broadcast_rows,
+            broadcast_bytes=broadcast_bytes,
         )
     service, submitted = F.col("service_date"), F.col("submitted_date")
     return keyed.select(

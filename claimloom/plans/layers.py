@@ -15,13 +15,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from claimloom.operators.dense_key import Store
-from claimloom.operators.lookup import BROADCAST_ROWS, ROWS_PER_TASK
+from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK
 from claimloom.operators.quality import RuleOutcome, apply_rules
 from claimloom.plans import gold
 from claimloom.plans.conform import conform
 from claimloom.sources import driver_tables
 from claimloom.sources.config import Config, load_config, references_of
-from claimloom.sources.tables import stage
+from claimloom.sources.tables import Staging
 
 CONFIG = Path(__file__).parents[2] / "config" / "claims.json"
 
@@ -38,19 +38,19 @@ class Layers:
         folder: str,
         config: Config,
         rows_per_task: int = ROWS_PER_TASK,
-        broadcast_rows: int = BROADCAST_ROWS,
+        broadcast_bytes: int = BROADCAST_BYTES,
     ):
         self.spark = spark
-        self._limits = {"rows_per_task": rows_per_task, "broadcast_rows": broadcast_rows}
+        self._limits = {"rows_per_task": rows_per_task, "broadcast_bytes": broadcast_bytes}
         self.config = config
         self._extracts = driver_tables.extracts(spark, folder)
         # Of this object alone, as another one may still be read from.
-        self._place = str(uuid4())
+        self._staging = Staging(spark, str(uuid4()))
         self._stored: dict[str, DataFrame] = {}
 
     def _store(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._stored:
-            self._stored[name] = stage(build(), f"{self._place}/{name}")
+            self._stored[name] = self._staging.store(name, build())
         return self._stored[name]
 
     def _sorted(self, name: str) -> Store:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,13 @@ from claimloom.plans import analytics, gold
 from claimloom.plans.conform import conform
 from claimloom.sources.config import Config
 from claimloom.sources.extracts import ROW_ORDER, column_kinds, read_extract
-from claimloom.sources.tables import ensure_database, replace_csv, replace_table, stage
+from claimloom.sources.tables import Staging, ensure_database, replace_csv, replace_table
+
+
+def _staging(spark: SparkSession, config: Config, step: str) -> Staging:
+    """A place of this warehouse, so that runs of other ones do not meet it."""
+    warehouse = sha256(f"{config.warehouse}/{config.database_prefix}".encode()).hexdigest()[:16]
+    return Staging(spark, f"{warehouse}/{step}")
 
 
 def load_bronze(spark: SparkSession, config: Config, batch_ts: str) -> dict[str, DataFrame]:
@@ -34,6 +41,7 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
     A dataset is checked against the clean keys of those it refers to, so a
     row falls with the row it needs.
     """
+    staging = _staging(spark, config, "checked")
     outcomes: dict[str, RuleOutcome] = {}
     for name in config.order:
         ds = config.datasets[name]
@@ -42,7 +50,7 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
             for other in ds.references
         }
         outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER)
-        outcomes[name] = outcome.on(stage(outcome.checked, f"{config.database('checked')}/{name}"))
+        outcomes[name] = outcome.on(staging.store(name, outcome.checked))
     for name, outcome in outcomes.items():
         replace_csv(outcome.quarantined, f"{config.quarantine_zone}/{name}_quarantine.csv")
         silver = conform(name, outcome.clean)
@@ -54,6 +62,7 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
         report.coalesce(1), config.database("audit"), "dq_report", config.warehouse
     )
     replace_csv(report.coalesce(1), f"{config.reports}/dq_report.csv")
+    staging.clear()
     return report
 
 
@@ -63,12 +72,13 @@ def build_gold(
     """Dimensions, then the fact, then the marts; each from written tables."""
     built: dict[str, DataFrame] = {}
     silver = config.database("silver")
+    staging = _staging(spark, config, "sorted")
 
     def source(name: str) -> DataFrame:
         return spark.table(f"`{silver}`.`{name}`")
 
     def sorted_store(name: str) -> Store:
-        return lambda df: stage(df, f"{config.database('sorted')}/{name}")
+        return lambda df: staging.store(name, df)
 
     steps: list[tuple[str, Callable[[], DataFrame]]] = [
         ("dim_member", lambda: gold.dim_member(source("members"), sorted_store("members"), as_of)),
@@ -96,6 +106,7 @@ def build_gold(
     ]
     for name, build in steps:
         built[name] = replace_table(build(), config.database("gold"), name, config.warehouse)
+    staging.clear()
     return built
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from claimloom.session import shared_folder
 
@@ -25,15 +26,29 @@ def replace_table(df: DataFrame, database: str, table: str, warehouse: str) -> D
     return spark.table(name)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` below the shared folder and read it back.
+class Staging:
+    """Frames written below the shared folder, each under a name of its own.
 
-    Cuts the lineage for the several steps that use ``df`` next: a lost
-    executor costs them nothing that is already written.
+    Reading a staged frame back cuts its lineage: a lost executor costs the
+    steps that use it next nothing that is already written.
     """
-    path = f"{shared_folder(df.sparkSession)}/claimloom/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, place: str):
+        self.spark = spark
+        self._folder = f"{shared_folder(spark)}/claimloom/{place}"
+        self._schemas: dict[str, StructType] = {}
+
+    def store(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self._folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        self._schemas[name] = df.schema
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Empty what was stored, once nothing reads it any more."""
+        for name, schema in self._schemas.items():
+            nothing = self.spark.createDataFrame([], schema)
+            nothing.write.mode("overwrite").parquet(f"{self._folder}/{name}")
 
 
 def replace_csv(df: DataFrame, path: str) -> None:

@@ -15,11 +15,16 @@ from claimloom.plans import analytics, gold
 from claimloom.plans.conform import conform
 from claimloom.plans.layers import AS_OF, CONFIG
 from claimloom.sources.config import load_config
-from claimloom.sources.tables import stage
+from claimloom.sources.tables import Staging
 
 
 @pytest.fixture(scope="module")
-def outcomes(spark):
+def staging(spark):
+    return Staging(spark, "golden")
+
+
+@pytest.fixture(scope="module")
+def outcomes(spark, staging):
     text = (Path(__file__).resolve().parents[1] / "FIXTURES.md").read_text()
     sql = dict(re.findall(r"\*\*fx_(\w+)\*\*\s+```sql\n(.*?)```", text, re.S))
     for name in TABLES:
@@ -30,7 +35,7 @@ def outcomes(spark):
         ds = config.datasets[name]
         keys = {o: done[o].clean.select(config.datasets[o].key) for o in ds.references}
         outcome = apply_rules(spark.sql(sql[name]), name, ds.rules, keys, ["_ord"])
-        done[name] = outcome.on(stage(outcome.checked, f"golden/{name}"))
+        done[name] = outcome.on(staging.store(name, outcome.checked))
     return done
 
 
@@ -50,13 +55,17 @@ def test_rows_with_several_reasons(outcomes):
     assert several.count() == 126
 
 
-def test_gold(spark, outcomes):
-    members = stage(gold.dim_member(conform("members", outcomes["members"].clean),
-                                    lambda df: stage(df, "golden/sorted_m"), AS_OF), "golden/dim_m")
-    providers = stage(gold.dim_provider(outcomes["providers"].clean,
-                                        lambda df: stage(df, "golden/sorted_p")), "golden/dim_p")
+def test_gold(spark, staging, outcomes):
+    def stored(name, df):
+        return staging.store(name, df)
+
+    members = conform("members", outcomes["members"].clean)
+    members = stored("dim_m", gold.dim_member(members, lambda df: stored("sorted_m", df), AS_OF))
+    providers = outcomes["providers"].clean
+    providers = stored("dim_p", gold.dim_provider(providers, lambda df: stored("sorted_p", df)))
     assert (members.count(), providers.count()) == (1473, 96)
-    fact = stage(gold.fact_claims(conform("claims", outcomes["claims"].clean), members, providers), "golden/fact")
+    claims = conform("claims", outcomes["claims"].clean)
+    fact = stored("fact", gold.fact_claims(claims, members, providers))
     assert fact.count() == 55881
     assert fact.where("claim_status = 'APPROVED'").count() == 37824
     kpis = gold.mart_monthly_kpis(fact, gold.dim_date(spark)).collect()

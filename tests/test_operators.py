@@ -19,9 +19,16 @@ from claimloom.functions.exprs import (
     weekday_from_sunday,
 )
 from claimloom.operators.dense_key import with_dense_key
-from claimloom.operators.lookup import HOT_KEYS, broadcast_lookup, hot_keys, salted_lookup
+from claimloom.operators.lookup import (
+    HOT_KEYS,
+    broadcast_lookup,
+    hot_keys,
+    lookup,
+    measured_bytes,
+    salted_lookup,
+)
 from claimloom.plans.gold import age_band
-from claimloom.sources.tables import stage
+from claimloom.sources.tables import Staging
 
 
 @pytest.fixture
@@ -83,11 +90,21 @@ def test_salted_lookup_deals_a_hot_key_to_many_tasks(spark, skewed):
     assert max(r[0] for r in per_task) < 500
 
 
+def test_only_a_table_measured_small_is_broadcast(spark, skewed):
+    table = spark.createDataFrame([(i, "x" * 100) for i in range(10)], "k long, v string")
+    assert measured_bytes(table) == 10 * (48 + 16 + 100)
+    assert measured_bytes(table.limit(0)) == 0
+    for limit, join in ((1640, "BroadcastHashJoin"), (1639, "_part")):
+        found = lookup(skewed, table, "k", ["id"], broadcast_bytes=limit)
+        assert join in found._jdf.queryExecution().executedPlan().toString()
+        assert found.where("v is not null").count() == 1200
+
+
 @pytest.mark.parametrize("n", [0, 1, 5, 4000])
 def test_dense_key_is_the_sorted_position(spark, n):
     scattered = F.format_string("K%05d", F.col("id") * 7919 % max(n, 1))
     df = spark.range(n).select(scattered.alias("k"), "id").repartition(7)
-    found = with_dense_key(df, "k", "pos", lambda d: stage(d, f"test/{uuid4()}"))
+    found = with_dense_key(df, "k", "pos", lambda d: Staging(spark, str(uuid4())).store("sorted", d))
     assert found.columns == ["k", "id", "pos"]
     keyed = {r.k: r.pos for r in found.collect()}
     assert keyed == {k: i for i, k in enumerate(sorted(keyed), 1)}
@@ -96,7 +113,7 @@ def test_dense_key_is_the_sorted_position(spark, n):
 
 def test_dense_key_puts_null_last(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "k string")
-    found = with_dense_key(df, "k", "pos", lambda d: stage(d, f"test/{uuid4()}"))
+    found = with_dense_key(df, "k", "pos", lambda d: Staging(spark, str(uuid4())).store("sorted", d))
     assert {r.k: r.pos for r in found.collect()} == {"a": 1, "b": 2, None: 3}
 
 

@@ -46,9 +46,9 @@ def expected_reasons(rows, known):
     return out
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+@pytest.mark.parametrize("broadcast_bytes", [-1, 100_000])
 @pytest.mark.parametrize("partitions", [1, 4, 64])
-def test_equals_plain_python_on_hot_keys(spark, partitions, broadcast_rows):
+def test_equals_plain_python_on_hot_keys(spark, partitions, broadcast_bytes):
     rows = random_rows()
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame(rows, "id string, v double, ref string, pos long")
@@ -61,7 +61,7 @@ def test_equals_plain_python_on_hot_keys(spark, partitions, broadcast_rows):
         {"others": others},
         ["pos"],
         rows_per_task=20,
-        broadcast_rows=broadcast_rows,
+        broadcast_bytes=broadcast_bytes,
     )
     found = {r.pos: r._dq_failures for r in outcome.checked.collect()}
     expected = expected_reasons(rows, known)

@@ -99,20 +99,20 @@ def test_date_order(spark):
     assert found == ["date_order:a->b;", "", "", "", "", "", "date_order:a->b;"]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_referential(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [-1, 100_000])
+def test_referential(spark, broadcast_bytes):
     rule = {"type": "referential", "reference": "members"}
     known = {"members": keys(spark, ["M1", "M2", "M1"])}
     values = ["M1", "M9", None, "M1"]
-    found = fails(spark, values, "string", rule, references=known, broadcast_rows=broadcast_rows)
+    found = fails(spark, values, "string", rule, references=known, broadcast_bytes=broadcast_bytes)
     assert found == [False, True, True, False]
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_referential_null_is_known_if_the_reference_has_it(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [-1, 100_000])
+def test_referential_null_is_known_if_the_reference_has_it(spark, broadcast_bytes):
     rule = {"type": "referential", "reference": "members"}
     known = {"members": keys(spark, ["M1", None])}
-    found = fails(spark, ["M1", None], "string", rule, references=known, broadcast_rows=broadcast_rows)
+    found = fails(spark, ["M1", None], "string", rule, references=known, broadcast_bytes=broadcast_bytes)
     assert found == [False, False]
 
 

@@ -53,8 +53,12 @@ def salted_lookup(
     Rows of a hot key are dealt to several parts by the hash of ``spread_by``
     (columns that differ between the rows of one key), and the key's single
     table row is repeated once per part. Every other row has part 0. Nulls
-    count as a key and match each other.
+    count as a key and match each other. Both sides must have the key in one
+    type, as they are dealt by its hash.
     """
+    kinds = rows.schema[key].dataType, table.schema[key].dataType
+    if kinds[0] != kinds[1]:
+        raise TypeError(f"{key} is {kinds[0].simpleString()} here, {kinds[1].simpleString()} there")
     parts = F.coalesce(F.try_element_at(parts_of, F.xxhash64(key)), F.lit(1))
     dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
     copies = table.select(

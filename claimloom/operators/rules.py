@@ -152,7 +152,8 @@ def _referential(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     """Fails where the key is not among the accepted keys of the reference."""
     (name,) = rule.columns
     keys = inputs.references[rule.args["reference"]]
-    accepted = keys.select(F.col(keys.columns[0]).alias(name)).distinct()
+    kind = df.schema[name].dataType
+    accepted = keys.select(F.col(keys.columns[0]).try_cast(kind).alias(name)).distinct()
     found = lookup(
         df,
         accepted.withColumn(slot, F.lit(True)),

@@ -73,6 +73,12 @@ def test_salted_lookup_equals_plain_join(spark, skewed, how, rows_per_task):
     assert rows(broadcast_lookup(skewed, table, "k", how)) == rows(found)
 
 
+def test_salted_lookup_refuses_keys_of_two_types(spark, skewed):
+    table = spark.createDataFrame([(0, "zero")], "k int, v string")
+    with pytest.raises(TypeError, match="k is bigint here, int there"):
+        salted_lookup(skewed, table, "k", hot_keys(skewed, "k"), ["id"])
+
+
 def test_salted_lookup_deals_a_hot_key_to_many_tasks(spark, skewed):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -5,7 +5,7 @@ from compare import duck, duck_bag, spark_bag
 from conftest import TABLES, TESTDATA
 
 from claimloom.plans.registry import QUERIES
-from oracle import SQL
+from claimloom.oracle import SQL
 
 SF = os.environ.get("TEST_SF", "0.01")
 FOLDER = TESTDATA / f"sf{SF}"

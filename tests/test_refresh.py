@@ -16,7 +16,7 @@ from claimloom.plans.refresh import build_silver, load_bronze, run_pipeline
 from claimloom.sources import driver_tables
 from claimloom.sources.config import config_from_dict, load_config
 from claimloom.sources.extracts import ROW_ORDER, read_extract
-from oracle import SQL
+from claimloom.oracle import SQL
 
 FOLDER = TESTDATA / "sf0.001"
 STAMP = "2026-07-01T00:00:00+00:00"

@@ -116,6 +116,15 @@ def test_referential_null_is_known_if_the_reference_has_it(spark, broadcast_byte
     assert found == [False, False]
 
 
+@pytest.mark.parametrize("broadcast_bytes", [-1, 100_000])
+def test_referential_to_keys_of_another_type(spark, broadcast_bytes):
+    rule = {"type": "referential", "reference": "members"}
+    limits = {"broadcast_bytes": broadcast_bytes, "rows_per_task": 2}
+    known = {"members": keys(spark, [1, 2], "int")}
+    found = fails(spark, [1] * 9 + [3], "bigint", rule, references=known, **limits)
+    assert found == [False] * 9 + [True]
+
+
 def test_referential_to_nothing(spark):
     rule = {"type": "referential", "reference": "members"}
     assert fails(spark, ["M1"], "string", rule, references={"members": keys(spark, [])}) == [True]

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from hashlib import sha256
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-from claimloom.operators.dense_key import Store
 from claimloom.operators.quality import RuleOutcome, apply_rules, union_reports
 from claimloom.plans import analytics, gold
 from claimloom.plans.conform import conform
@@ -16,6 +19,18 @@ from claimloom.sources.config import Config
 from claimloom.sources.extracts import ROW_ORDER, column_kinds, read_extract
 from claimloom.sources.tables import Staging, ensure_database, replace_csv, replace_table
 
+Result = TypeVar("Result")
+
+
+def _together(
+    spark: SparkSession, steps: Mapping[str, Callable[[], Result]]
+) -> dict[str, Result]:
+    """Run steps that do not need each other at once, as Spark jobs side by side."""
+    as_job = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        running = {name: pool.submit(as_job(step)) for name, step in steps.items()}
+        return {name: step.result() for name, step in running.items()}
+
 
 def _staging(spark: SparkSession, config: Config, step: str) -> Staging:
     """A place of this warehouse, so that runs of other ones do not meet it."""
@@ -26,13 +41,15 @@ def _staging(spark: SparkSession, config: Config, step: str) -> Staging:
 def load_bronze(spark: SparkSession, config: Config, batch_ts: str) -> dict[str, DataFrame]:
     """Raw extracts with load metadata, as tables."""
     database = config.database("bronze")
-    tables = {}
-    for name, ds in config.datasets.items():
-        kinds = column_kinds(ds)
+    ensure_database(spark, database)
+
+    def load(name: str) -> DataFrame:
+        ds = config.datasets[name]
         path = f"{config.raw_zone}/{ds.file}"
-        extract = read_extract(spark, path, batch_ts, kinds, ds.multi_line)
-        tables[name] = replace_table(extract, database, name, config.warehouse)
-    return tables
+        extract = read_extract(spark, path, batch_ts, column_kinds(ds), ds.multi_line)
+        return replace_table(extract, database, name, config.warehouse)
+
+    return _together(spark, {name: partial(load, name) for name in config.datasets})
 
 
 def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFrame]) -> DataFrame:
@@ -41,72 +58,91 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
     A dataset is checked against the clean keys of those it refers to, so a
     row falls with the row it needs.
     """
+    silver, audit = config.database("silver"), config.database("audit")
+    for database in (silver, audit):
+        ensure_database(spark, database)
     staging = _staging(spark, config, "checked")
     outcomes: dict[str, RuleOutcome] = {}
-    for name in config.order:
+
+    def check(name: str) -> RuleOutcome:
         ds = config.datasets[name]
         keys = {
             other: outcomes[other].clean.select(config.datasets[other].key)
             for other in ds.references
         }
         outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER)
-        outcomes[name] = outcome.on(staging.store(name, outcome.checked))
-    for name, outcome in outcomes.items():
-        replace_csv(outcome.quarantined, f"{config.quarantine_zone}/{name}_quarantine.csv")
-        silver = conform(name, outcome.clean)
-        replace_table(silver, config.database("silver"), name, config.warehouse)
-
-    ensure_database(spark, config.database("audit"))
-    report = union_reports([outcomes[name] for name in config.order])
-    report = replace_table(
-        report.coalesce(1), config.database("audit"), "dq_report", config.warehouse
+        return outcome.on(staging.store(name, outcome.checked.drop(*ROW_ORDER)))
+
+    for names in config.stages:
+        outcomes |= _together(spark, {name: partial(check, name) for name in names})
+
+    def keep_clean(name: str) -> DataFrame:
+        return replace_table(
+            conform(name, outcomes[name].clean), silver, name, config.warehouse
+        )
+
+    def keep_quarantined(name: str) -> None:
+        path = f"{config.quarantine_zone}/{name}_quarantine.csv"
+        replace_csv(outcomes[name].quarantined, path)
+
+    def keep_report() -> DataFrame:
+        report = union_reports([outcomes[name] for name in config.order]).coalesce(1)
+        stored = replace_table(report, audit, "dq_report", config.warehouse)
+        replace_csv(stored.coalesce(1), f"{config.reports}/dq_report.csv")
+        return stored
+
+    kept = _together(
+        spark,
+        {
+            **{f"clean {name}": partial(keep_clean, name) for name in outcomes},
+            **{f"quarantined {name}": partial(keep_quarantined, name) for name in outcomes},
+            "report": keep_report,
+        },
     )
-    replace_csv(report.coalesce(1), f"{config.reports}/dq_report.csv")
     staging.clear()
-    return report
+    return kept["report"]
 
 
 def build_gold(
     spark: SparkSession, config: Config, as_of: dt.date | None = None
 ) -> dict[str, DataFrame]:
     """Dimensions, then the fact, then the marts; each from written tables."""
-    built: dict[str, DataFrame] = {}
-    silver = config.database("silver")
+    database, silver = config.database("gold"), config.database("silver")
+    ensure_database(spark, database)
     staging = _staging(spark, config, "sorted")
+    built: dict[str, DataFrame] = {}
 
     def source(name: str) -> DataFrame:
         return spark.table(f"`{silver}`.`{name}`")
 
-    def sorted_store(name: str) -> Store:
-        return lambda df: staging.store(name, df)
-
-    steps: list[tuple[str, Callable[[], DataFrame]]] = [
-        ("dim_member", lambda: gold.dim_member(source("members"), sorted_store("members"), as_of)),
-        (
-            "dim_provider",
-            lambda: gold.dim_provider(source("providers"), sorted_store("providers")),
-        ),
-        ("dim_date", lambda: gold.dim_date(spark)),
-        (
-            "fact_claims",
-            lambda: gold.fact_claims(source("claims"), built["dim_member"], built["dim_provider"]),
-        ),
-        (
-            "mart_monthly_kpis",
-            lambda: gold.mart_monthly_kpis(built["fact_claims"], built["dim_date"]),
-        ),
-        (
-            "mart_specialty_costs",
-            lambda: gold.mart_specialty_costs(built["fact_claims"], built["dim_provider"]),
-        ),
-        (
-            "mart_member_utilisation",
-            lambda: gold.mart_member_utilisation(built["fact_claims"], built["dim_member"]),
-        ),
-    ]
-    for name, build in steps:
-        built[name] = replace_table(build(), config.database("gold"), name, config.warehouse)
+    def build(steps: Mapping[str, Callable[[], DataFrame]]) -> None:
+        def write(name: str) -> DataFrame:
+            return replace_table(steps[name](), database, name, config.warehouse)
+
+        built.update(_together(spark, {name: partial(write, name) for name in steps}))
+
+    build(
+        {
+            "dim_member": lambda: gold.dim_member(
+                source("members"), partial(staging.store, "members"), as_of
+            ),
+            "dim_provider": lambda: gold.dim_provider(
+                source("providers"), partial(staging.store, "providers")
+            ),
+            "dim_date": lambda: gold.dim_date(spark),
+        }
+    )
     staging.clear()
+    members, providers, dates = (built[n] for n in ("dim_member", "dim_provider", "dim_date"))
+    build({"fact_claims": lambda: gold.fact_claims(source("claims"), members, providers)})
+    fact = built["fact_claims"]
+    build(
+        {
+            "mart_monthly_kpis": lambda: gold.mart_monthly_kpis(fact, dates),
+            "mart_specialty_costs": lambda: gold.mart_specialty_costs(fact, providers),
+            "mart_member_utilisation": lambda: gold.mart_member_utilisation(fact, members),
+        }
+    )
     return built
 
 

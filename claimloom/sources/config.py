@@ -42,11 +42,21 @@ class Config:
     datasets: Mapping[str, Dataset]
     database_prefix: str = ""
 
+    @property
+    def stages(self) -> list[list[str]]:
+        """Dataset names in stages; each refers to earlier stages only."""
+        sorter = TopologicalSorter({name: ds.references for name, ds in self.datasets.items()})
+        sorter.prepare()
+        stages = []
+        while sorter.is_active():
+            stages.append(list(sorter.get_ready()))
+            sorter.done(*stages[-1])
+        return stages
+
     @property
     def order(self) -> list[str]:
         """Dataset names, each after the datasets it refers to."""
-        graph = {name: ds.references for name, ds in self.datasets.items()}
-        return list(TopologicalSorter(graph).static_order())
+        return [name for stage in self.stages for name in stage]
 
     def database(self, layer: str) -> str:
         return f"{self.database_prefix}{layer}"

@@ -19,7 +19,6 @@ def replace_table(df: DataFrame, database: str, table: str, warehouse: str) -> D
     with another catalog left there.
     """
     spark = df.sparkSession
-    ensure_database(spark, database)
     path = f"{warehouse}/{database}/{table}"
     name = f"`{database}`.`{table}`"
     df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, exact_dedup, line_dedup, packing, warc
+from claimloom.llm import bpe, exact_dedup, katz, langid, line_dedup, packing, quality, warc
 from claimloom.llm.common import workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,22 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the verdict of rules and isolation forest."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    predicted = langid.identify(docs, langid.fit(docs), keep=["doc_id"])
+    return predicted.select(
+        "row.doc_id", langid.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 @query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the largest doc_id stays."""
@@ -66,6 +82,13 @@ def op8_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(written).drop("url", "payload")
 
 
+@query
+def op9_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a Katz backoff model of the others."""
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return katz.score(table(spark, sf_dir, "documents"), held)
+
+
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of all documents that stand on ten sources or more, removed."""

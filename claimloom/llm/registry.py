@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, exact_dedup, katz, langid, line_dedup, packing, quality, warc
+from claimloom.llm import bpe, exact_dedup, katz, langid, line_dedup, near_dedup, packing, quality, warc
 from claimloom.llm.common import workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates: class_id is the smallest doc_id of a document's class."""
+    return near_dedup.classify(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to ZIP-packaged archives and read back by range."""

@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, exact_dedup, katz, langid, line_dedup, near_dedup, packing, quality, warc
+from claimloom.llm import bpe, exact_dedup, katz, langid, line_dedup, near_dedup, packing, quality, suffix_dedup, warc
 from claimloom.llm.common import workers_find_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,6 +41,14 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a repeated string of 100 bytes covers, removed."""
+    return suffix_dedup.cut(table(spark, sf_dir, "documents"), keep=["doc_id"]).select(
+        "row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document and the verdict of rules and isolation forest."""

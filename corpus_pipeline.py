@@ -1,19 +1,47 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept
+and returns a frame; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from claimloom.llm import exact_dedup, packing
+from claimloom.llm import exact_dedup, langid, near_dedup, packing, suffix_dedup
 from claimloom.llm.common import stored, workers_find_package
 
+#: A text goes if its language is unknown or less certain than this.
+LEAST_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, and those that no learnt language fits, go."""
+    workers_find_package(spark)
+    predicted = langid.identify(docs, langid.fit(docs))
+    known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return predicted.where(known).select("row.*")
+
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """One document of each group of equal texts stays: the one with the largest id."""
     workers_find_package(spark)
     return exact_dedup.deduplicate(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays: the one with the smallest id."""
+    workers_find_package(spark)
+    return near_dedup.deduplicate(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; strings of 100 bytes that occur earlier are cut out of their texts."""
+    workers_find_package(spark)
+    return suffix_dedup.remove_repeats(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces in sequences of 1024."""
     workers_find_package(spark)
@@ -21,10 +49,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language ID", language_id),
     ("exact dedup", exact_duplicates),
+    ("MinHash near-dedup", near_duplicates),
+    ("suffix-array dedup", repeated_passages),
     ("best-fit packing", pack),
 ]
-#: SQL cannot express the stages that fit a model or sort suffixes.
+#: SQL cannot express the stages that train a network or tokenize.
 ORACLE_SQL = None
 
 

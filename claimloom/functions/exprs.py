@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DoubleType, FloatType, StringType
 
 #: Amounts are added up in this type: exact, so a total does not depend on the
 #: order in which tasks finish. Its sum has room for 10^24.
@@ -69,6 +70,35 @@ def parse_timestamp(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+# Texts that are a number: no type suffix, no grouping; what Java alone reads is none.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?|[nN][aA][nN])\s*$"
+
+
+def lenient_number(value: Column, kind: DataType | None = None) -> Column:
+    """A double; null where a text is no number."""
+    if kind is not None and not isinstance(kind, StringType):
+        return value.try_cast("double")
+    return F.when(value.rlike(NUMBER), F.trim(value).try_cast("double"))
+
+
+def strict_number(text: Column) -> Column:
+    """A double; fails the job on text that is no number."""
+    complaint = F.concat(F.lit("not a number: "), text)
+    parsed = F.coalesce(lenient_number(text), F.raise_error(complaint).cast("double"))
+    return F.when(text.isNotNull(), parsed)
+
+
+def plain_text(value: Column, kind: DataType) -> Column:
+    """Text of a value; doubles from 0.0001 to 10^16 without exponent: 1e7 is 10000000.0."""
+    text = value.cast("string")
+    if not isinstance(kind, (DoubleType, FloatType)):
+        return text
+    digits = F.rtrim(value.cast("decimal(38,20)").cast("string"), F.lit("0"))
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    size = F.abs(value)
+    return F.when(text.contains("E") & (size >= 1e-4) & (size < 1e16), plain).otherwise(text)
+
+
 def strict_timestamp(text: Column) -> Column:
     """Wall-clock timestamp; fails the job on text that is none.
 

@@ -4,47 +4,52 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 1_000_000
-#: So many of the largest keys are spread; any other key holds less than
-#: 1/HOT_KEYS of the rows and is left to the adaptive skew split.
-HOT_KEYS = 256
+#: A key with no more than 1/HOT_KEYS of all rows is not spread either. So there
+#: are fewer than HOT_KEYS hot keys, whatever the data, and their list is small.
+HOT_KEYS = 65_536
 #: A table measured to be no larger than this is broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: What a broadcast row takes besides its texts, and a value that is no text.
 ROW_BYTES, VALUE_BYTES = 48, 16
 
 
-def parts_of_hot(sizes: DataFrame, key: str, rows_per_task: int, *ties: str) -> Column:
-    """Map from key hash to number of parts, given the rows ``n`` of each key.
+def parts_of_hot(sizes: DataFrame, key: str, rows_per_task: int) -> DataFrame:
+    """``hash`` and ``parts`` of the hot keys, given the rows ``n`` of each key.
 
-    A scalar subquery with at most ``HOT_KEYS`` entries, and none at all on
-    small inputs. A hash collision only spreads a key that did not need it.
+    Bounded by the threshold itself. A hash collision only spreads a key that
+    did not need it.
     """
-    largest = (
-        sizes.where(F.col("n") > rows_per_task)
-        .orderBy(F.desc("n"), *ties, key)
-        .limit(HOT_KEYS)
+    share = sizes.agg(F.sum("n") / HOT_KEYS).scalar()
+    return (
+        sizes.where((F.col("n") > rows_per_task) & (F.col("n") > share))
         .groupBy(F.xxhash64(key).alias("hash"))
         .agg(F.ceil(F.max("n") / rows_per_task).cast("int").alias("parts"))
     )
-    return largest.agg(F.map_from_entries(F.collect_list(F.struct("hash", "parts")))).scalar()
 
 
-def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Column:
+def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Parts of the hot keys of ``df``: reads one column, combines before it shuffles."""
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return parts_of_hot(sizes, key, rows_per_task)
 
 
+def _with_parts(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Adds ``_parts``: in how many parts the row's key is dealt."""
+    listed = F.broadcast(hot.select(F.col("hash").alias("_hot"), F.col("parts").alias("_hot_parts")))
+    joined = df.join(listed, F.xxhash64(key) == F.col("_hot"), "left")
+    return joined.withColumn("_parts", F.coalesce("_hot_parts", F.lit(1))).drop("_hot", "_hot_parts")
+
+
 def salted_lookup(
     rows: DataFrame,
     table: DataFrame,
     key: str,
-    parts_of: Column,
+    hot: DataFrame,
     spread_by: Sequence[str],
     how: str = "left",
 ) -> DataFrame:
@@ -59,10 +64,10 @@ def salted_lookup(
     kinds = rows.schema[key].dataType, table.schema[key].dataType
     if kinds[0] != kinds[1]:
         raise TypeError(f"{key} is {kinds[0].simpleString()} here, {kinds[1].simpleString()} there")
-    parts = F.coalesce(F.try_element_at(parts_of, F.xxhash64(key)), F.lit(1))
-    dealt = rows.withColumn("_part", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
-    copies = table.select(
-        F.explode(F.sequence(F.lit(0), parts - 1)).alias("_table_part"),
+    part = F.pmod(F.xxhash64(*spread_by), F.col("_parts")).cast("int")
+    dealt = _with_parts(rows, key, hot).withColumn("_part", part).drop("_parts")
+    copies = _with_parts(table, key, hot).select(
+        F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_table_part"),
         F.col(key).alias("_table_key"),
         *[c for c in table.columns if c != key],
     )
@@ -107,5 +112,5 @@ def lookup(
     """
     if measured_bytes(table if measured is None else measured) <= broadcast_bytes:
         return broadcast_lookup(rows, table, key, how)
-    parts_of = hot_keys(rows if counted_on is None else counted_on, key, rows_per_task)
-    return salted_lookup(rows, table, key, parts_of, spread_by, how)
+    hot = hot_keys(rows if counted_on is None else counted_on, key, rows_per_task)
+    return salted_lookup(rows, table, key, hot, spread_by, how)

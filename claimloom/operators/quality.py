@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK
-from claimloom.operators.rules import RULE_TYPES, Rule, RuleInputs
+from claimloom.operators.rules import ROW, RULE_TYPES, Rule, RuleInputs
+from claimloom.sources.tables import Staging
 
 REASONS = "_dq_failures"
 REPORT_LINE = (
@@ -92,6 +94,7 @@ def apply_rules(
     rows_per_task: int = ROWS_PER_TASK,
     broadcast_bytes: int = BROADCAST_BYTES,
     earlier: DataFrame | None = None,
+    store: Callable[[str, DataFrame], DataFrame] | None = None,
 ) -> RuleOutcome:
     """Check every rule on all rows of ``df``, whatever other rules say.
 
@@ -99,9 +102,18 @@ def apply_rules(
     ``order_by`` columns give the input order; they are not part of the
     clean and quarantined rows. ``earlier`` rows count as occurrences for
     ``unique`` and are not checked again.
+
+    ``unique`` tells rows that tie apart by where they lie, so its rows must
+    lie still. With ``store``, which writes intermediate frames, ``df`` is
+    taken to be read from files; without it, it is written first.
     """
+    rows = df
+    if any(r.type == "unique" for r in rules):
+        rows = df.withColumn(ROW, F.monotonically_increasing_id())
+        if store is None:
+            rows = Staging(df.sparkSession, f"rows-{uuid4().hex}").store(dataset, rows)
     inputs = RuleInputs(
-        df, references or {}, tuple(order_by), rows_per_task, broadcast_bytes, earlier
+        rows, references or {}, tuple(order_by), rows_per_task, broadcast_bytes, earlier, store
     )
     unknown = [
         r.args["reference"]
@@ -112,7 +124,7 @@ def apply_rules(
         raise ValueError(f"{dataset}: no keys given for {', '.join(unknown)}")
 
     data_columns = tuple(c for c in df.columns if c not in order_by)
-    checked = df
+    checked = rows
     flags: dict[str, Column] = {}
     for i, rule in enumerate(rules):
         check = RULE_TYPES[rule.type].check
@@ -141,9 +153,9 @@ def total_failures(report: DataFrame) -> DataFrame:
     return report.agg(F.coalesce(F.sum("rows_failed"), F.lit(0)).alias("total_failures"))
 
 
-def reason_counts(quarantined: DataFrame) -> DataFrame:
-    """Quarantined rows per single reason."""
+def reason_counts(quarantined: DataFrame, *by: str) -> DataFrame:
+    """Quarantined rows per single reason, and per the columns ``by``."""
     single = F.explode(F.split(F.regexp_replace(REASONS, ";$", ""), ";"))
-    return quarantined.select(single.alias("reason")).groupBy("reason").agg(
+    return quarantined.select(*by, single.alias("reason")).groupBy(*by, "reason").agg(
         F.count(F.lit(1)).alias("rows")
     )

@@ -6,6 +6,7 @@ A rule never yields null. Most are plain column expressions; ``unique`` and
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -14,15 +15,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.functions.exprs import parse_timestamp
+from claimloom.functions.exprs import lenient_number, parse_timestamp, plain_text
 from claimloom.operators.lookup import (
     BROADCAST_BYTES,
     ROWS_PER_TASK,
+    broadcast_lookup,
     lookup,
+    measured_bytes,
     parts_of_hot,
     salted_lookup,
 )
 
+#: Tells apart rows that are equal in everything else; ``unique`` needs it.
+ROW = "_dq_row"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -50,9 +56,10 @@ class RuleInputs:
     counting on it keeps those joins out of the counting pass.
     ``references`` maps a dataset name to its accepted keys, one column each;
     they are measured when the rule is built, so they should be stored.
-    ``order_by`` names columns that put the rows in input order; they must
-    tell any two rows with the same key apart. ``earlier`` holds rows that
-    came before all of these, for a load in batches.
+    ``order_by`` names columns that put the rows in input order; where they
+    tie, the row id decides. ``earlier`` holds keys that came before all of
+    these rows, for a load in batches. ``store`` writes a small intermediate
+    frame, so that it can be measured; without it large rows are shuffled.
     """
 
     rows: DataFrame
@@ -61,6 +68,7 @@ class RuleInputs:
     rows_per_task: int = ROWS_PER_TASK
     broadcast_bytes: int = BROADCAST_BYTES
     earlier: DataFrame | None = None
+    store: Callable[[str, DataFrame], DataFrame] | None = None
 
 
 Check = Callable[[DataFrame, Rule, RuleInputs, str], tuple[DataFrame, Column]]
@@ -89,12 +97,13 @@ def _allowed_values(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
         fitting = [v for v in accepted if isinstance(v, bool)]
     else:
         fitting = [v for v in accepted if v is not None and not isinstance(v, (str, bool))]
-    return df, _decided(~F.col(name).isin(fitting), when_null=None not in accepted)
+    unknown = ~F.col(name).isin(fitting) if fitting else F.lit(True)
+    return df, F.when(F.col(name).isNull(), None not in accepted).otherwise(unknown)
 
 
 def _min_value(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     (name,) = rule.columns
-    number = F.col(name).try_cast("double")
+    number = lenient_number(F.col(name), df.schema[name].dataType)
     below = (number < F.lit(float(rule.args["threshold"]))) & ~F.isnan(number)
     return df, _decided(below, when_null=False)
 
@@ -102,7 +111,8 @@ def _min_value(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
 def _regex_match(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     (name,) = rule.columns
     from_start = f"^(?:{rule.args['pattern']})"
-    return df, _decided(~F.col(name).cast("string").rlike(from_start), when_null=True)
+    text = plain_text(F.col(name), df.schema[name].dataType)
+    return df, _decided(~text.rlike(from_start), when_null=True)
 
 
 def _date_order(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
@@ -113,41 +123,65 @@ def _date_order(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
 def _unique(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     """Every row after the first with the same key fails; nulls are one key.
 
-    Only keys that occur twice are looked up, with the position of their
-    first row. A window per key would sort all copies of a key in one task.
+    Exactly one row per key passes: the one with the smallest position, and of
+    those that tie the one with the smallest row id. A null position comes
+    first. Only keys that occur twice are looked up, with their first row. A
+    window per key would sort all copies of a key in one task.
     """
     (name,) = rule.columns
     if not inputs.order_by:
         raise ValueError("unique needs order_by columns to tell which row came first")
-    if len(inputs.order_by) == 1:
-        position = F.col(inputs.order_by[0])
-    else:
-        position = F.struct(*inputs.order_by)
-    sizes = inputs.rows.groupBy(name).agg(
-        F.min(position).alias(slot), F.count(F.lit(1)).alias("n")
-    )
-    # The position as tie-break makes this the same aggregate as the one
-    # joined below, so Spark computes it once.
-    parts_of = parts_of_hot(sizes, name, inputs.rows_per_task, slot)
-    repeated = sizes.where("n > 1").drop("n")
-    found = salted_lookup(df, repeated, name, parts_of, spread_by=inputs.order_by)
-    later_copy = _decided(position > F.col(slot), when_null=False)
+    first = F.min(F.struct(*inputs.order_by, ROW))[ROW]
+    sizes = inputs.rows.groupBy(name).agg(first.alias(slot), F.count(F.lit(1)).alias("n"))
+    spread_by = [*inputs.order_by, ROW]
+    repeated = sizes.where("n > 1")
+    if inputs.store:
+        repeated = inputs.store(f"repeated_{slot}", repeated)
+    found = _looked_up(df, repeated, name, spread_by, inputs)
+    later_copy = _decided(F.col(ROW) != F.col(slot), when_null=False)
     if inputs.earlier is None:
         return found, later_copy
 
     # Only earlier keys that come up again are looked up, so what is joined
     # to the rows does not grow with all that came before.
-    own = sizes.select(F.col(name).alias("_own_key"))
+    own = sizes.select(F.col(name).alias("_own_key"), "n")
     again = (
         inputs.earlier.select(name)
-        .join(own, F.col(name).eqNullSafe(F.col("_own_key")), "left_semi")
         .distinct()
-        .withColumn(f"{slot}_again", F.lit(True))
+        .join(own, F.col(name).eqNullSafe(F.col("_own_key")))
+        .select(name, "n", F.lit(True).alias(f"{slot}_again"))
     )
-    found = salted_lookup(found, again, name, parts_of, spread_by=inputs.order_by)
+    if inputs.store:
+        again = inputs.store(f"again_{slot}", again)
+    found = _looked_up(found, again, name, spread_by, inputs)
     return found, later_copy | F.col(f"{slot}_again").isNotNull()
 
 
+def _looked_up(df: DataFrame, keys: DataFrame, name: str, spread_by: list[str], inputs: RuleInputs) -> DataFrame:
+    """``df`` with the other columns of ``keys``, which also has the rows ``n`` of each key."""
+    table = keys.drop("n")
+    if inputs.store and measured_bytes(table) <= inputs.broadcast_bytes:
+        return broadcast_lookup(df, table, name)
+    return salted_lookup(df, table, name, parts_of_hot(keys, name, inputs.rows_per_task), spread_by)
+
+
+def _readable(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
+    """Fails where a cell has text that is no value of the column's type."""
+    (name,) = rule.columns
+    value = F.col(name)
+    if rule.args["kind"] == "timestamp":
+        parsed = parse_timestamp(value.cast("string"))
+    else:
+        parsed = lenient_number(value, df.schema[name].dataType)
+    return df, value.isNotNull() & parsed.isNull()
+
+
+def _whole_line(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
+    """Fails where the line had more or fewer cells than the header."""
+    (name,) = rule.columns
+    return df, F.col(name).isNotNull()
+
+
 def _referential(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     """Fails where the key is not among the accepted keys of the reference."""
     (name,) = rule.columns
@@ -158,7 +192,7 @@ def _referential(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
         df,
         accepted.withColumn(slot, F.lit(True)),
         name,
-            spread_by=inputs.order_by or inputs.rows.columns,
+        spread_by=inputs.order_by or inputs.rows.columns,
         measured=keys,
         counted_on=inputs.rows,
         rows_per_task=inputs.rows_per_task,
@@ -185,9 +219,31 @@ RULE_TYPES: dict[str, RuleType] = {
     "regex_match": RuleType(_regex_match, arg_keys=("pattern",)),
     "date_order": RuleType(_date_order, column_keys=("column_a", "column_b")),
     "referential": RuleType(_referential, arg_keys=("reference",)),
+    "readable": RuleType(_readable, arg_keys=("kind",)),
+    "whole_line": RuleType(_whole_line),
 }
 
 
+def _is_number(value: Any) -> bool:
+    try:
+        float(value)
+    except (TypeError, ValueError):
+        return False
+    return True
+
+
+def check_pattern(pattern: Any) -> None:
+    """Refuse what no regular expression can be. Patterns are Java's: only what both dialects
+    refuse is found here, as the driver may have no session yet."""
+    try:
+        re.compile(pattern)
+    except TypeError as error:
+        raise ValueError(f"pattern is no text: {pattern!r}") from error
+    except re.error as error:
+        if any(sign in str(error) for sign in ("unterminated", "missing )", "unbalanced", "nothing to repeat")):
+            raise ValueError(f"broken pattern {pattern!r}: {error}") from error
+
+
 def rule_from_dict(declared: Mapping[str, Any]) -> Rule:
     """Read one declared rule; any mistake is found before a job starts."""
     name = declared.get("type")
@@ -197,6 +253,10 @@ def rule_from_dict(declared: Mapping[str, Any]) -> Rule:
     missing = [k for k in (*kind.column_keys, *kind.arg_keys) if k not in declared]
     if missing:
         raise ValueError(f"rule {name} lacks {', '.join(missing)}")
+    if name == "min_value" and not _is_number(declared["threshold"]):
+        raise ValueError(f"threshold is no number: {declared['threshold']!r}")
+    if name == "regex_match":
+        check_pattern(declared["pattern"])
     return Rule(
         type=name,
         columns=tuple(declared[k] for k in kind.column_keys),

@@ -17,15 +17,19 @@ raw_members AS (
            || CASE WHEN k < 1000000 THEN lpad(k::VARCHAR, 6, '0') ELSE k::VARCHAR END AS member_id,
          c_name AS first_name,
          seg AS last_name,
-         (DATE '1945-01-01' + (k * 37 % 22279)::INT)::DATE::VARCHAR AS date_of_birth,
+         CASE WHEN k % 61 <> 9 THEN (DATE '1945-01-01' + (k * 37 % 22279)::INT)::DATE::VARCHAR END AS date_of_birth,
          CASE WHEN k % 67 = 0 THEN NULL ELSE 'County ' || c_nationkey END AS county,
          CASE WHEN k % 20 = 3 THEN lower(seg) ELSE upper(seg[1]) || lower(seg[2:]) END AS plan_type,
          (DATE '2018-01-01' + (k * 11 % 2738)::INT)::DATE::VARCHAR AS enrolment_date,
-         ((4500 + k * 7919 % 27500) * 150)::DOUBLE / 100 AS monthly_premium_eur,
+         CASE WHEN k % 53 = 2 THEN 0.0::DOUBLE WHEN k % 71 <> 4 THEN ((4500 + k * 7919 % 27500) * 150)::DOUBLE / 100
+           END AS monthly_premium_eur,
          k * 2 + copy_no AS _ord
   FROM (SELECT c_custkey AS k, c_mktsegment AS seg, c_name, c_nationkey, 0 AS copy_no FROM customer
         UNION ALL
-        SELECT c_custkey, c_mktsegment, c_name, c_nationkey, 1 FROM customer WHERE c_custkey % 50 = 0)
+        SELECT c_custkey, c_mktsegment, c_name, c_nationkey, 1 FROM customer WHERE c_custkey % 50 = 0
+        UNION ALL
+        SELECT c_custkey, c_mktsegment, c_name, c_nationkey, 0 FROM customer
+        WHERE c_custkey % 59 = 1 AND c_custkey % 50 <> 0)
 )"""
 
 PROVIDERS = """
@@ -34,11 +38,13 @@ raw_providers AS (
          s_name AS provider_name,
          CASE WHEN k % 33 = 0 THEN NULL ELSE 'SPEC_' || (k % 10) END AS specialty,
          'County ' || s_nationkey AS county,
-         CASE WHEN k % 7 = 1 OR k % 7 = 4 THEN 'OUT_OF_NETWORK' ELSE 'IN_NETWORK' END AS network_status,
+         CASE WHEN k % 7 IN (1, 4) AND k % 10 <> 9 THEN 'OUT_OF_NETWORK' ELSE 'IN_NETWORK' END AS network_status,
          k * 2 + copy_no AS _ord
   FROM (SELECT s_suppkey AS k, s_name, s_nationkey, 0 AS copy_no FROM supplier
         UNION ALL
-        SELECT s_suppkey, s_name, s_nationkey, 1 FROM supplier WHERE s_suppkey % 40 = 1)
+        SELECT s_suppkey, s_name, s_nationkey, 1 FROM supplier WHERE s_suppkey % 40 = 1
+        UNION ALL
+        SELECT s_suppkey, s_name, s_nationkey, 0 FROM supplier WHERE s_suppkey % 37 = 2 AND s_suppkey % 40 <> 1)
 )"""
 
 CLAIMS = """
@@ -47,30 +53,35 @@ mixed AS (
          l_extendedprice AS price, l_quantity::BIGINT AS qty,
          round(l_extendedprice * 100)::BIGINT AS cents,
          l_orderkey * 31 + l_linenumber * 1009 + l_partkey * 17 + l_suppkey * 7 AS mix,
+         mix % 912 + CASE WHEN mix % 109 = 17 THEN 1000 ELSE 0 END AS day_nr,
          (l_orderkey * 31 + l_linenumber * 7) % (SELECT max(c_custkey) + 1 FROM customer) AS cust
   FROM lineitem
 ),
 raw_claims AS (
-  SELECT 'CLM' || o || '-' || n || '-' || p || '-' || s AS claim_id,
-         CASE WHEN mix % 167 = 5 THEN 'MBR-NONE'
+  SELECT CASE WHEN mix % 1201 <> 8 THEN 'CLM' || o || '-' || n || '-' || p || '-' || s END AS claim_id,
+         CASE WHEN mix % 167 = 5 THEN 'MBR-NONE' WHEN mix % 223 = 6 THEN NULL
               WHEN cust < 1000000 THEN 'MBR' || lpad(cust::VARCHAR, 6, '0')
               ELSE 'MBR' || cust END AS member_id,
          'PRV' || CASE WHEN s < 10000 THEN lpad(s::VARCHAR, 4, '0') ELSE s::VARCHAR END AS provider_id,
          CASE WHEN mix % 1999 = 3 THEN 'PRC9999'
               ELSE 'PRC' || lpad((p % 120 + 1)::VARCHAR, 4, '0') END AS procedure_code,
-         (DATE '2024-01-01' + (mix % 912)::INT)::DATE::VARCHAR AS service_date,
-         (DATE '2024-01-01' + (mix % 912 + CASE WHEN mix % 333 = 9 THEN -10 ELSE qty % 46 END)::INT)
-           ::DATE::VARCHAR AS submitted_date,
-         CASE WHEN mix % 250 = 11 THEN -price ELSE price END AS billed_amount_eur,
-         CASE WHEN mix % 50 < 34
+         CASE WHEN mix % 227 <> 7 THEN (DATE '2024-01-01' + day_nr::INT)::DATE::VARCHAR END AS service_date,
+         CASE WHEN mix % 229 <> 8
+              THEN (DATE '2024-01-01' + (day_nr + CASE WHEN mix % 333 = 9 THEN -10 ELSE qty % 46 END)::INT)
+                ::DATE::VARCHAR END AS submitted_date,
+         CASE WHEN mix % 250 = 11 THEN -price WHEN mix % 233 <> 9 THEN price END AS billed_amount_eur,
+         CASE WHEN mix % 239 = 10 THEN NULL
+              WHEN mix % 50 < 34 AND cust % 17 <> 5
               THEN (cents * (100 - mix % 51) // 100 * 100)::DOUBLE / 10000 ELSE 0.0::DOUBLE
               END AS approved_amount_eur,
-         CASE WHEN mix % 500 = 13 THEN 'APRVD'
+         CASE WHEN mix % 500 = 13 THEN 'APRVD' WHEN mix % 211 = 5 THEN NULL
+              WHEN cust % 17 = 5 AND mix % 50 < 34 THEN 'REJECTED'
               ELSE CASE WHEN mix % 50 < 34 THEN 'APPROVED' WHEN mix % 50 < 41 THEN 'REJECTED'
                         WHEN mix % 50 < 46 THEN 'PENDING' ELSE 'UNDER_REVIEW' END
               END AS claim_status,
          (cents * 64 + qty) * 2 + copy_no AS _ord
-  FROM (SELECT *, 0 AS copy_no FROM mixed UNION ALL SELECT *, 1 FROM mixed WHERE mix % 100 = 7)
+  FROM (SELECT *, 0 AS copy_no FROM mixed UNION ALL SELECT *, 1 FROM mixed WHERE mix % 100 = 7
+        UNION ALL SELECT *, 0 FROM mixed WHERE mix % 103 = 9 AND mix % 100 <> 7)
 )"""
 
 # --- rules: one boolean per rule, in config order --------------------------
@@ -127,8 +138,9 @@ members_by_id AS (
 g_member AS (
   SELECT rn::BIGINT AS member_key, member_id, first_name, last_name, date_of_birth,
          years::BIGINT AS age,
-         CASE WHEN years >= 60 OR years IS NULL THEN '60+' WHEN years >= 45 THEN '45-59'
-              WHEN years >= 30 THEN '30-44' ELSE '18-29' END AS age_band,
+         -- fixed values: the age bands
+         CASE WHEN years < 30 THEN '18-29' WHEN years < 45 THEN '30-44' WHEN years < 60 THEN '45-59'
+              ELSE '60+' END AS age_band,
          county, plan_type, enrolment_date, monthly_premium_eur
   FROM members_by_id
 ),
@@ -156,14 +168,14 @@ by_month AS (
          sum(billed_amount_eur::DECIMAL(18,4))::DOUBLE AS billed,
          sum(approved_amount_eur::DECIMAL(18,4))::DOUBLE AS approved,
          sum(CASE WHEN claim_status = 'APPROVED' THEN 1 ELSE 0 END)::DOUBLE AS yes,
-         sum(submission_lag_days)::DOUBLE AS lag_days,
+         sum(submission_lag_days)::DOUBLE AS lag_days, count(submission_lag_days) AS lags,
          sum(CASE WHEN submission_lag_days > 30 THEN 1 ELSE 0 END)::DOUBLE AS late
   FROM g_fact WHERE service_date_key BETWEEN 20240101 AND 20261231 GROUP BY 1
 ),
 g_monthly AS (
   SELECT month, n AS total_claims, round(billed, 2) AS total_billed_eur,
          round(approved, 2) AS total_approved_eur, round(100 * yes / n, 2) AS approval_rate_pct,
-         round(lag_days / n, 1) AS avg_submission_lag_days,
+         round(lag_days / lags, 1) AS avg_submission_lag_days,
          round(CASE WHEN billed <> 0 THEN 100 * approved / billed END, 2) AS payout_ratio_pct
   FROM by_month
 )"""
@@ -252,13 +264,16 @@ def _failing(rule_type: str) -> str:
     return _with(RULES, "\nUNION ALL ".join(selects))
 
 
-def _reasons(dataset: str) -> str:
+def _texts(rules: list) -> str:
     return " || ".join(
-        f"CASE WHEN f{i} THEN '{kind}:{label};' ELSE '' END"
-        for i, (kind, label, _) in enumerate(CHECKED[dataset][2])
+        f"CASE WHEN f{i} THEN '{kind}:{label};' ELSE '' END" for i, (kind, label, _) in enumerate(rules)
     )
 
 
+def _reasons(dataset: str) -> str:
+    return _texts(CHECKED[dataset][2])
+
+
 def _quarantine(dataset: str, columns: str) -> str:
     table = CHECKED[dataset][0]
     return (
@@ -267,25 +282,60 @@ def _quarantine(dataset: str, columns: str) -> str:
     )
 
 
-REPORT = "\nUNION ALL ".join(
-    f"SELECT '{name}' AS dataset, '{kind}' AS rule_type, '{label}' AS \"column\", "
-    f"'{text}' AS description, count(*) AS rows_checked, count(*) FILTER (f{i}) AS rows_failed, "
-    f"round_even(CASE WHEN count(*) = 0 THEN 100 ELSE (1 - count(*) FILTER (f{i}) / count(*)) * 100 END, 2) "
-    f"AS pass_rate_pct FROM {table}"
-    for name, (table, _, rules) in CHECKED.items()
-    for i, (kind, label, text) in enumerate(rules)
-)
+def _report_of(name: str, table: str, rules: list) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS dataset, '{kind}' AS rule_type, '{label}' AS \"column\", "
+        f"'{text}' AS description, count(*) AS rows_checked, count(*) FILTER (f{i}) AS rows_failed, "
+        f"round_even(CASE WHEN count(*) = 0 THEN 100 ELSE (1 - count(*) FILTER (f{i}) / count(*)) * 100 END, 2) "
+        f"AS pass_rate_pct FROM {table}"
+        for i, (kind, label, text) in enumerate(rules)
+    )
+
 
-DATES = """
+REPORT = "\nUNION ALL ".join(_report_of(name, table, rules) for name, (table, _, rules) in CHECKED.items())
+
+#: The claims as lines of text, some of which cannot be read as they should be.
+LINE_FLAGS = """
+line_cells AS (
+  SELECT *, _ord // 2 % 97 AS turn,
+         CASE WHEN turn = 3 THEN 'soon' ELSE service_date END AS day_text,
+         CASE WHEN turn = 5 THEN NULL ELSE claim_status END AS status_text
+  FROM raw_claims
+),
+line_flags AS (
+  SELECT claim_id,
+         turn <> 1 AND coalesce(billed_amount_eur < 0, false) AS f0,
+         coalesce(status_text NOT IN ('APPROVED', 'REJECTED', 'PENDING', 'UNDER_REVIEW'), true) AS f1,
+         coalesce(try_cast(day_text AS TIMESTAMP) > try_cast(submitted_date AS TIMESTAMP), false) AS f2,
+         NOT EXISTS (SELECT 1 FROM ok_members m WHERE m.member_id = c.member_id) AS f3,
+         NOT EXISTS (SELECT 1 FROM ok_providers p WHERE p.provider_id = c.provider_id) AS f4,
+         turn IN (4, 5) AS f5, turn = 3 AS f6, false AS f7, turn = 1 AS f8, turn = 2 AS f9
+  FROM line_cells c
+)"""
+LINES = [MEMBERS, PROVIDERS, CLAIMS, MEMBER_FLAGS, PROVIDER_FLAGS, LINE_FLAGS]
+LINE_RULES = [
+    *CHECKED["claims"][2][1:],
+    ("whole_line", "_corrupt_line", "A line has as many cells as the header"),
+    *(
+        ("readable", c, f"{c} can be read")
+        for c in ("service_date", "submitted_date", "billed_amount_eur", "approved_amount_eur")
+    ),
+]
+
+DAYS = """
 SELECT (year(d) * 10000 + month(d) * 100 + day(d))::INT AS date_key, d AS full_date,
        year(d)::BIGINT AS year, ((month(d) - 1) // 3 + 1)::BIGINT AS quarter,
        month(d)::BIGINT AS month_num, left(d::VARCHAR, 7) AS year_month,
        isodow(d) % 7 AS day_of_week, isodow(d) >= 6 AS is_weekend
-FROM (SELECT date_trunc('year', min(service_date))::DATE + i.i::INT AS d
+FROM ({source})
+"""
+
+CLAIM_DAYS = """
+SELECT date_trunc('year', min(service_date))::DATE + i.i::INT AS d
       FROM (SELECT min(service_date) AS service_date, max(service_date) AS last FROM silver_claims),
            LATERAL (SELECT unnest(range(0, (make_date(year(last) + 1, 1, 1)
                     - date_trunc('year', service_date)::DATE)::BIGINT)) AS i) i
-      GROUP BY i.i)
+      GROUP BY i.i
 """
 
 SQL = {
@@ -309,12 +359,24 @@ SQL = {
     "claims_quarantine": _with(RULES, _quarantine("claims", CLAIM_COLUMNS)),
     "quarantine_reasons": _with(
         RULES,
-        'SELECT reason, count(*) AS "rows" FROM ('
+        'SELECT dataset, reason, count(*) AS "rows" FROM ('
         + " UNION ALL ".join(
-            f"SELECT '{kind}:{label}' AS reason FROM claim_flags WHERE f{i}"
-            for i, (kind, label, _) in enumerate(CHECKED["claims"][2])
+            f"SELECT '{name}' AS dataset, '{kind}:{label}' AS reason FROM {table} WHERE f{i}"
+            for name, (table, _, rules) in CHECKED.items()
+            for i, (kind, label, _) in enumerate(rules)
         )
-        + ") GROUP BY reason",
+        + ") GROUP BY dataset, reason",
+    ),
+    "csv_report": _with(LINES, _report_of("claims", "line_flags", LINE_RULES)),
+    "csv_quarantine": _with(
+        LINES,
+        f"SELECT claim_id, _dq_failures, count(*) AS lines FROM (SELECT claim_id, {_texts(LINE_RULES)} "
+        "AS _dq_failures FROM line_flags) WHERE _dq_failures <> '' GROUP BY ALL",
+    ),
+    "csv_lines": _with(
+        LINES,
+        "SELECT count(*) AS lines, count(*) FILTER (why = '') AS clean, count(*) FILTER (why <> '') AS quarantined "
+        f"FROM (SELECT {_texts(LINE_RULES)} AS why FROM line_flags)",
     ),
     "dq_report": _with(RULES, REPORT),
     "dq_total_failures": _with(
@@ -324,7 +386,13 @@ SQL = {
     "conform_claims": _with(STAR, f"SELECT {CLAIM_COLUMNS} FROM silver_claims"),
     "dim_member": _with(STAR, "SELECT * FROM g_member"),
     "dim_provider": _with(STAR, "SELECT * FROM g_provider"),
-    "dim_date": _with(STAR, DATES),
+    "dim_date": DAYS.format(source="SELECT unnest(range(DATE '2024-01-01', DATE '2027-01-01', INTERVAL 1 DAY))::DATE AS d"),
+    "dim_date_of_claims": _with(STAR, DAYS.format(source=CLAIM_DAYS)),
+    "facts_outside_calendar": _with(
+        STAR,
+        "SELECT (service_date_key // 10000)::INT AS service_year, count(*) AS facts FROM g_fact "
+        "WHERE service_date_key IS NULL OR service_date_key NOT BETWEEN 20240101 AND 20261231 GROUP BY 1",
+    ),
     "fact_claims": _with(STAR, "SELECT * FROM g_fact"),
     "mart_monthly_kpis": _with([*STAR, MONTHLY], "SELECT * FROM g_monthly"),
     "mart_specialty_costs": _with([*STAR, COSTS], "SELECT * FROM g_costs"),
@@ -338,11 +406,12 @@ SQL = {
     ),
     "q_top_procedures": _with(
         STAR,
-        """SELECT procedure_code, n AS claim_count, round(spend / n, 2) AS avg_cost_eur,
+        """SELECT procedure_code, n AS claim_count, round(spend / priced, 2) AS avg_cost_eur,
            round(spend, 2) AS total_cost_eur
-           FROM (SELECT procedure_code, count(*) AS n, sum(approved_amount_eur::DECIMAL(18,4))::DOUBLE AS spend
+           FROM (SELECT procedure_code, count(*) AS n, count(approved_amount_eur) AS priced,
+                        sum(approved_amount_eur::DECIMAL(18,4))::DOUBLE AS spend
                  FROM g_fact WHERE claim_status = 'APPROVED' GROUP BY procedure_code)
-           WHERE n > 49 ORDER BY avg_cost_eur DESC, procedure_code LIMIT 10""",
+           WHERE n >= 50 ORDER BY avg_cost_eur DESC, procedure_code LIMIT 10""",
     ),
     "q_over_3x_premium": _with(
         [*STAR, USE],
@@ -360,7 +429,9 @@ SQL = {
     ),
     "q_latest_kpis": _with([*STAR, MONTHLY], "SELECT * FROM g_monthly ORDER BY month DESC LIMIT 6"),
     "check_duplicate_keys": _with(
-        STAR, "SELECT count(*) - count(DISTINCT claim_id) AS duplicate_keys FROM silver_claims"
+        STAR,
+        "SELECT count(*) AS duplicate_keys FROM "
+        "(SELECT claim_id FROM silver_claims GROUP BY claim_id HAVING count(*) > 1)",
     ),
     "check_negative_amounts": _with(
         STAR,

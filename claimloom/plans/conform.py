@@ -1,33 +1,35 @@
-"""Silver form of clean rows: casing and dates."""
+"""Silver form of clean rows: casing, numbers and dates."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from claimloom.functions.exprs import strict_timestamp, title_case
+from collections.abc import Mapping
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-def conform_members(clean: DataFrame) -> DataFrame:
-    return clean.withColumns(
-        {
-            "plan_type": title_case(F.col("plan_type")),
-            "date_of_birth": strict_timestamp(F.col("date_of_birth")),
-            "enrolment_date": strict_timestamp(F.col("enrolment_date")),
-        }
-    )
+from claimloom.functions.exprs import strict_number, strict_timestamp, title_case
+from claimloom.sources.config import CORRUPT_LINE
 
+#: Text columns that are written in title case.
+TITLES = {"members": ("plan_type",)}
 
-def conform_claims(clean: DataFrame) -> DataFrame:
-    """A date that no rule caught and that cannot be read stops the run here."""
-    return clean.withColumns(
-        {c: strict_timestamp(F.col(c)) for c in ("service_date", "submitted_date")}
-    )
 
+def _typed(df: DataFrame, name: str, kind: str) -> Column:
+    if kind == "timestamp":
+        return strict_timestamp(F.col(name))
+    return strict_number(F.col(name)) if dict(df.dtypes)[name] == "string" else F.col(name).cast(kind)
 
-#: Datasets not named here go to silver as they are.
-CONFORM = {"members": conform_members, "claims": conform_claims}
 
+def conform(dataset: str, clean: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """Cells get their types. What no rule caught and cannot be read stops the run here.
 
-def conform(dataset: str, clean: DataFrame) -> DataFrame:
-    return CONFORM.get(dataset, lambda df: df)(clean)
+    So does a line with the wrong number of cells. Datasets without types and
+    titles go to silver as they are.
+    """
+    columns = {c: title_case(F.col(c)) for c in TITLES.get(dataset, ())}
+    columns |= {c: _typed(clean, c, kind) for c, kind in kinds.items() if c in clean.columns}
+    if CORRUPT_LINE in clean.columns:
+        complaint = F.concat(F.lit("a line has the wrong number of cells: "), CORRUPT_LINE)
+        stop = F.raise_error(complaint).cast("boolean")
+        clean = clean.where(F.when(F.col(CORRUPT_LINE).isNull(), True).otherwise(stop)).drop(CORRUPT_LINE)
+    return clean.withColumns(columns) if columns else clean

@@ -19,10 +19,7 @@ from claimloom.functions.exprs import (
 )
 from claimloom.operators.dense_key import Store, with_dense_key
 from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK, lookup
-
-# The calendar the monthly figures are limited to.
-CALENDAR_START = dt.date(2024, 1, 1)
-CALENDAR_END = dt.date(2026, 12, 31)
+from claimloom.sources.config import CALENDAR_END, CALENDAR_START
 
 # Lower age limit of each band but the first.
 AGE_BANDS = ((30, "18-29"), (45, "30-44"), (60, "45-59"))
@@ -136,6 +133,7 @@ def fact_claims(
             key,
             ["claim_id"],
             "inner",
+            counted_on=claims,
             rows_per_task=rows_per_task,
             broadcast_bytes=broadcast_bytes,
         )
@@ -155,6 +153,14 @@ def fact_claims(
     )
 
 
+def outside_calendar(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """How many facts the monthly figures leave out: by year of service, null where there is no day."""
+    days = dates.select(F.col("date_key").alias("service_date_key"))
+    left_out = fact.join(F.broadcast(days), "service_date_key", "left_anti")
+    year = F.floor(F.col("service_date_key") / 10000).cast("int")
+    return left_out.groupBy(year.alias("service_year")).agg(F.count(F.lit(1)).alias("facts"))
+
+
 def in_calendar(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Facts whose service day is in the calendar, with its month.
 

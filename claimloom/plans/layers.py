@@ -20,7 +20,9 @@ from claimloom.operators.quality import RuleOutcome, apply_rules
 from claimloom.plans import gold
 from claimloom.plans.conform import conform
 from claimloom.sources import driver_tables
-from claimloom.sources.config import Config, load_config, references_of
+from claimloom.session import shared_folder
+from claimloom.sources.config import Config, load_config, reading_rules, references_of
+from claimloom.sources.extracts import ROW_ORDER, read_extract, write_lines
 from claimloom.sources.tables import Staging
 
 CONFIG = Path(__file__).parents[2] / "config" / "claims.json"
@@ -72,7 +74,9 @@ class Layers:
             for other in sorted(references_of(rules))
         }
         order = [driver_tables.ORDER]
-        return apply_rules(self.bronze(name), name, rules, keys, order, **self._limits)
+        place = f"{name}-{'all' if rule is None else rule}"
+        store = lambda part, df: self._store(f"{place}-{part}", lambda: df)
+        return apply_rules(self.bronze(name), name, rules, keys, order, store=store, **self._limits)
 
     def stored_outcome(self, name: str) -> RuleOutcome:
         if f"checked/{name}" not in self._stored:
@@ -84,7 +88,7 @@ class Layers:
         return RuleOutcome(stored, name, ds.rules, columns)
 
     def silver(self, name: str) -> DataFrame:
-        return conform(name, self.stored_outcome(name).clean)
+        return conform(name, self.stored_outcome(name).clean, self.config.datasets[name].kinds)
 
     def dim_member(self) -> DataFrame:
         return gold.dim_member(self.silver("members"), self._sorted("members"), AS_OF)
@@ -93,7 +97,7 @@ class Layers:
         return gold.dim_provider(self.silver("providers"), self._sorted("providers"))
 
     def dim_date(self) -> DataFrame:
-        return gold.dim_date(self.spark)
+        return gold.dim_date(self.spark, *self.config.calendar)
 
     def stored_dim_member(self) -> DataFrame:
         return self._store("dim_member", self.dim_member)
@@ -122,10 +126,50 @@ class Layers:
         return gold.mart_member_utilisation(self.stored_fact(), self.stored_dim_member())
 
 
+    def stored_monthly_kpis(self) -> DataFrame:
+        return self._store("mart_monthly_kpis", self.monthly_kpis)
+
+    def stored_specialty_costs(self) -> DataFrame:
+        return self._store("mart_specialty_costs", self.specialty_costs)
+
+    def stored_member_utilisation(self) -> DataFrame:
+        return self._store("mart_member_utilisation", self.member_utilisation)
+
+    def line_outcome(self) -> RuleOutcome:
+        """The claims written as CSV lines and read back, with what cannot be read quarantined."""
+        if "lines" not in self._stored:
+            path = f"{shared_folder(self.spark)}/claimloom/lines-{uuid4().hex}"
+            lines = driver_tables.claim_lines(self.bronze("claims"))
+            write_lines(lines, path, driver_tables.CLAIM_COLUMNS)
+            read = read_extract(self.spark, path, "once", driver_tables.CLAIM_COLUMNS)
+            self._store("lines", lambda: read)
+        ds = self.config.datasets["claims"]
+        rules = (*(r for r in ds.rules if r.type != "unique"), *reading_rules(ds.kinds))
+        keys = {
+            other: self.stored_outcome(other).clean.select(self.config.datasets[other].key)
+            for other in sorted(references_of(rules))
+        }
+        outcome = apply_rules(self._stored["lines"], "claims", rules, keys, ROW_ORDER, **self._limits)
+        return outcome.on(self._store("checked-lines", lambda: outcome.checked))
+
+
+def fingerprint(spark: SparkSession, folder: str) -> tuple:
+    """Paths, sizes and times of all files of a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        file = files.next()
+        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
+
+
 @lru_cache(maxsize=8)
-def _layers(spark: SparkSession, application: str, folder: str) -> Layers:
+def _layers(spark: SparkSession, application: str, folder: str, content: tuple) -> Layers:
     return Layers(spark, folder, load_config(CONFIG))
 
 
 def layers(spark: SparkSession, folder: str) -> Layers:
-    return _layers(spark, spark.sparkContext.applicationId, folder.rstrip("/"))
+    """The layers over a folder, shared by the queries of a session while its files are the same."""
+    folder = folder.rstrip("/")
+    return _layers(spark, spark.sparkContext.applicationId, folder, fingerprint(spark, folder))

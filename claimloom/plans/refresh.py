@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 from hashlib import sha256
 from typing import TypeVar
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from claimloom.operators.quality import RuleOutcome, apply_rules, union_reports
 from claimloom.plans import analytics, gold
 from claimloom.plans.conform import conform
 from claimloom.sources.config import Config
-from claimloom.sources.extracts import ROW_ORDER, column_kinds, read_extract
+from claimloom.sources.extracts import ROW_ORDER, read_extract
 from claimloom.sources.tables import Staging, ensure_database, replace_csv, replace_table
 
 Result = TypeVar("Result")
@@ -33,9 +34,9 @@ def _together(
 
 
 def _staging(spark: SparkSession, config: Config, step: str) -> Staging:
-    """A place of this warehouse, so that runs of other ones do not meet it."""
+    """A place of this run alone."""
     warehouse = sha256(f"{config.warehouse}/{config.database_prefix}".encode()).hexdigest()[:16]
-    return Staging(spark, f"{warehouse}/{step}")
+    return Staging(spark, f"{warehouse}/{uuid4().hex}/{step}")
 
 
 def load_bronze(spark: SparkSession, config: Config, batch_ts: str) -> dict[str, DataFrame]:
@@ -46,7 +47,7 @@ def load_bronze(spark: SparkSession, config: Config, batch_ts: str) -> dict[str,
     def load(name: str) -> DataFrame:
         ds = config.datasets[name]
         path = f"{config.raw_zone}/{ds.file}"
-        extract = read_extract(spark, path, batch_ts, column_kinds(ds), ds.multi_line)
+        extract = read_extract(spark, path, batch_ts, {*ds.rule_columns, *ds.kinds}, ds.multi_line)
         return replace_table(extract, database, name, config.warehouse)
 
     return _together(spark, {name: partial(load, name) for name in config.datasets})
@@ -62,6 +63,16 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
     for database in (silver, audit):
         ensure_database(spark, database)
     staging = _staging(spark, config, "checked")
+    try:
+        return _check_and_write(spark, config, bronze, staging)
+    finally:
+        staging.clear()
+
+
+def _check_and_write(
+    spark: SparkSession, config: Config, bronze: dict[str, DataFrame], staging: Staging
+) -> DataFrame:
+    silver, audit = config.database("silver"), config.database("audit")
     outcomes: dict[str, RuleOutcome] = {}
 
     def check(name: str) -> RuleOutcome:
@@ -70,7 +81,8 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
             other: outcomes[other].clean.select(config.datasets[other].key)
             for other in ds.references
         }
-        outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER)
+        store = lambda part, df: staging.store(f"{name}-{part}", df)
+        outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER, store=store)
         return outcome.on(staging.store(name, outcome.checked.drop(*ROW_ORDER)))
 
     for names in config.stages:
@@ -78,7 +90,10 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
 
     def keep_clean(name: str) -> DataFrame:
         return replace_table(
-            conform(name, outcomes[name].clean), silver, name, config.warehouse
+            conform(name, outcomes[name].clean, config.datasets[name].kinds),
+            silver,
+            name,
+            config.warehouse,
         )
 
     def keep_quarantined(name: str) -> None:
@@ -99,7 +114,6 @@ def build_silver(spark: SparkSession, config: Config, bronze: dict[str, DataFram
             "report": keep_report,
         },
     )
-    staging.clear()
     return kept["report"]
 
 
@@ -110,6 +124,16 @@ def build_gold(
     database, silver = config.database("gold"), config.database("silver")
     ensure_database(spark, database)
     staging = _staging(spark, config, "sorted")
+    try:
+        return _build_gold(spark, config, as_of, staging)
+    finally:
+        staging.clear()
+
+
+def _build_gold(
+    spark: SparkSession, config: Config, as_of: dt.date | None, staging: Staging
+) -> dict[str, DataFrame]:
+    database, silver = config.database("gold"), config.database("silver")
     built: dict[str, DataFrame] = {}
 
     def source(name: str) -> DataFrame:
@@ -129,10 +153,9 @@ def build_gold(
             "dim_provider": lambda: gold.dim_provider(
                 source("providers"), partial(staging.store, "providers")
             ),
-            "dim_date": lambda: gold.dim_date(spark),
+            "dim_date": lambda: gold.dim_date(spark, *config.calendar),
         }
     )
-    staging.clear()
     members, providers, dates = (built[n] for n in ("dim_member", "dim_provider", "dim_date"))
     build({"fact_claims": lambda: gold.fact_claims(source("claims"), members, providers)})
     fact = built["fact_claims"]

@@ -8,7 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.operators.quality import reason_counts, total_failures, union_reports
+from claimloom.operators.quality import (
+    REASONS,
+    RuleOutcome,
+    reason_counts,
+    total_failures,
+    union_reports,
+)
 from claimloom.plans import analytics, checks, gold
 from claimloom.plans.layers import Layers, layers
 from claimloom.sources.driver_tables import ORDER
@@ -39,6 +45,29 @@ def _report(built: Layers) -> DataFrame:
     return union_reports([built.outcome(name) for name in built.config.order])
 
 
+def _quarantines(built: Layers) -> DataFrame:
+    """Reasons of all quarantined rows, with their dataset."""
+    found = [
+        built.stored_outcome(name).quarantined.select(F.lit(name).alias("dataset"), REASONS)
+        for name in built.config.order
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _claim_reasons(quarantined: DataFrame) -> DataFrame:
+    return quarantined.groupBy("claim_id", REASONS).agg(F.count(F.lit(1)).alias("lines"))
+
+
+def _line_counts(outcome: RuleOutcome) -> DataFrame:
+    """Lines read, and how many of them are clean and quarantined."""
+    clean = F.col(REASONS) == ""
+    return outcome.checked.agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count_if(clean).alias("clean"),
+        F.count_if(~clean).alias("quarantined"),
+    )
+
+
 def _stored_report(built: Layers) -> DataFrame:
     return union_reports([built.stored_outcome(name) for name in built.config.order])
 
@@ -57,29 +86,34 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "members_quarantine": lambda b: b.outcome("members").quarantined,
     "providers_quarantine": lambda b: b.outcome("providers").quarantined,
     "claims_quarantine": lambda b: b.outcome("claims").quarantined,
-    "quarantine_reasons": lambda b: reason_counts(b.outcome("claims").quarantined),
+    "quarantine_reasons": lambda b: reason_counts(_quarantines(b), "dataset"),
+    "csv_report": lambda b: b.line_outcome().report,
+    "csv_quarantine": lambda b: _claim_reasons(b.line_outcome().quarantined),
+    "csv_lines": lambda b: _line_counts(b.line_outcome()),
     "dq_report": _report,
     "dq_total_failures": lambda b: total_failures(_stored_report(b)),
     "conform_members": lambda b: b.silver("members"),
     "conform_claims": lambda b: b.silver("claims"),
     "dim_member": Layers.dim_member,
     "dim_provider": Layers.dim_provider,
-    "dim_date": lambda b: gold.dim_date_of(b.silver("claims")),
+    "dim_date": Layers.dim_date,
+    "dim_date_of_claims": lambda b: gold.dim_date_of(b.silver("claims")),
+    "facts_outside_calendar": lambda b: gold.outside_calendar(b.stored_fact(), b.dim_date()),
     "fact_claims": Layers.fact,
     "mart_monthly_kpis": Layers.monthly_kpis,
     "mart_specialty_costs": Layers.specialty_costs,
     "mart_member_utilisation": Layers.member_utilisation,
-    "q_mom_growth": lambda b: analytics.mom_growth(b.monthly_kpis()),
+    "q_mom_growth": lambda b: analytics.mom_growth(b.stored_monthly_kpis()),
     "q_top_procedures": lambda b: analytics.top_procedures(b.stored_fact()),
-    "q_over_3x_premium": lambda b: analytics.over_premium(b.member_utilisation()),
-    "q_oon_premium": lambda b: analytics.out_of_network_premium(b.specialty_costs()),
+    "q_over_3x_premium": lambda b: analytics.over_premium(b.stored_member_utilisation()),
+    "q_oon_premium": lambda b: analytics.out_of_network_premium(b.stored_specialty_costs()),
     "q_sla_breach": lambda b: analytics.sla_breaches(b.stored_fact(), b.dim_date()),
-    "q_latest_kpis": lambda b: analytics.latest_kpis(b.monthly_kpis()),
+    "q_latest_kpis": lambda b: analytics.latest_kpis(b.stored_monthly_kpis()),
     "check_duplicate_keys": lambda b: checks.duplicate_keys(b.silver("claims")),
     "check_negative_amounts": lambda b: checks.negative_amounts(b.silver("claims")),
     "check_orphan_facts": lambda b: checks.orphan_facts(b.stored_fact(), b.stored_dim_member()),
     "check_failures_recorded": lambda b: checks.failures_recorded(_stored_report(b)),
-    "check_rate_bounds": lambda b: checks.rate_bounds(b.monthly_kpis()),
+    "check_rate_bounds": lambda b: checks.rate_bounds(b.stored_monthly_kpis()),
 }
 
 

@@ -37,6 +37,10 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
+        if not context.master.startswith("local") and (named.startswith("file:") or ":" not in named.split("/")[0]):
+            default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if named.startswith("file:") or default.startswith("file:"):
+                raise ValueError("spark.checkpoint.dir names a folder of one machine; name one all executors can reach")
         return named
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")

@@ -2,15 +2,50 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
+import os
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from graphlib import CycleError, TopologicalSorter
 from pathlib import Path
 from typing import Any
 
 from claimloom.operators.rules import Rule, rule_from_dict
 
+# The calendar the monthly figures are limited to, if the config names no other.
+CALENDAR_START = dt.date(2024, 1, 1)
+CALENDAR_END = dt.date(2026, 12, 31)
+
+#: Column of a bronze table that holds a line whose number of cells was wrong, else null.
+CORRUPT_LINE = "_corrupt_line"
+ON_BAD_VALUE = ("fail", "quarantine")
+
+#: Columns of the known datasets that are not text; their cells stay text until
+#: silver is made.
+TYPED_COLUMNS = {
+    "members": {
+        "date_of_birth": "timestamp",
+        "enrolment_date": "timestamp",
+        "monthly_premium_eur": "double",
+    },
+    "claims": {
+        "service_date": "timestamp",
+        "submitted_date": "timestamp",
+        "billed_amount_eur": "double",
+        "approved_amount_eur": "double",
+    },
+}
+
+
+def reading_rules(kinds: Mapping[str, str]) -> tuple[Rule, ...]:
+    """Rules that quarantine what could not be read: ragged lines, cells that are no value of their type."""
+    whole = Rule("whole_line", (CORRUPT_LINE,), description="A line has as many cells as the header")
+    return (
+        whole,
+        *(Rule("readable", (c,), {"kind": k}, f"{c} can be read") for c, k in kinds.items()),
+    )
+
 
 def references_of(rules: Sequence[Rule]) -> set[str]:
     """Datasets whose keys the rules look into."""
@@ -28,6 +63,16 @@ class Dataset:
     columns: Mapping[str, str] = field(default_factory=dict)
     multi_line: bool = False
 
+    @property
+    def kinds(self) -> dict[str, str]:
+        """Types of the columns other than text; declared ones win."""
+        return {**TYPED_COLUMNS.get(self.name, {}), **self.columns}
+
+    @property
+    def rule_columns(self) -> set[str]:
+        """Columns of the extract that the key and the rules need."""
+        return {self.key, *(c for r in self.rules for c in r.columns)} - {CORRUPT_LINE}
+
     @property
     def references(self) -> set[str]:
         return references_of(self.rules)
@@ -41,6 +86,8 @@ class Config:
     warehouse: str
     datasets: Mapping[str, Dataset]
     database_prefix: str = ""
+    #: First and last day of the calendar.
+    calendar: tuple[dt.date, dt.date] = (CALENDAR_START, CALENDAR_END)
 
     @property
     def stages(self) -> list[list[str]]:
@@ -62,8 +109,8 @@ class Config:
         return f"{self.database_prefix}{layer}"
 
 
-def _dataset(name: str, declared: Mapping[str, Any]) -> Dataset:
-    return Dataset(
+def _dataset(name: str, declared: Mapping[str, Any], on_bad_value: str) -> Dataset:
+    ds = Dataset(
         name=name,
         file=declared["file"],
         key=declared.get("key", f"{name[:-1]}_id"),
@@ -71,18 +118,44 @@ def _dataset(name: str, declared: Mapping[str, Any]) -> Dataset:
         columns=dict(declared.get("columns") or {}),
         multi_line=bool(declared.get("multi_line", False)),
     )
+    odd = {k for k in ds.columns.values() if k not in ("double", "timestamp")}
+    if odd:
+        raise ValueError(f"{name}: columns are text, double or timestamp, not {', '.join(sorted(odd))}")
+    return ds if on_bad_value == "fail" else replace(ds, rules=(*ds.rules, *reading_rules(ds.kinds)))
+
+
+def qualified(path: str) -> str:
+    """A path that means the same wherever it is used: relative ones are below the working folder."""
+    return path if ":" in path.split("/")[0] else os.path.abspath(path)
+
+
+def _calendar(declared: Mapping[str, Any]) -> tuple[dt.date, dt.date]:
+    first, last = (
+        dt.date.fromisoformat(str(declared.get(k, default)))
+        for k, default in (("start", CALENDAR_START), ("end", CALENDAR_END))
+    )
+    if first > last:
+        raise ValueError(f"the calendar ends on {last}, before it starts on {first}")
+    return first, last
 
 
 def config_from_dict(declared: Mapping[str, Any]) -> Config:
-    datasets = {n: _dataset(n, d) for n, d in declared["datasets"].items()}
+    on_bad_value = declared.get("on_bad_value", "fail")
+    if on_bad_value not in ON_BAD_VALUE:
+        raise ValueError(f"on_bad_value is one of {', '.join(ON_BAD_VALUE)}, not {on_bad_value!r}")
+    datasets = {n: _dataset(n, d, on_bad_value) for n, d in declared["datasets"].items()}
     for name, ds in datasets.items():
         unknown = ds.references - datasets.keys()
         if unknown:
             raise ValueError(f"{name} refers to unknown datasets: {sorted(unknown)}")
     config = Config(
-        **{k: declared["paths"][k] for k in ("raw_zone", "quarantine_zone", "reports", "warehouse")},
+        **{
+            k: qualified(declared["paths"][k])
+            for k in ("raw_zone", "quarantine_zone", "reports", "warehouse")
+        },
         datasets=datasets,
         database_prefix=declared.get("database_prefix", ""),
+        calendar=_calendar(declared.get("calendar") or {}),
     )
     try:
         config.order

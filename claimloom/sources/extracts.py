@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.sources.config import Dataset
+from claimloom.sources.config import CORRUPT_LINE
 
 #: Columns that put rows in input order; kept in bronze, dropped in silver.
 ROW_ORDER = ("_order_file", "_order_block", "_order_row")
@@ -18,35 +18,31 @@ NULL_TOKENS = (
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-#: Columns of the known datasets that are not text.
-NUMBER_COLUMNS = {
-    "members": {"monthly_premium_eur": "double"},
-    "claims": {"billed_amount_eur": "double", "approved_amount_eur": "double"},
-}
-
-
-def column_kinds(ds: Dataset) -> dict[str, str]:
-    """Types of a dataset's columns other than text; declared ones win."""
-    return {**NUMBER_COLUMNS.get(ds.name, {}), **ds.columns}
-
-
-def _cell(name: str, kind: str | None) -> Column:
+def _cell(name: str) -> Column:
     quoted = F.col(f"`{name}`")
-    value = F.when(~quoted.isin(*NULL_TOKENS), quoted)
-    return (value.try_cast(kind) if kind else value).alias(name)
-
-
-# Quotes inside quoted text are doubled; header names are checked per file.
-CSV_OPTIONS = {"header": True, "enforceSchema": False, "escape": '"'}
+    return F.when(~quoted.isin(*NULL_TOKENS), quoted).alias(name)
+
+
+# Quotes inside quoted text are doubled; header names are checked per file. All
+# cells are parsed even if few are asked for, as only then a ragged line shows.
+CSV_OPTIONS = {
+    "header": True,
+    "enforceSchema": False,
+    "escape": '"',
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": CORRUPT_LINE,
+    "columnPruning": False,
+}
 
 
-def bronze_rows(lines: DataFrame, batch_ts: str, kinds: Mapping[str, str]) -> DataFrame:
-    """Cells of CSV ``lines`` with load metadata and row order.
+def bronze_rows(lines: DataFrame, batch_ts: str, needed: Iterable[str]) -> DataFrame:
+    """Cells of CSV ``lines``, all text, with load metadata and row order.
 
-    ``lines`` has the text columns of the file and ``_metadata``.
+    ``lines`` has the text columns of the file, the corrupt line and
+    ``_metadata``. ``needed`` columns must be there.
     """
-    columns = [c for c in lines.columns if c != "_metadata"]
-    missing = kinds.keys() - set(columns)
+    columns = [c for c in lines.columns if c not in ("_metadata", CORRUPT_LINE)]
+    missing = set(needed) - set(columns)
     if missing:
         raise ValueError(f"extract has no column {', '.join(sorted(missing))}")
     # A file block is read by one task from front to back, so the row id is in
@@ -57,31 +53,46 @@ def bronze_rows(lines: DataFrame, batch_ts: str, kinds: Mapping[str, str]) -> Da
         F.monotonically_increasing_id(),
     )
     return lines.select(
-        *[_cell(c, kinds.get(c)) for c in columns],
+        *[_cell(c) for c in columns],
+        CORRUPT_LINE,
         F.lit(batch_ts).alias("_loaded_at"),
         F.col("_metadata.file_name").alias("_source_file"),
         *[column.alias(name) for column, name in zip(order, ROW_ORDER)],
     )
 
 
+def _schema(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}` string" for c in (*columns, CORRUPT_LINE))
+
+
 def read_extract(
     spark: SparkSession,
     path: str,
     batch_ts: str,
-    kinds: Mapping[str, str] | None = None,
+    needed: Iterable[str] = (),
     multi_line: bool = False,
 ) -> DataFrame:
     """A CSV file or folder with header, as it is, plus load metadata.
 
-    Columns go by header name and stay text unless ``kinds`` gives a type, so
-    dates are still text when the rules see them. ``multi_line`` allows line
-    breaks inside quotes, at the price of one task per file.
+    Columns go by header name. Every cell stays text, so rules see it as it
+    was written, and a line with more or fewer cells than the header is kept
+    whole in ``_corrupt_line`` besides the cells it has. ``multi_line`` allows
+    line breaks inside quotes, at the price of one task per file.
     """
-    lines = spark.read.options(**CSV_OPTIONS, multiLine=multi_line).csv(path)
-    return bronze_rows(lines.select("*", "_metadata"), batch_ts, kinds or {})
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
+    header = spark.read.options(header=True, escape='"', multiLine=multi_line).csv(path).columns
+    lines = reader.schema(_schema(header)).csv(path)
+    return bronze_rows(lines.select("*", "_metadata"), batch_ts, needed)
 
 
 def stream_extract(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Lines of CSV files as they arrive in a folder, for ``bronze_rows``."""
-    schema = ", ".join(f"`{c}` string" for c in columns)
-    return spark.readStream.schema(schema).options(**CSV_OPTIONS).csv(path).select("*", "_metadata")
+    lines = spark.readStream.schema(_schema(columns)).options(**CSV_OPTIONS).csv(path)
+    return lines.select("*", "_metadata")
+
+
+def write_lines(lines: DataFrame, path: str, header: Sequence[str]) -> None:
+    """Write one text column as CSV lines, as they are, each file with the header."""
+    # neither sign occurs in the lines, so nothing is quoted or escaped
+    options = {"header": True, "sep": "\x01", "quote": "\x02", "emptyValue": "", "ignoreLeadingWhiteSpace": False}
+    lines.toDF(",".join(header)).write.options(**options, ignoreTrailingWhiteSpace=False).csv(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -15,16 +17,33 @@ def ensure_database(spark: SparkSession, database: str) -> None:
 def replace_table(df: DataFrame, database: str, table: str, warehouse: str) -> DataFrame:
     """Write ``df`` as a parquet table and read it back.
 
-    The table has a path of its own, so a run also replaces what a session
-    with another catalog left there.
+    The rows go to a new folder below the table's own; only once they are all
+    written the table points there, and the folders of earlier runs go. So a
+    run that fails leaves the old table as it was.
     """
     spark = df.sparkSession
-    path = f"{warehouse}/{database}/{table}"
+    home, version = f"{warehouse}/{database}/{table}", f"run-{uuid4().hex}"
     name = f"`{database}`.`{table}`"
-    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    df.write.parquet(f"{home}/{version}")
+    if spark.catalog.tableExists(name) and spark.table(name).schema == df.schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{home}/{version}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=f"{home}/{version}", source="parquet", schema=df.schema)
+    remove_others(spark, home, version)
     return spark.table(name)
 
 
+def remove_others(spark: SparkSession, folder: str, kept: str) -> None:
+    """Delete all of ``folder`` but ``kept``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in system.listStatus(path):
+        if status.getPath().getName() != kept:
+            system.delete(status.getPath(), True)
+
+
 class Staging:
     """Frames written below the shared folder, each under a name of its own.
 

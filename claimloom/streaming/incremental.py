@@ -8,6 +8,7 @@ the batch is tried again, so a restart adds nothing twice.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
@@ -18,7 +19,10 @@ from pyspark.sql.streaming import StreamingQuery
 from claimloom.operators.quality import apply_rules
 from claimloom.plans.conform import conform
 from claimloom.sources.config import Dataset
-from claimloom.sources.extracts import ROW_ORDER, bronze_rows, column_kinds
+from claimloom.sources.extracts import ROW_ORDER, bronze_rows
+
+#: Parts the seen keys are kept in.
+KEY_PARTS = 256
 
 References = Callable[[], Mapping[str, DataFrame]]
 
@@ -46,17 +50,49 @@ class IncrementalLoad:
     def load_batch(self, lines: DataFrame, batch_id: int) -> None:
         """Take in the lines of one batch; safe to repeat."""
         spark, ds = lines.sparkSession, self.dataset
-        bronze = bronze_rows(lines, f"batch {batch_id}", column_kinds(ds))
+        now = dt.datetime.now(dt.timezone.utc).isoformat()
+        bronze = bronze_rows(lines, now, {*ds.rule_columns, *ds.kinds})
         batch = self._replace(bronze, "bronze", batch_id)
-        earlier = None
-        if batch_id > 0:
-            earlier = self.rows(spark, "bronze").where(F.col("batch_id") < batch_id)
+        earlier = self._seen_keys(spark, batch, batch_id) if self._unique_column else None
+        store = lambda name, df: self._replace(df, f"work-{name}", batch_id)
         outcome = apply_rules(
-            batch, ds.name, ds.rules, self.references(), ROW_ORDER, earlier=earlier
+            batch, ds.name, ds.rules, self.references(), ROW_ORDER, earlier=earlier, store=store
         )
         outcome = outcome.on(self._replace(outcome.checked, "checked", batch_id))
         self._replace(outcome.quarantined, "quarantine", batch_id)
-        self._replace(conform(ds.name, outcome.clean), "silver", batch_id)
+        self._replace(conform(ds.name, outcome.clean, ds.kinds), "silver", batch_id)
+        if self._unique_column:
+            self._keep_keys(batch, batch_id)
+
+    @property
+    def _unique_column(self) -> str | None:
+        names = {r.columns[0] for r in self.dataset.rules if r.type == "unique"}
+        if len(names) > 1:
+            raise ValueError("a dataset loaded in batches can be unique by one column only")
+        return next(iter(names), None)
+
+    def _keyed(self, batch: DataFrame) -> DataFrame:
+        """Distinct keys of a batch, with the part each key belongs to."""
+        name = self._unique_column
+        part = F.pmod(F.xxhash64(name), F.lit(KEY_PARTS)).cast("int")
+        return batch.select(F.col(name), part.alias("part")).distinct()
+
+    def _seen_keys(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> DataFrame | None:
+        """Keys of earlier batches, from the parts the batch's keys fall into.
+
+        Partition pruning leaves the files of other parts alone. The list of
+        parts has at most ``KEY_PARTS`` entries.
+        """
+        if batch_id == 0:
+            return None
+        parts = [r[0] for r in self._keyed(batch).select("part").distinct().collect()]
+        seen = self.rows(spark, "keys").where(F.col("part").isin(parts) & (F.col("batch_id") < batch_id))
+        return seen.select(self._unique_column)
+
+    def _keep_keys(self, batch: DataFrame, batch_id: int) -> None:
+        """Write the batch's keys by part; a batch that is tried again replaces its own."""
+        path = f"{self._layer('keys')}/batch_id={batch_id}"
+        self._keyed(batch).write.mode("overwrite").partitionBy("part").parquet(path)
 
     def start(self, lines: DataFrame) -> StreamingQuery:
         """Load all files that are there and not yet loaded, then stop."""

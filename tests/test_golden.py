@@ -59,12 +59,14 @@ def test_gold(spark, staging, outcomes):
     def stored(name, df):
         return staging.store(name, df)
 
-    members = conform("members", outcomes["members"].clean)
+    kinds = {name: ds.kinds for name, ds in load_config(CONFIG).datasets.items()}
+
+    members = conform("members", outcomes["members"].clean, kinds["members"])
     members = stored("dim_m", gold.dim_member(members, lambda df: stored("sorted_m", df), AS_OF))
     providers = outcomes["providers"].clean
     providers = stored("dim_p", gold.dim_provider(providers, lambda df: stored("sorted_p", df)))
     assert (members.count(), providers.count()) == (1473, 96)
-    claims = conform("claims", outcomes["claims"].clean)
+    claims = conform("claims", outcomes["claims"].clean, kinds["claims"])
     fact = stored("fact", gold.fact_claims(claims, members, providers))
     assert fact.count() == 55881
     assert fact.where("claim_status = 'APPROVED'").count() == 37824

@@ -1,6 +1,9 @@
 """Files loaded in batches give what one full run over all of them gives."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 from compare import bag
 from conftest import TESTDATA
 from test_refresh import STAMP, write_csv
@@ -9,8 +12,10 @@ from claimloom.operators.quality import apply_rules
 from claimloom.plans.conform import conform
 from claimloom.plans.layers import CONFIG
 from claimloom.sources import driver_tables
-from claimloom.sources.config import load_config
-from claimloom.sources.extracts import ROW_ORDER, column_kinds, read_extract, stream_extract
+from claimloom.operators.rules import rule_from_dict
+from claimloom.sources.config import CORRUPT_LINE, Dataset, load_config
+from claimloom.sources.extracts import ROW_ORDER, read_extract, stream_extract
+from claimloom.streaming import incremental
 from claimloom.streaming.incremental import IncrementalLoad
 
 
@@ -26,7 +31,7 @@ def test_batches_equal_a_full_run(spark, tmp_path, claims):
     columns, rows = claims
     dataset = load_config(CONFIG).datasets["claims"]
     keys = {
-        "members": spark.createDataFrame([(r[1],) for r in rows if r[1][-1] in "13579"], "member_id string"),
+        "members": spark.createDataFrame([(r[1],) for r in rows if r[1] and r[1][-1] in "13579"], "member_id string"),
         "providers": spark.createDataFrame([(f"PRV000{i}",) for i in range(8)], "provider_id string"),
     }
     raw = tmp_path / "raw"
@@ -47,17 +52,41 @@ def test_batches_equal_a_full_run(spark, tmp_path, claims):
     arrive(2, rows[5000:])
     run()
 
-    extract = read_extract(spark, str(raw), STAMP, column_kinds(dataset))
+    extract = read_extract(spark, str(raw), STAMP)
     full = apply_rules(extract, "claims", dataset.rules, keys, ROW_ORDER)
 
     def values(df):
         return bag(tuple(r) for r in df.drop("batch_id", "_loaded_at", "_source_file").collect())
 
-    assert values(load.rows(spark, "silver")) == values(conform("claims", full.clean))
+    assert values(load.rows(spark, "silver")) == values(conform("claims", full.clean, dataset.kinds))
     assert values(load.rows(spark, "quarantine")) == values(full.quarantined)
 
     # A batch that is tried again replaces what it left before.
     before = values(load.rows(spark, "silver")), values(load.rows(spark, "quarantine"))
-    lines = spark.read.options(header=True).csv(str(raw / "part2.csv")).select("*", "_metadata")
-    load.load_batch(lines, 2)
+    lines = spark.read.options(header=True).csv(str(raw / "part2.csv"))
+    load.load_batch(lines.select("*", F.lit(None).cast("string").alias(CORRUPT_LINE), "_metadata"), 2)
     assert (values(load.rows(spark, "silver")), values(load.rows(spark, "quarantine"))) == before
+
+
+def test_a_batch_reads_only_the_parts_its_keys_fall_into(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(incremental, "KEY_PARTS", 16)
+    dataset = Dataset("things", "x", "thing_id", (rule_from_dict({"type": "unique", "column": "thing_id"}),))
+    load = IncrementalLoad(dataset, str(tmp_path / "out"))
+
+    def lines(*ids):
+        rows = [(i, None) for i in ids]
+        df = spark.createDataFrame(rows, f"thing_id string, {CORRUPT_LINE} string")
+        meta = "named_struct('file_path', 'f', 'file_name', 'f', 'file_block_start', 0L)"
+        return df.selectExpr("*", f"{meta} AS _metadata")
+
+    load.load_batch(lines(*(f"k{i}" for i in range(400))), 0)
+    batch = spark.createDataFrame([("k7",), ("new",)], "thing_id string")
+    seen = load._seen_keys(spark, batch, 1)
+    text = seen._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*part#\d+ IN", text)
+    assert 0 < seen.count() <= 400 * 2 / 8
+    load.load_batch(lines("k7", "new", "new", None), 1)
+    load.load_batch(lines(None, "newer"), 2)
+    assert sorted(r[0] or "" for r in load.rows(spark, "quarantine").select("thing_id").collect()) == ["", "k7", "new"]
+    stamps = {r[0] for r in load.rows(spark, "bronze").select("_loaded_at").collect()}
+    assert len(stamps) == 3 and all(s.startswith("20") for s in stamps)

@@ -19,8 +19,8 @@ from claimloom.functions.exprs import (
     weekday_from_sunday,
 )
 from claimloom.operators.dense_key import with_dense_key
+from claimloom.operators import lookup as lookup_module
 from claimloom.operators.lookup import (
-    HOT_KEYS,
     broadcast_lookup,
     hot_keys,
     lookup,
@@ -43,20 +43,26 @@ def rows(df):
 
 
 def test_hot_keys_are_the_large_ones(spark, skewed):
-    found = spark.range(1).select(hot_keys(skewed, "k", 100).alias("m")).first().m
+    found = dict(hot_keys(skewed, "k", 100).collect())
     hashes = skewed.select("k", F.xxhash64("k").alias("h")).distinct().collect()
     by_hash = {r.h: r.k for r in hashes}
     # 1,000 even-third rows and 20 of the spread-out third are key 0.
     assert {by_hash[h]: n for h, n in found.items()} == {0: 11, None: 10}
 
 
-def test_hot_keys_are_bounded(spark):
+def test_all_of_many_hot_keys_are_spread(spark):
     df = spark.range(1200).select((F.col("id") % 400).alias("k"))
-    found = spark.range(1).select(hot_keys(df, "k", 1).alias("m")).first().m
-    assert len(found) == HOT_KEYS
+    found = dict(hot_keys(df, "k", 1).collect())
+    assert len(found) == 400
     assert set(found.values()) == {3}
 
 
+def test_the_list_of_hot_keys_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(lookup_module, "HOT_KEYS", 50)
+    df = spark.range(1200).select(F.when(F.col("id") < 300, F.col("id") % 5).otherwise(F.col("id")).alias("k"))
+    assert sorted(r.parts for r in hot_keys(df, "k", 1).collect()) == [60] * 5
+
+
 @pytest.mark.parametrize("how", ["left", "inner"])
 @pytest.mark.parametrize("rows_per_task", [1, 50, 10_000])
 def test_salted_lookup_equals_plain_join(spark, skewed, how, rows_per_task):

@@ -10,12 +10,13 @@ from compare import duck, duck_bag, spark_bag
 from conftest import TABLES, TESTDATA
 from pyspark.sql import functions as F
 
-from claimloom.plans import checks
+from claimloom.plans import checks, gold
 from claimloom.plans.layers import AS_OF, CONFIG
-from claimloom.plans.refresh import build_silver, load_bronze, run_pipeline
+from claimloom.plans.refresh import _staging, build_silver, load_bronze, run_pipeline
 from claimloom.sources import driver_tables
 from claimloom.sources.config import config_from_dict, load_config
 from claimloom.sources.extracts import ROW_ORDER, read_extract
+from claimloom.sources.tables import replace_table
 from claimloom.oracle import SQL
 
 FOLDER = TESTDATA / "sf0.001"
@@ -81,7 +82,8 @@ def test_tables_equal_the_sql(spark, run, layer, name, query):
 
 def test_latest_kpis(spark, run):
     assert spark_bag(run[1]) == duck_bag(duck(FOLDER, TABLES), SQL["q_latest_kpis"])
-    assert [r.month for r in run[1].collect()] == [f"2026-0{m}" for m in (6, 5, 4, 3, 2, 1)]
+    months = [r.month for r in run[1].collect()]
+    assert len(months) == 6 and months == sorted(months, reverse=True)
 
 
 def test_all_layers_exist(spark, run):
@@ -104,7 +106,7 @@ def test_bronze_has_every_line_and_load_metadata(spark, run):
     stamps = bronze.select("_loaded_at", "_source_file").distinct().collect()
     assert [tuple(r) for r in stamps] == [(STAMP, "claims.csv")]
     assert dict(bronze.dtypes)["service_date"] == "string"
-    assert dict(bronze.dtypes)["billed_amount_eur"] == "double"
+    assert dict(bronze.dtypes)["billed_amount_eur"] == "string"
 
 
 def test_nothing_is_lost(spark, run):
@@ -127,9 +129,13 @@ def test_invariants(spark, run):
     assert 0 <= low <= high <= 100
     keys = members.agg(F.min("member_key"), F.max("member_key"), F.count_distinct("member_key")).first()
     assert tuple(keys) == (1, members.count(), members.count())
+    outside = gold.outside_calendar(fact, table(spark, config, "gold", "dim_date"))
+    left_out = outside.agg(F.sum("facts")).first()[0]
+    assert left_out > 0
+    dated = gold.in_calendar(fact, table(spark, config, "gold", "dim_date"))
     total = kpis.agg(F.sum("total_approved_eur")).first()[0]
-    assert total == pytest.approx(fact.agg(F.sum("approved_amount_eur")).first()[0], abs=0.01)
-    assert fact.count() == claims.count() == kpis.agg(F.sum("total_claims")).first()[0]
+    assert total == pytest.approx(dated.agg(F.sum("approved_amount_eur")).first()[0], abs=0.01)
+    assert fact.count() == claims.count() == kpis.agg(F.sum("total_claims")).first()[0] + left_out
 
 
 def test_calendar(spark, run):
@@ -189,10 +195,10 @@ def test_a_bad_date_stops_the_run(spark, tmp_path):
 
 def test_extract_goes_by_header_and_knows_missing_values(spark, tmp_path):
     write_csv(tmp_path / "x.csv", ["b", "a"], [("1.5", "NA"), ("n/a", "x"), ("much", "")])
-    df = read_extract(spark, str(tmp_path / "x.csv"), STAMP, {"b": "double"})
-    assert [tuple(r) for r in df.select("a", "b").collect()] == [(None, 1.5), ("x", None), (None, None)]
+    df = read_extract(spark, str(tmp_path / "x.csv"), STAMP, {"b"})
+    assert [tuple(r) for r in df.select("a", "b").collect()] == [(None, "1.5"), ("x", None), (None, "much")]
     with pytest.raises(ValueError, match="no column c"):
-        read_extract(spark, str(tmp_path / "x.csv"), STAMP, {"c": "double"})
+        read_extract(spark, str(tmp_path / "x.csv"), STAMP, {"c"})
 
 
 def test_extract_with_line_breaks_in_quotes(spark, tmp_path):
@@ -206,9 +212,9 @@ def test_row_order_is_line_order_over_files_and_splits(spark, tmp_path):
         write_csv(tmp_path / f"x/part{f}.csv", ["n"], [(f * 1000 + i,) for i in range(1000)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     try:
-        df = read_extract(spark, str(tmp_path / "x"), STAMP, {"n": "int"})
+        df = read_extract(spark, str(tmp_path / "x"), STAMP)
         assert df.rdd.getNumPartitions() > 6
-        found = [r.n for r in df.orderBy(*ROW_ORDER).collect()]
+        found = [int(r.n) for r in df.orderBy(*ROW_ORDER).collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert found == list(range(3000))
@@ -231,3 +237,73 @@ def test_config_mistakes(tmp_path):
 def test_yaml_config_equals_json():
     pytest.importorskip("yaml")
     assert load_config(Path(__file__).parent / "claims.yaml") == load_config(CONFIG)
+
+
+def small_run(tmp_path, prefix, **more):
+    """A config with one dataset of three rows, one of them unreadable, and one ragged line."""
+    write_csv(tmp_path / "raw_zone/members.csv", MEMBER_HEADER, [
+        ("MBR000001", "A", "B", "1980-05-05", "Cork", "Gold", "2020-01-01", "10.5"),
+        ("MBR000002", "A", "B", "someday", "Cork", "Gold", "2020-01-01", "10.5"),
+        ("MBR000003", "A", "B", "1980-05-05", "Cork", "Gold", "2020-01-01", "1,200.50"),
+        ("MBR000004", "A", "B", "1980-05-05", "Cork", "Gold", "2020-01-01", "1", "more", "cells"),
+        ("MBR000005", "A", "B"),
+    ])
+    rules = [{"type": "unique", "column": "member_id"}]
+    return config_for(tmp_path, prefix, datasets={"members": {"file": "members.csv", "rules": rules}}, **more)
+
+
+MEMBER_HEADER = ["member_id", "first_name", "last_name", "date_of_birth", "county", "plan_type",
+                 "enrolment_date", "monthly_premium_eur"]
+
+
+def test_what_cannot_be_read_is_quarantined(spark, tmp_path):
+    config = small_run(tmp_path, "bad_cells_", on_bad_value="quarantine")
+    report = build_silver(spark, config, load_bronze(spark, config, STAMP))
+    found = {r.member_id: r._dq_failures for r in quarantine(spark, config, "members").collect()}
+    assert found == {
+        "MBR000002": "readable:date_of_birth;",
+        "MBR000003": "readable:monthly_premium_eur;",
+        "MBR000004": "whole_line:_corrupt_line;",
+        "MBR000005": "whole_line:_corrupt_line;",
+    }
+    assert [r.member_id for r in table(spark, config, "silver", "members").collect()] == ["MBR000001"]
+    assert report.agg(F.sum("rows_failed")).first()[0] == 4
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    config = small_run(tmp_path, "keeps_", on_bad_value="quarantine")
+    build_silver(spark, config, load_bronze(spark, config, STAMP))
+    strict = small_run(tmp_path, "keeps_")
+    with pytest.raises(Exception, match="not a date|not a number|wrong number of cells"):
+        build_silver(spark, strict, load_bronze(spark, strict, STAMP))
+    assert [r.member_id for r in table(spark, config, "silver", "members").collect()] == ["MBR000001"]
+
+
+def test_relative_paths_mean_the_working_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    paths = {k: f"data/{k}" for k in ("raw_zone", "quarantine_zone", "reports", "warehouse")}
+    config = config_from_dict({"paths": paths, "datasets": {}, "database_prefix": "rel_"})
+    assert config.warehouse == str(tmp_path / "data/warehouse")
+    replace_table(spark.range(3), "default", "rel_things", config.warehouse)
+    assert list((tmp_path / "data/warehouse/default/rel_things").rglob("*.parquet"))
+    replace_table(spark.range(2), "default", "rel_things", config.warehouse)
+    assert spark.table("default.rel_things").count() == 2
+    assert len(list((tmp_path / "data/warehouse/default/rel_things").iterdir())) == 1
+
+
+def test_two_runs_have_staging_of_their_own(spark, tmp_path):
+    config = config_for(tmp_path, "twice_", datasets={})
+    first, second = (_staging(spark, config, "checked") for _ in range(2))
+    one = first.store("x", spark.range(3))
+    two = second.store("x", spark.range(5))
+    second.clear()
+    assert one.count() == 3 and two.sparkSession is spark
+
+
+@pytest.mark.parametrize("more, complaint", [
+    ({"on_bad_value": "ignore"}, "on_bad_value"),
+    ({"calendar": {"start": "2026-01-01", "end": "2025-01-01"}}, "calendar"),
+])
+def test_more_config_mistakes(tmp_path, more, complaint):
+    with pytest.raises(ValueError, match=complaint):
+        config_for(tmp_path, "", datasets={}, **more)

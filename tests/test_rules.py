@@ -153,3 +153,47 @@ def test_reasons_are_in_rule_order_and_rules_see_all_rows(spark):
         "not_null:v;",
         "unique:id;min_value:v;",
     ]
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 64])
+def test_unique_keeps_one_of_tied_rows(spark, partitions):
+    """Equal positions, null positions, and rows that are equal in everything."""
+    rows = [("a", 1, "x"), ("a", 1, "y"), ("b", 2, "z"), ("b", None, "z"), ("c", None, "q"), ("c", None, "q")]
+    rows += [("d", 5, "same")] * 40 + [(None, 1, "n"), (None, 1, "n"), ("e", 1, "one")]
+    df = spark.createDataFrame(rows, "k string, pos long, v string").repartition(partitions)
+    outcome = apply_rules(df, "t", [rule_from_dict({"type": "unique", "column": "k"})], order_by=["pos"])
+    assert sorted(r.k or "" for r in outcome.clean.collect()) == ["", "a", "b", "c", "d", "e"]
+    assert outcome.quarantined.count() == len(rows) - 6
+
+
+def test_allowed_values_with_null_only(spark):
+    rule = {"type": "allowed_values", "values": [None]}
+    assert fails(spark, ["a", None], "string", rule) == [True, False]
+
+
+def test_type_suffixes_are_no_numbers(spark):
+    rule = {"type": "min_value", "threshold": 0}
+    values = ["-5", "-5f", "-5d", "-1e3", " -2 ", "-0x1", "-inf", "1,5", None]
+    assert fails(spark, values, "string", rule) == [True, False, False, True, True, False, True, False, False]
+
+
+def test_regex_match_sees_plain_doubles(spark):
+    rule = {"type": "regex_match", "pattern": r"\d+\.\d+$"}
+    assert fails(spark, [10000000.0, 0.001, 12.5, 1e-7], "double", rule) == [False, False, False, True]
+
+
+def test_readable_and_whole_line(spark):
+    number, day = ({"type": "readable", "kind": k} for k in ("double", "timestamp"))
+    assert fails(spark, ["1,200.50", "12.5", None, "7d"], "string", number) == [True, False, False, True]
+    assert fails(spark, ["2026-02-30", "2026-02-28", None, "soon"], "string", day) == [True, False, False, True]
+    assert fails(spark, [None, "a,b"], "string", {"type": "whole_line"}) == [False, True]
+
+
+@pytest.mark.parametrize("rule, complaint", [
+    ({"type": "min_value", "column": "x", "threshold": "much"}, "no number"),
+    ({"type": "regex_match", "column": "x", "pattern": "(a"}, "broken pattern"),
+    ({"type": "regex_match", "column": "x", "pattern": 5}, "no text"),
+])
+def test_broken_arguments_are_found_up_front(rule, complaint):
+    with pytest.raises(ValueError, match=complaint):
+        rule_from_dict(rule)

@@ -18,12 +18,18 @@ from claimloom.session import shared_folder
 BROADCAST_BYTES = 32 * 1024 * 1024
 #: What a row takes in memory besides its texts, binaries and arrays.
 ROW_BYTES, VALUE_BYTES = 32, 8
-#: Text handled at once inside a task.
-SLICE_BYTES = 4 * 1024 * 1024
+#: Bytes of rows that go to a Python worker at once, and text handled at once inside a task.
+BATCH_BYTES = 8 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 
 
-def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers import this package where the driver runs elsewhere than in its folder."""
+def prepare(spark: SparkSession) -> None:
+    """Settings that tasks of this subpackage rely on.
+
+    Rows go to Python in small batches, as several copies of a batch exist at
+    once; and workers find this package where the driver runs elsewhere.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(":"):

@@ -9,11 +9,13 @@ probability Jaccard similarity, which is plain Jaccard where no shingle repeats.
 
 Registers are cut into bands; documents that agree on a whole band share a
 bucket. A bucket never emits all its pairs: members are verified against its
-smallest member, first one pair per document, then those buckets that are still
-in different classes, and last the members outside a bucket's largest class
-against the other classes in it. So every pair in a bucket is either verified or
-already in one class. Verification computes the exact similarity from the
-texts, a block of members with one partner at a time.
+centre, first one pair per document, then those that are still in different
+classes, and last the members outside a bucket's largest class against the
+other classes in it, block by block. So every pair in a bucket is either
+verified or already in one class. Where many members of a large bucket are
+similar to none (edited copies just below the threshold) that last step
+compares each of them with the whole bucket; only links leave the tasks.
+Verification computes the exact similarity from the texts.
 
 Defined results
 ---------------
@@ -48,6 +50,10 @@ REGISTERS = BANDS * ROWS
 DRAWN, STEPS = 1 << 18, 256
 #: Members verified against one partner in one group.
 BLOCK = 200
+#: A bucket with so many open pairs at most has them verified one by one, a larger one block by block.
+FEW_PAIRS = 50
+#: Shingles compared at once between two blocks.
+PANEL = 4096
 SIGNED = "doc_id long, digest binary, bands array<long>"
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -231,26 +237,114 @@ def _link(labels: DataFrame, pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def linked(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Labels of all ids that are near duplicates of others. ``members``: bucket, id."""
-    sizes = members.groupBy("bucket").agg(F.min("id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = stored(members.join(sizes.select("bucket", "a"), "bucket").select("bucket", "a", F.col("id").alias("b")), "buckets")
-    pairs = shared.where("a <> b").select("a", "b").distinct()
-    nearest = pairs.groupBy("b").agg(F.min("a").alias("a"))
+    buckets = with_centres(members)
+    pairs = buckets.where("centre <> id").select(F.col("centre").alias("a"), F.col("id").alias("b"), "weight")
+    nearest = pairs.groupBy("b").agg(F.max_by("a", F.struct("weight", "a")).alias("a"))
     labels = components(stored(verify(stored(nearest, "nearest"), texts), "links"))
-    labels = _link(labels, _unlinked(pairs, labels), texts)
-    classes = stored(labelled(shared.select("bucket", F.col("b").alias("id")), labels, "id", "label"), "classes")
+    labels = _link(labels, _unlinked(pairs.select("a", "b").distinct(), labels), texts)
+    # all pairs with a centre are settled; what is left are pairs of others that are not linked yet
+    classes = labelled(buckets.where("centre <> id").select("bucket", "id"), labels, "id", "label")
     counts = classes.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     split = counts.groupBy("bucket").agg(
-        F.max_by("label", F.struct("n", "label")).alias("largest"), F.count(F.lit(1)).alias("k")
+        F.max_by("label", F.struct("n", "label")).alias("largest"),
+        F.sum("n").alias("n"),
+        (F.sum("n") - F.max("n")).alias("strays"),
     )
-    mixed = stored(classes.join(split.where("k > 1"), "bucket"), "mixed")
+    mixed = stored(classes.join(split.where("strays > 0"), "bucket"), "mixed")
     if mixed.isEmpty():
         return labels
+    few = F.col("strays") * F.col("n") <= FEW_PAIRS
+    found = verify(stored(_pairs_within(mixed.where(few)), "pairs"), texts)
+    found = found.unionByName(similar_cells(mixed.where(~few), texts))
+    edges = _unlinked(stored(found, "links").distinct(), labels)
+    edges = stored(edges.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct(), "links")
+    return labels if edges.isEmpty() else _joined(labels, edges)
+
+
+def with_centres(members: DataFrame) -> DataFrame:
+    """bucket, id, centre and weight of all buckets with two members or more.
+
+    The centre is the member that shares buckets most: in a group of edited
+    copies that is the one with the fewest edits, which most others resemble.
+    """
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(members.join(sizes, "bucket"), "shared")
+    weighed = shared.join(shared.groupBy("id").agg(F.sum("n").alias("weight")), "id")
+    centres = weighed.groupBy("bucket").agg(F.max(F.struct("weight", F.negative("id").alias("minus"))).alias("top"))
+    return stored(
+        shared.join(centres, "bucket").select(
+            "bucket", "id", F.negative("top.minus").alias("centre"), F.col("top.weight").alias("weight")
+        ),
+        "buckets",
+    )
+
+
+def _pairs_within(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b) of small buckets that are not linked yet."""
     small = mixed.where("label <> largest").select("bucket", F.col("id").alias("a"), F.col("label").alias("of_a"))
     rest = mixed.select("bucket", F.col("id").alias("b"), F.col("label").alias("of_b"), "largest")
     across = small.join(rest, "bucket").where("of_a <> of_b AND (of_b = largest OR a < b)")
-    known = pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-    across = across.select("a", "b", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
-    return _link(labels, across.join(known, ["x", "y"], "left_anti"), texts)
+    return across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def similar_cells(mixed: DataFrame, texts: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """Similar pairs of large buckets, strays against all, a block of each at a time.
+
+    Only pairs that are similar leave a task, and a text goes to as many tasks
+    as there are blocks on the other side.
+    """
+    blocks = F.ceil(F.col("strays") / BLOCK).cast("int"), F.ceil(F.col("n") / BLOCK).cast("int")
+    stray = mixed.where("label <> largest").select(
+        "bucket", "id", "label", F.lit(True).alias("stray"),
+        F.pmod(F.xxhash64("id"), blocks[0]).cast("int").alias("row"),
+        F.explode(F.sequence(F.lit(0), blocks[1] - 1)).alias("column"),
+    )
+    every = mixed.select(
+        "bucket", "id", "label", F.lit(False).alias("stray"),
+        F.explode(F.sequence(F.lit(0), blocks[0] - 1)).alias("row"),
+        F.pmod(F.xxhash64("id"), blocks[1]).cast("int").alias("column"),
+    )
+    roles = stored(stray.unionByName(every).withColumnRenamed("id", "doc_id"), "cells")
+
+    def cell(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.drop_duplicates(["doc_id", "stray"])
+        counted = [shingles(words_of(t)) for t in group["text"]]
+        sides = [np.flatnonzero(group["stray"] == side) for side in (True, False)]
+        ids, labels = group["doc_id"].to_numpy(), group["label"].to_numpy()
+        found = [
+            (ids[a], ids[b])
+            for a, b in likely([[(i, counted[i]) for i in side] for side in sides], least)
+            if labels[a] != labels[b] and similarity(counted[a], counted[b]) >= least - 1e-9
+        ]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+    joined = join_measured(texts, roles, ["doc_id"], "inner")
+    return joined.groupBy("bucket", "row", "column").applyInPandas(cell, "a long, b long")
+
+
+def likely(sides: list[list], least: float) -> list[tuple[int, int]]:
+    """Pairs whose similarity may reach ``least``.
+
+    A shared shingle i adds at most x_i / sum(x) and at most y_i / sum(y), so
+    the similarity is no more than the share that either has in the other.
+    """
+    keys = np.intersect1d(*(np.concatenate([c[0] for _, c in side] or [np.zeros(0, np.uint64)]) for side in sides))
+    bound = [np.zeros((len(sides[0]), len(sides[1]))) for _ in sides]
+    for start in range(0, len(keys), PANEL):
+        panel = keys[start : start + PANEL]
+        shares = []
+        for side in sides:
+            share = np.zeros((len(side), len(panel)), np.float32)
+            for row, (_, (found, counts)) in enumerate(side):
+                at = np.minimum(np.searchsorted(panel, found), len(panel) - 1)
+                hit = panel[at] == found
+                share[row, at[hit]] = counts[hit] / counts.sum()
+            shares.append(share)
+        there = [(s > 0).astype(np.float32) for s in shares]
+        bound[0] += shares[0] @ there[1].T
+        bound[1] += there[0] @ shares[1].T
+    rows, columns = np.nonzero(np.minimum(*bound) >= least - 1e-4)
+    return [(sides[0][r][0], sides[1][c][0]) for r, c in zip(rows, columns)]
 
 
 def classify(docs: DataFrame) -> DataFrame:

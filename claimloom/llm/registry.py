@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.llm import bpe, exact_dedup, katz, langid, line_dedup, near_dedup, packing, quality, suffix_dedup, warc
-from claimloom.llm.common import workers_find_package
+from claimloom.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -17,7 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        workers_find_package(spark)
+        prepare(spark)
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.llm import exact_dedup, langid, near_dedup, packing, suffix_dedup
-from claimloom.llm.common import stored, workers_find_package
+from claimloom.llm.common import stored, prepare
 
 #: A text goes if its language is unknown or less certain than this.
 LEAST_SCORE = 0.3
@@ -18,7 +18,7 @@ LEAST_SCORE = 0.3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without a letter, and those that no learnt language fits, go."""
-    workers_find_package(spark)
+    prepare(spark)
     predicted = langid.identify(docs, langid.fit(docs))
     known = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     return predicted.where(known).select("row.*")
@@ -26,25 +26,25 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays: the one with the largest id."""
-    workers_find_package(spark)
+    prepare(spark)
     return exact_dedup.deduplicate(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: the one with the smallest id."""
-    workers_find_package(spark)
+    prepare(spark)
     return near_dedup.deduplicate(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; strings of 100 bytes that occur earlier are cut out of their texts."""
-    workers_find_package(spark)
+    prepare(spark)
     return suffix_dedup.remove_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces in sequences of 1024."""
-    workers_find_package(spark)
+    prepare(spark)
     return packing.packed(docs)
 
 

@@ -105,3 +105,30 @@ def test_empty_and_repeated_rows(spark):
     rows = [(1, "a b c d e f g")] * 3 + [(None, "a b c d e f g"), (None, None), (2, "")]
     found = sorted(map(tuple, nd.classify(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
     assert found == sorted([(1, 1)] * 3 + [(None, 1), (None, None), (2, 2)], key=repr)
+
+
+@pytest.mark.parametrize("block, few", [(200, 50), (6, 0), (200, 10**9)])
+def test_edited_copies_around_the_threshold(spark, monkeypatch, block, few):
+    """Many copies of one text, about half of them similar to no other: all classes are found either way."""
+    monkeypatch.setattr(nd, "BLOCK", block)
+    monkeypatch.setattr(nd, "FEW_PAIRS", few)
+    pick = random.Random(9)
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for n in range(70):
+        copy = list(base)
+        for at in pick.sample(range(100), pick.randint(1, 5)):
+            copy[at] = f"e{pick.randrange(10**6)}"
+        rows.append((n, " ".join(copy)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["class_id"] for r in nd.classify(frame).collect()}
+    assert found == plain_classes(rows)
+    assert 1 < len(set(found.values())) < 60
+
+
+def test_likely_pairs_include_all_similar_ones(docs):
+    counted = [(i, nd.shingles(nd.words_of(t))) for i, t in docs if t and t.strip()]
+    found = set(nd.likely([counted[::2], counted], 0.8))
+    for i, a in counted[::2]:
+        for j, b in counted:
+            assert (i, j) in found or nd.similarity(a, b) < 0.8

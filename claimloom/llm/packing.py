@@ -17,6 +17,7 @@ no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import os
 from collections.abc import Iterator
 from functools import cache, partial
@@ -25,14 +26,18 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import tiktoken
+from public_tokenizers import PATTERN
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from claimloom.llm.common import slices, stored, texts_of
-from claimloom.llm.pretoken import Remembering
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+#: A tokenizer, and the same vocabulary as ranks.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+#: Merging a longer word takes the rank file's library much longer.
+LONG_WORD = 4096
 #: Tokens of a sequence, and the id that ends each document.
 SIZE, END_ID = 1024, 2
 OPEN_BINS = 1024
@@ -44,30 +49,34 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 PLACED = "sequence_id long, offset long"
 
 
-def encode_plainly(texts: list[str], tokenizer: Tokenizer) -> list[bytes]:
-    found = tokenizer.encode_batch(texts, add_special_tokens=False)
-    return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-
 class Encoder:
-    """Ids as the tokenizer gives them; a text that names a special token goes to it whole."""
+    """Ids as the tokenizer of ``path`` gives them.
+
+    Texts go through the rank file of the same vocabulary, which is faster;
+    those with very long words, and those that name a special token, through
+    the tokenizer itself.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(path)
-        self.plainly = partial(encode_plainly, tokenizer=tokenizer)
-        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.remembered = Remembering(self.plainly)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(ranks, "rb") as lines:
+            tokens = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=tokens, special_tokens={})
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        whole = [any(s in t for s in self.special) for t in texts]
-        found = iter(self.remembered.all_ids([t for t, w in zip(texts, whole) if not w]))
-        return [self.plainly([t])[0] if w else next(found) for t, w in zip(texts, whole)]
+    def __call__(self, text: str) -> bytes:
+        odd = any(s in text for s in self.special) or (
+            len(text) > LONG_WORD and any(len(w) > LONG_WORD for w in text.split())
+        )
+        if odd:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
 @cache
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, ranks: str) -> Encoder:
+    return Encoder(path, ranks)
 
 
 def cut(length: int, size: int) -> list[tuple[int, int]]:
@@ -76,15 +85,15 @@ def cut(length: int, size: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, size) for at in range(first, length, size))]
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    end = np.array([end_id], "<u4").tobytes()
+def _pieces(batches: Iterator[pa.RecordBatch], path: tuple[str, str], size: int, end_id: int) -> Iterator[pa.RecordBatch]:
+    end, encode = np.array([end_id], "<u4").tobytes(), encoder(*path)
     for batch in batches:
         for part in slices(batch, "text"):
             rows = [
                 (doc, number, start, length, ids[4 * start : 4 * (start + length)])
                 for doc, ids in zip(
                     part.column("doc_id").to_pylist(),
-                    (i + end for i in encoder(path)(texts_of(part))),
+                    (encode(t) + end for t in texts_of(part)),
                 )
                 for number, (start, length) in enumerate(cut(len(ids) // 4, size))
             ]
@@ -95,7 +104,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], path: str, size: int, end_id: int
             )
 
 
-def token_pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: str = VOCABULARY) -> DataFrame:
+def token_pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, path: tuple[str, str] = VOCABULARY) -> DataFrame:
     """doc_id, piece, start, length and ids (little-endian unsigned 32-bit) of each piece."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(partial(_pieces, path=path, size=size, end_id=end_id), PIECES)

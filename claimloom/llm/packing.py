@@ -1,7 +1,8 @@
 """Best-fit packing of token pieces into sequences, online and in bounded space.
 
 Pieces are tokenized where the texts lie; only lengths travel on. Groups of
-about ``GROUP_PIECES`` pieces, dealt by a hash, are packed by themselves. At any
+about ``GROUP_PIECES`` pieces, dealt by a hash, are packed by themselves. Pieces
+of a group arrive longest first, so short ones fill what long ones leave. At any
 time at most ``OPEN_BINS`` sequences are open; they are kept by free space with
 a bitset of the free spaces in use, so the tightest sequence that still takes a
 piece is the lowest set bit at or above its length. When a new sequence would
@@ -40,7 +41,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path
 LONG_WORD = 4096
 #: Tokens of a sequence, and the id that ends each document.
 SIZE, END_ID = 1024, 2
-OPEN_BINS = 1024
+#: Enough for every piece of a group that fills over half a sequence; a group may be larger, then some close early.
+OPEN_BINS = 32_768
 #: Pieces packed by one task group.
 GROUP_PIECES = 50_000
 #: Sequences are numbered within a group of 2**40.
@@ -150,7 +152,7 @@ class OpenBins:
 
 def pack_group(pdf: pd.DataFrame, size: int, most: int) -> pd.DataFrame:
     bins = OpenBins(size, most)
-    pdf = pdf.sort_values(["_deal", "doc_id", "piece"], kind="stable")
+    pdf = pdf.sort_values(["length", "_deal", "doc_id", "piece"], ascending=[False, True, True, True])
     placed = np.array([bins.place(n) for n in pdf["length"].tolist()], np.int64).reshape(-1, 2)
     pdf["sequence_id"] = (pdf["_group"].to_numpy().astype(np.int64) << GROUP_SHIFT) + placed[:, 0]
     pdf["offset"] = placed[:, 1]

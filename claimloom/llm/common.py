@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from functools import cache, reduce, wraps
 from pathlib import Path
 
 import pyarrow as pa
@@ -90,6 +91,39 @@ def join_measured(
     return joined.drop(*[f"_right_{k}" for k in keys])
 
 
+@cache
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system.
+
+    Python workers outlive their tasks, and what allocators keep for reuse
+    would count against every later task of the executor.
+    """
+    pa.default_memory_pool().release_unused()
+    libc = _libc()
+    if libc is not None and hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def frees_memory(work):
+    """For a function over the batches of a task: release memory when the task is done."""
+
+    @wraps(work)
+    def run(batches, *args, **kwargs):
+        try:
+            yield from work(batches, *args, **kwargs)
+        finally:
+            release_memory()
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``most`` bytes of ``column``; a longer value is a piece of its own."""
     start = held = 0

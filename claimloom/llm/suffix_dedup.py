@@ -6,13 +6,15 @@ A byte goes if a string of ``LEAST`` bytes that covers it also starts earlier
 1. Anchors. Of the ``GRAM``-byte grams in each window of ``LEAST`` bytes the one
    with the smallest hash is an anchor. Equal windows have the same anchor at
    the same place, so every repeated string meets its earlier copy at an
-   anchor's gram. An anchor's context is all windows that may contain it.
+   anchor's gram. An anchor's context is the windows it is the anchor of.
 2. Anchors meet by gram in buckets. Of those with the same whole context only
    the first goes on; the context of a later one is covered as it is. This is
    done within a task first, so a passage that many documents share travels
    once per task.
-3. Grams with several contexts remain. The contexts are fetched, and each
-   bucket sorts the suffixes of its contexts. Runs of the suffix array in which
+3. Grams with several contexts remain. A string that two of them share has one
+   of ``PARTS`` cores, so contexts of which no core's hash occurs in another are
+   done with. The others are fetched, and each bucket sorts the suffixes of its
+   contexts. Runs of the suffix array in which
    neighbours share ``LEAST`` bytes give the longest-previous-factor test: a
    suffix has an earlier match of that length if the smallest position before
    it (or after it) in its run is smaller than its own.
@@ -42,14 +44,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import join_measured, slices, stored, texts_of
+from claimloom.llm.common import frees_memory, join_measured, release_memory, slices, stored, texts_of
 from claimloom.llm.katz import packed, unpacked
 
 LEAST, GRAM = 100, 32
-#: Bytes of a context before its anchor's start, and from there on.
-BEFORE, AFTER = LEAST - GRAM, LEAST
+#: Bytes a context may have before its anchor's start.
+BEFORE = LEAST - GRAM
+#: An anchor's strings by how far they reach before it, in so many parts. All
+#: strings of a part have a core of LEAST - BEFORE / PARTS bytes in common.
+PARTS = 4
 #: Bytes hashed at once, anchors collapsed at once, bytes of text a bucket is meant to answer for.
-PIECE, HELD, BUCKET_BYTES = 1 << 19, 600_000, 24 * 1024 * 1024
+PIECE, HELD, BUCKET_BYTES = 1 << 18, 300_000, 12 * 1024 * 1024
 NO_ID = np.iinfo(np.int64).max
 FOUND = "kind string, bucket int, arrays array<binary>"
 FOUND_SCHEMA = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("arrays", pa.list_(pa.binary()))])
@@ -84,8 +89,9 @@ def sliding(values: np.ndarray, width: int, smaller=np.minimum) -> np.ndarray:
     return out
 
 
-def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of the texts that lie side by side in ``data``: place, gram hash, context hash.
+def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Anchors of the texts that lie side by side in ``data``: place, hashes of gram, context and cores,
+    and the bytes of the context before the anchor's start and from there on.
 
     ``starts`` and ``ends`` give for each byte the bounds of its text. Only
     texts of at least ``LEAST`` bytes have anchors.
@@ -93,25 +99,42 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     table, powers, inverse = _hashing()
     size = len(data)
     if size < LEAST:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        empty = np.zeros(0, np.int64)
+        return empty, empty.view(np.uint64), empty.view(np.uint64), np.zeros((0, PARTS), np.uint32), empty, empty
     prefix = np.zeros(size + 1, np.uint64)
     np.cumsum(table[data] * powers[:size], out=prefix[1:])
     grams = size - GRAM + 1
     gram = mix((prefix[GRAM:] - prefix[:grams]) * inverse[:grams]) | np.uint64(1)
     least = sliding(gram, LEAST - GRAM + 1)
-    windows = np.arange(len(least))
-    least = np.where(windows + LEAST <= ends[: len(least)], least, np.uint64(0))
+    window = np.flatnonzero(np.arange(LEAST, LEAST + len(least)) <= ends[: len(least)])
     best = np.zeros(grams + BEFORE, np.uint64)
-    best[BEFORE : BEFORE + len(least)] = least
-    place = np.flatnonzero(sliding(best, BEFORE + 1, np.maximum) == gram)
-    low, high = np.maximum(place - BEFORE, starts[place]), np.minimum(place + AFTER, ends[place])
+    best[BEFORE + window] = least[window]
+    minima = np.flatnonzero(sliding(best, BEFORE + 1, np.maximum) == gram)
+    # each window's anchor: the first minimum from its start on that is its own
+    least = least[window]
+    which = np.searchsorted(minima, window)
+    other = np.flatnonzero(gram[minima[which]] != least)
+    while len(other):
+        which[other] += 1
+        other = other[gram[minima[which[other]]] != least[other]]
+    new = np.flatnonzero(np.append(True, which[1:] != which[:-1])) if len(which) else which
+    place = minima[which[new]]
+    low, high = window[new], window[np.append(new[1:], len(which)) - 1] + LEAST
     context = mix((prefix[high] - prefix[low]) * inverse[low])
     context = mix(context + ((place - low) * 1000 + high - place).astype(np.uint64)) & CONTEXT_BITS
-    return place, gram[place], context
+    cores = np.zeros((len(place), PARTS), np.uint32)
+    for part in range(PARTS):
+        near, far = part * BEFORE // PARTS, (part + 1) * BEFORE // PARTS
+        # some window of the context starts between ``near`` and ``far`` before the anchor
+        inside = (place - low >= near) & (place - (high - LEAST) <= far)
+        first, last = np.where(inside, place - near, 0), np.where(inside, place + LEAST - far, 0)
+        core = (mix((prefix[last] - prefix[first]) * inverse[first]) >> np.uint64(32)) | np.uint64(1)
+        cores[:, part] = np.where(inside, core, np.uint64(0))
+    return place, gram[place], context, cores, place - low, high - place
 
 
 def text_anchors(ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """gram, context, id and place of the anchors of texts; long texts go piece by piece, with overlap."""
+    """gram, context, id, place, cores, before, after of the anchors; long texts go piece by piece, with overlap."""
     found: list[tuple[np.ndarray, ...]] = []
     batch: list[tuple[int, int, bytes, int, int]] = []
 
@@ -120,14 +143,15 @@ def text_anchors(ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
         data = np.frombuffer(b"".join(b[2] for b in batch), np.uint8)
         first = np.cumsum(lengths) - lengths
         starts, ends = np.repeat(first, lengths), np.repeat(first + lengths, lengths)
-        place, gram, context = anchors(data, starts, ends)
+        place, gram, context, cores, before, after = anchors(data, starts, ends)
         owner = np.searchsorted(first, place, side="right") - 1
         at = place - first[owner] + np.array([b[1] for b in batch])[owner]
-        # a piece of a long text is only trusted where whole contexts lie within it
+        # a piece of a long text is only trusted where all windows of an anchor lie within it
         low, high = (np.array([b[i] for b in batch])[owner] for i in (3, 4))
         inside = (at >= low) & (at < high)
+        sides = before.astype(np.uint8), after.astype(np.uint8)
         whose = np.array([b[0] for b in batch], np.int64)[owner]
-        found.append((gram[inside], context[inside], whose[inside], at[inside]))
+        found.append((gram[inside], context[inside], whose[inside], at[inside], cores[inside], *(x[inside] for x in sides)))
 
     held = 0
     for number, text in zip(ids, texts):
@@ -142,7 +166,8 @@ def text_anchors(ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
             held += high - low
     if batch:
         flush()
-    empty = [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2
+    empty = [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2 + [np.zeros((0, PARTS), np.uint32)]
+    empty += [np.zeros(0, np.uint8)] * 2
     return tuple(np.concatenate([e, *(f[i] for f in found)]) for i, e in enumerate(empty))
 
 
@@ -176,26 +201,34 @@ def _rows(rows: list[tuple[str, int, list[np.ndarray]]]) -> pa.Table:
     )
 
 
+def covered(doc: np.ndarray, place: np.ndarray, before: np.ndarray, after: np.ndarray) -> list[np.ndarray]:
+    """United spans of the contexts of anchors."""
+    place = place.astype(np.int64)
+    return list(united(doc, place - before, place + after))
+
+
 def _task_rows(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[pa.RecordBatch]:
-    gram, context, doc, place = (np.concatenate(p) for p in zip(*parts))
-    order, first = collapse(gram, context, doc, place)
-    gram, context, doc, place = gram[order], context[order], doc[order], place[order]
-    later = ~first
-    spans = united(doc[later], np.maximum(place[later] - BEFORE, 0), place[later] + AFTER)
-    gram, context, doc, place = gram[first], context[first], doc[first], place[first]
-    owner = ((gram >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-    cuts = np.searchsorted(owner, np.arange(buckets + 1))
-    rows = [
-        ("anchor", b, [np.diff(gram[s], prepend=np.uint64(0)), context[s], doc[s], place[s].astype(np.int32)])
-        for b, s in enumerate(map(slice, cuts[:-1], cuts[1:]))
-        if s.stop > s.start
-    ]
+    columns = [np.concatenate(p) for p in zip(*parts)]
+    order, first = collapse(*columns[:4])
+    spans = covered(*(c[order[~first]] for c in (columns[2], columns[3], columns[5], columns[6])))
+    gram, context, doc, place, cores, before, after = (c[order[first]] for c in columns)
+    # anchors are minima, so their hashes are small: buckets go by another hash
+    owner = (mix(gram * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[order], np.arange(buckets + 1))
+    rows = []
+    for bucket, s in enumerate(order[a:b] for a, b in zip(cuts[:-1], cuts[1:])):
+        if len(s):
+            deltas = np.diff(gram[s], prepend=np.uint64(0))
+            rest = [place[s].astype(np.int32), cores[s].ravel(), before[s], after[s]]
+            rows.append(("anchor", bucket, [deltas, context[s], doc[s], *rest]))
     if len(spans[0]):
-        rows.append(("span", int(spans[0][0]) % buckets, list(spans)))
+        rows.append(("span", int(spans[0][0]) % buckets, spans))
     yield from _rows(rows).to_batches()
 
 
 def anchor_rows(buckets: int):
+    @frees_memory
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
         for batch in batches:
@@ -212,29 +245,40 @@ def anchor_rows(buckets: int):
     return work
 
 
+def shared_core(gram: np.ndarray, cores: np.ndarray) -> np.ndarray:
+    """Which contexts have a core that another context of the same gram has too."""
+    found = np.zeros(len(gram), bool)
+    for core in cores.T:
+        order = np.lexsort((core, gram))
+        same = (gram[order[1:]] == gram[order[:-1]]) & (core[order[1:]] == core[order[:-1]]) & (core[order[1:]] > 0)
+        found[order[1:][same]] = True
+        found[order[:-1][same]] = True
+    return found
+
+
 def meet(table: pa.Table) -> pa.Table:
-    """Anchors of a bucket: spans of later equal contexts, and the contexts that must be looked at."""
+    """Anchors of a bucket: spans of later equal contexts, and the spans of contexts that must be looked at."""
+    release_memory()
     rows = table.to_pylist()
     bucket = rows[0]["bucket"]
     out = [("span", bucket, [unpacked(a) for a in r["arrays"]]) for r in rows if r["kind"] == "span"]
     parts = [[unpacked(a) for a in r["arrays"]] for r in rows if r["kind"] == "anchor"]
     if parts:
         gram = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        context, doc, place = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        context, doc, place, cores, before, after = (np.concatenate([p[i] for p in parts]) for i in range(1, 7))
         order, first = collapse(gram, context, doc, place)
-        gram, doc, place = gram[order], doc[order], place[order].astype(np.int64)
-        later = ~first
-        if later.any():
-            spans = united(doc[later], np.maximum(place[later] - BEFORE, 0), place[later] + AFTER)
-            out.append(("span", bucket, list(spans)))
-        gram, doc, place = gram[first], doc[first], place[first]
-        same = gram[1:] == gram[:-1]
-        several = np.append(same, False) | np.append(False, same)
-        if several.any():
-            out.append(("ask", bucket, [doc[several], place[several]]))
+        later, once = order[~first], order[first]
+        if len(later):
+            out.append(("span", bucket, covered(doc[later], place[later], before[later], after[later])))
+        same = gram[once[1:]] == gram[once[:-1]]
+        once = once[np.append(same, False) | np.append(False, same)]
+        once = once[shared_core(gram[once], cores.reshape(-1, PARTS)[once])]
+        if len(once):
+            out.append(("ask", bucket, covered(doc[once], place[once], before[once], after[once])))
     return _rows(out)
 
 
+@frees_memory
 def spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans as rows: doc_id, start, end."""
     for batch in batches:
@@ -242,34 +286,28 @@ def spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(unpacked(a)) for a in arrays], names=["doc_id", "start", "end"])
 
 
+@frees_memory
 def asks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors to be looked at as rows: doc_id, bucket, place."""
+    """Contexts to be looked at as rows: doc_id, bucket, start, end."""
     for batch in batches:
         for bucket, arrays in zip(batch.column("bucket").to_pylist(), batch.column("arrays").to_pylist()):
-            doc, place = map(unpacked, arrays)
-            buckets = pa.array(np.full(len(doc), bucket, np.int32))
-            yield pa.record_batch([pa.array(doc), buckets, pa.array(place)], names=["doc_id", "bucket", "place"])
+            doc, start, end = map(unpacked, arrays)
+            columns = [doc, np.full(len(doc), bucket, np.int32), start, end]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["doc_id", "bucket", "start", "end"])
 
 
+@frees_memory
 def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts asked for, overlapping ones of a bucket merged: bucket, doc_id, start, part."""
+    """The bytes asked for: bucket, doc_id, start, part."""
     for batch in batches:
         for some in slices(batch, "text"):
-            buckets, docs, starts, parts = [], [], [], []
-            for row in some.to_pylist():
-                data = (row["text"] or "").encode()
-                bucket = np.array([a["bucket"] for a in row["asked"]], np.int64)
-                place = np.array([a["place"] for a in row["asked"]], np.int64)
-                high = np.minimum(place + AFTER, len(data))
-                for b, s, e in zip(*united(bucket, np.maximum(place - BEFORE, 0), high)):
-                    buckets.append(b)
-                    docs.append(row["doc_id"])
-                    starts.append(s)
-                    parts.append(data[s:e])
-            columns = [pa.array(buckets, pa.int32()), pa.array(docs, pa.int64()), pa.array(starts, pa.int64())]
-            yield pa.record_batch(
-                [*columns, pa.array(parts, pa.binary())], names=["bucket", "doc_id", "start", "part"]
-            )
+            rows = []
+            for doc, text, asked in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text", "asked"))):
+                data = (text or "").encode()
+                rows += [(a["bucket"], doc, a["start"], data[a["start"] : a["end"]]) for a in asked]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+            yield pa.record_batch(columns, names=["bucket", "doc_id", "start", "part"])
 
 
 def suffix_runs(data: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -278,18 +316,31 @@ def suffix_runs(data: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.
     Sorted eight bytes at a time. A suffix that is alone with what it has shown
     so far shares fewer than LEAST bytes with any other and is left out.
     """
-    padded = np.append(data, np.zeros(8, np.uint8))
-    words = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    run = np.zeros(len(suffixes), np.int64)
-    for depth in range(0, LEAST, 8):
-        at = min(depth, LEAST - 8)
-        word = np.ascontiguousarray(words[suffixes + at]).view(">u8")[:, 0].astype(np.uint64)
-        order = np.lexsort((word, run)) if depth else np.argsort(word, kind="stable")
-        suffixes, word, run = suffixes[order], word[order], run[order]
-        new = np.append(True, (word[1:] != word[:-1]) | (run[1:] != run[:-1])) if len(run) else np.zeros(0, bool)
-        alone = new & np.append(new[1:], True) if len(run) else new
-        run = np.cumsum(new)[~alone]
-        suffixes = suffixes[~alone]
+    if not len(suffixes):
+        return suffixes, suffixes
+    words = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(8, np.uint8)), 8)
+
+    def words_at(depth: int) -> np.ndarray:
+        return np.ascontiguousarray(words[suffixes + depth]).view(">u8")[:, 0].astype(np.uint64)
+
+    word = words_at(0)
+    order = np.argsort(word, kind="stable")
+    suffixes, word = suffixes[order], word[order]
+    run = np.cumsum(np.append(True, word[1:] != word[:-1]))
+    for depth in [0, *range(8, LEAST - 8, 8), LEAST - 8]:
+        if depth:
+            word = words_at(depth)
+            starts = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+            odd = word != np.repeat(word[starts], np.diff(np.append(starts, len(run))))
+            mixed = np.flatnonzero(np.repeat(np.logical_or.reduceat(odd, starts), np.diff(np.append(starts, len(run)))))
+            order = mixed[np.lexsort((word[mixed], run[mixed]))]
+            suffixes[mixed], word[mixed] = suffixes[order], word[order]
+            run = np.cumsum(np.append(True, (word[1:] != word[:-1]) | (run[1:] != run[:-1])))
+        new = np.append(True, run[1:] != run[:-1])
+        alone = new & np.append(new[1:], True)
+        suffixes, run = suffixes[~alone], run[~alone]
+        if not len(suffixes):
+            break
     return suffixes, run
 
 
@@ -309,6 +360,7 @@ def earlier_matches(suffixes: np.ndarray, run: np.ndarray) -> np.ndarray:
 
 def sort_contexts(table: pa.Table) -> pa.Table:
     """Spans of a bucket's contexts that have an earlier match."""
+    release_memory()
     doc, start = table["doc_id"].to_numpy(), table["start"].to_numpy()
     parts = table["part"].to_pylist()
     order = np.lexsort((start, doc))
@@ -340,9 +392,9 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     )
     asked = met.where("kind = 'ask'").select("bucket", "arrays")
     per_doc = stored(
-        asked.mapInArrow(asks_of, "doc_id long, bucket int, place long")
+        asked.mapInArrow(asks_of, "doc_id long, bucket int, start long, end long")
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("bucket", "place")).alias("asked")),
+        .agg(F.collect_list(F.struct("bucket", "start", "end")).alias("asked")),
         "asked",
     )
     known = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(NO_ID))))
@@ -357,6 +409,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     return stored(gathered.mapInArrow(unite_spans, gathered.schema), "spans")
 
 
+@frees_memory
 def unite_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
@@ -368,6 +421,7 @@ def unite_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("doc_id"), pa.array(out, batch.schema.field("spans").type)], names=["doc_id", "spans"])
 
 
+@frees_memory
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for some in slices(batch, "text"):

@@ -2,6 +2,35 @@
 
 # The base-32 alphabet is a fixed value.
 SQL = {
+    "op2_suffix_dedup": """
+WITH docs AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS bytes, strlen(coalesce(text, '')) AS n_bytes FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(0, n_bytes - 99)) AS start, bytes FROM docs
+), strings AS (
+    SELECT doc_id, start, md5(substr(bytes, 2 * start + 1, 200)) AS string FROM windows
+), later AS (
+    SELECT doc_id, start FROM strings
+    QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, start) > 1
+), islands AS (
+    SELECT doc_id, start, sum(fresh) OVER (PARTITION BY doc_id ORDER BY start) AS island
+    FROM (SELECT *, (start > coalesce(lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 100, -1))::INT AS fresh FROM later)
+), spans AS (
+    SELECT doc_id, min(start) AS low, max(start) + 100 AS high FROM islands GROUP BY doc_id, island
+), gaps AS (
+    SELECT doc_id, coalesce(lag(high) OVER same, 0) AS low, low AS high FROM spans WINDOW same AS (PARTITION BY doc_id ORDER BY low)
+    UNION ALL
+    SELECT d.doc_id, coalesce(s.high, 0), d.n_bytes FROM docs d
+    LEFT JOIN (SELECT doc_id, max(high) AS high FROM spans GROUP BY doc_id) s USING (doc_id)
+), kept AS (
+    SELECT doc_id, string_agg(substr(bytes, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS bytes
+    FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.bytes)) AS kept_sha256
+FROM docs JOIN kept USING (doc_id)
+LEFT JOIN (SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id) USING (doc_id)
+""",
     "op5_exact_dedup": """
 WITH digests AS (
     SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256

@@ -379,6 +379,9 @@ SQL = {
         f"FROM (SELECT {_texts(LINE_RULES)} AS why FROM line_flags)",
     ),
     "dq_report": _with(RULES, REPORT),
+    "table_round_trip": _with(STAR, f"SELECT {MEMBER_COLUMNS} FROM silver_members"),
+    "quarantine_round_trip": _with(RULES, _quarantine("members", MEMBER_COLUMNS)),
+    "report_round_trip": _with(RULES, REPORT),
     "dq_total_failures": _with(
         RULES, f"SELECT sum(rows_failed)::BIGINT AS total_failures FROM ({REPORT})"
     ),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from claimloom.operators.quality import (
 )
 from claimloom.plans import analytics, checks, gold
 from claimloom.plans.layers import Layers, layers
+from claimloom.session import shared_folder
 from claimloom.sources.driver_tables import ORDER
+from claimloom.sources.tables import replace_csv, replace_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +71,30 @@ def _line_counts(outcome: RuleOutcome) -> DataFrame:
     )
 
 
+def _table_round_trip(built: Layers) -> DataFrame:
+    """Silver members as a catalog table: written, replaced by a second run, read by name."""
+    name, home = f"members_{uuid4().hex}", f"{shared_folder(built.spark)}/claimloom/tables"
+    for _ in range(2):
+        replace_table(built.silver("members"), "default", name, home)
+    return built.spark.table(f"default.{name}")
+
+
+def _csv_round_trip(built: Layers, df: DataFrame) -> DataFrame:
+    path = f"{shared_folder(built.spark)}/claimloom/csv-{uuid4().hex}"
+    replace_csv(df, path)
+    return built.spark.read.schema(df.schema).options(header=True, escape='"').csv(path)
+
+
+def _quarantine_round_trip(built: Layers) -> DataFrame:
+    """The members' quarantine as CSV files, read back."""
+    return _csv_round_trip(built, built.stored_outcome("members").quarantined)
+
+
+def _report_round_trip(built: Layers) -> DataFrame:
+    """The audit report as a CSV file, read back."""
+    return _csv_round_trip(built, _stored_report(built).coalesce(1))
+
+
 def _stored_report(built: Layers) -> DataFrame:
     return union_reports([built.stored_outcome(name) for name in built.config.order])
 
@@ -91,6 +118,9 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "csv_quarantine": lambda b: _claim_reasons(b.line_outcome().quarantined),
     "csv_lines": lambda b: _line_counts(b.line_outcome()),
     "dq_report": _report,
+    "table_round_trip": _table_round_trip,
+    "quarantine_round_trip": _quarantine_round_trip,
+    "report_round_trip": _report_round_trip,
     "dq_total_failures": lambda b: total_failures(_stored_report(b)),
     "conform_members": lambda b: b.silver("members"),
     "conform_claims": lambda b: b.silver("claims"),

@@ -1,4 +1,7 @@
-"""Each rule on good, bad, missing, unreadable and repeated values."""
+"""Each rule on good, bad, missing, unreadable and repeated values.
+
+Some example values are fixed: the inputs that FIXTURES.md A1 lists.
+"""
 
 import pytest
 

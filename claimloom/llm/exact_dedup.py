@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import as_row, join_measured, stored
+from claimloom.llm.common import as_row, frees_memory, join_measured, stored
 
 #: Partners that exchange runs in one round.
 FAN_IN = 8
@@ -48,6 +48,7 @@ DIGESTS = "doc_id long, digest binary, n_bytes long"
 ENTRIES = "run long, digest binary, n_bytes long, keep_id long, first_id long, rows long, runs array<long>"
 
 
+@frees_memory
 def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """SHA-256 of each text, A-Z lower-cased."""
     for batch in batches:
@@ -71,6 +72,7 @@ def _ids(column: pa.Array) -> np.ndarray:
     return pc.fill_null(column, int(NO_ID)).to_numpy(zero_copy_only=False)
 
 
+@frees_memory
 def make_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted runs of a partition: one entry per distinct (run, digest) among ``RUN_ROWS`` rows."""
     held: list[pa.RecordBatch] = []
@@ -116,6 +118,7 @@ def _entries(run, digest, size, keep, first, rows, offsets, runs) -> pa.RecordBa
     )
 
 
+@frees_memory
 def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge neighbours of a sorted stream of entries that have one group, digest and length.
 

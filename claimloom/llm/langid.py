@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import slices
+from claimloom.llm.common import frees_memory, slices
 
 #: Start positions of a window; its filters may look a few bytes beyond.
 WINDOW = 512
@@ -221,6 +221,7 @@ def train(sample: list[tuple[str, bytes]], seed: int = SEED) -> Network | None:
     return Network(languages, seed).fit(x, y)
 
 
+@frees_memory
 def _identify(batches: Iterator[pa.RecordBatch], network: Network | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import as_row, join_measured, slices, stored, texts_of
+from claimloom.llm.common import as_row, frees_memory, join_measured, slices, stored, texts_of
 from claimloom.operators.lookup import lookup
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -139,6 +139,7 @@ def band_keys(signed: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+@frees_memory
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):

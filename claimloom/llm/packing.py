@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from claimloom.llm.common import slices, stored, texts_of
+from claimloom.llm.common import frees_memory, slices, stored, texts_of
 
 #: A tokenizer, and the same vocabulary as ranks.
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -87,6 +87,7 @@ def cut(length: int, size: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, size) for at in range(first, length, size))]
 
 
+@frees_memory
 def _pieces(batches: Iterator[pa.RecordBatch], path: tuple[str, str], size: int, end_id: int) -> Iterator[pa.RecordBatch]:
     end, encode = np.array([end_id], "<u4").tobytes(), encoder(*path)
     for batch in batches:

@@ -41,7 +41,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import join_measured, stored
+from claimloom.llm.common import frees_memory, join_measured, stored
 from claimloom.operators.lookup import lookup
 from claimloom.session import shared_folder
 
@@ -172,6 +172,7 @@ class Package:
         return self.path, self.out.done, len(self.index)
 
 
+@frees_memory
 def write_packages(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     """Write the rows of a task; yields the files it closed."""
     package, done = None, []
@@ -275,6 +276,7 @@ def read_ranges(source, ranges: list[tuple[int, int]]) -> Iterator[bytes]:
         yield held[offset - held_at : offset - held_at + length]
 
 
+@frees_memory
 def read_packages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Records of the packages named in ``path``, about ``READ_BYTES`` of payload at a time."""
     schema = pa.schema(

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import cache, cached_property, partial
 
 import numpy as np
 import public_tokenizers
@@ -33,14 +33,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.llm.common import slices, texts_of
-from claimloom.llm.pretoken import PIECES, Remembering
+from claimloom.llm.common import frees_memory, slices, texts_of
+from claimloom.llm.pretoken import PIECES, Remembering, cut_ids
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Pieces up to this many bytes are merged side by side, in blocks of so many leaves.
 SIDE_BY_SIDE, BLOCK_LEAVES = 256, 1 << 20
 #: Bits of a leaf that hold the position, and a leaf without a pair.
 PLACE_BITS = 32
+#: Pieces of a generation that a worker remembers.
+REMEMBERED = 150_000
 NONE = np.int64(np.iinfo(np.int64).max)
 
 
@@ -57,24 +59,34 @@ class Ranks:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.known = np.zeros(size, bool)
         self.known[list(ranks.values())] = True
+        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    @cached_property
+    def joins(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted pairs of tokens that join to a token, and its rank. Decoding needs none of this."""
+        ranks = {t: r for r, t in enumerate(self.tokens) if t}
         pairs = {
             (ranks[t[:i]] << PLACE_BITS) | ranks[t[i:]]: rank
             for t, rank in ranks.items()
             for i in range(1, len(t))
             if t[:i] in ranks and t[i:] in ranks
         }
-        self.keys = np.array(sorted(pairs), np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
-        self.pairs = pairs
-        self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
-        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
+        keys = np.array(sorted(pairs), np.int64)
+        return keys, np.array([pairs[k] for k in keys.tolist()], np.int64)
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """``joins`` for one lookup at a time; only long pieces need it."""
+        return dict(zip(*(part.tolist() for part in self.joins)))
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair, -1 where the two do not join."""
+        keys, values = self.joins
         key = (left << PLACE_BITS) | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.values[at], -1)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, values[at], -1)
 
 
 @cache
@@ -130,8 +142,8 @@ def merge_alone(piece: bytes, ranks: Ranks) -> np.ndarray:
     return np.array(out, np.uint32)
 
 
-def merge_together(pieces: list[bytes], leaves: int, ranks: Ranks) -> list[np.ndarray]:
-    """Ids of pieces of at most ``leaves`` bytes: one tree per row, one merge of every row at a time."""
+def merge_together(pieces: list[bytes], leaves: int, ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of pieces of at most ``leaves`` bytes, and how many each has: a tree per row, one merge of each at a time."""
     count = len(pieces)
     size = np.array([len(p) for p in pieces])
     grid = np.frombuffer(b"".join(p.ljust(leaves, b"\0") for p in pieces), np.uint8).reshape(count, leaves)
@@ -177,46 +189,62 @@ def merge_together(pieces: list[bytes], leaves: int, ranks: Ranks) -> list[np.nd
         has = left >= 0
         put(rows[has], left[has], pair(rows[has], left[has]))
         rows = rows[tree[rows, 1] != NONE]
-    flat = token[alive].astype(np.uint32)
-    return np.split(flat, np.cumsum(alive.sum(1))[:-1])
-
-
-def encode_pieces(pieces: list[bytes], ranks: Ranks) -> list[np.ndarray]:
-    """Ids of each piece, in the order given."""
-    out: list[np.ndarray | None] = [None] * len(pieces)
-    groups: dict[int, list[int]] = {}
-    for at, piece in enumerate(pieces):
-        if len(piece) < 2:
-            out[at] = ranks.single[np.frombuffer(piece, np.uint8)].astype(np.uint32)
-        elif len(piece) > SIDE_BY_SIDE:
-            out[at] = merge_alone(piece, ranks)
-        else:
-            groups.setdefault(1 << (len(piece) - 1).bit_length(), []).append(at)
-    for leaves, members in groups.items():
-        step = max(1, BLOCK_LEAVES // leaves)
-        for start in range(0, len(members), step):
-            block = members[start : start + step]
-            for at, ids in zip(block, merge_together([pieces[m] for m in block], leaves, ranks)):
-                out[at] = ids
+    return token[alive].astype("<u4"), alive.sum(1)
+
+
+def encode_pieces(pieces: list[bytes], ranks: Ranks) -> list[bytes]:
+    """Little-endian 32-bit ids of each piece, in the order given."""
+    out = [b""] * len(pieces)
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    for at in np.flatnonzero(sizes > SIDE_BY_SIDE).tolist():
+        out[at] = merge_alone(pieces[at], ranks).astype("<u4").tobytes()
+    leaves, below = 2, 0
+    while below < SIDE_BY_SIDE:
+        members = np.flatnonzero((sizes > below) & (sizes <= leaves))
+        for start in range(0, len(members), max(1, BLOCK_LEAVES // leaves)):
+            block = members[start : start + max(1, BLOCK_LEAVES // leaves)].tolist()
+            ids, counts = merge_together([pieces[m] for m in block], leaves, ranks)
+            raw, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+            for at, low, high in zip(block, [0, *ends], ends):
+                out[at] = raw[low:high]
+        leaves, below = 2 * leaves, leaves
     return out
 
 
-def encode_chunks(parts: list[str], ranks: Ranks) -> list[bytes]:
-    """Little-endian 32-bit ids of each chunk: every match of the split pattern is encoded by itself."""
-    cut = [[m.encode() for m in PIECES.findall(p)] for p in parts]
-    distinct = list({m for pieces in cut for m in pieces})
-    ids = dict(zip(distinct, (i.tobytes() for i in encode_pieces(distinct, ranks))))
-    return [b"".join([ids[m] for m in pieces]) for pieces in cut]
+class Encoder:
+    """Encodes chunks: every match of the split pattern by itself; pieces met before are remembered."""
+
+    def __init__(self, ranks: Ranks):
+        self.ranks, self.young, self.old = ranks, {}, {}
+        self.remembered = Remembering(self.encode_run, lambda part: self.encode_run([part])[0])
+
+    def encode_run(self, parts: list[str]) -> list[bytes]:
+        pieces = PIECES.findall("".join(parts))
+        known, old = self.young, self.old
+        distinct = set(pieces)
+        for piece in distinct & old.keys():
+            known[piece] = old[piece]
+        new = [p for p in distinct if p not in known]
+        known.update(zip(new, encode_pieces([p.encode() for p in new], self.ranks)))
+        found = [known[p] for p in pieces]
+        if len(known) > REMEMBERED:
+            self.old, self.young = known, {}
+        ids = np.frombuffer(b"".join(found), "<u4")
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        # a token's place is where its piece ends, as only the ends of pieces matter
+        ends = np.repeat(np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces))), counts)
+        part_ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        return cut_ids(ids, ends, part_ends)
 
 
 @cache
-def _remembered(path: str) -> Remembering:
-    return Remembering(partial(encode_chunks, ranks=ranks_of(path)))
+def _encoder(path: str) -> Encoder:
+    return Encoder(ranks_of(path))
 
 
 def encode_texts(texts: list[str], path: str = VOCABULARY) -> list[bytes]:
     """Little-endian 32-bit ids of each text."""
-    return _remembered(path).all_ids(texts)
+    return _encoder(path).remembered.all_ids(texts)
 
 
 def decode_ids(ids: np.ndarray, ranks: Ranks) -> bytes:
@@ -231,6 +259,7 @@ def decode_ids(ids: np.ndarray, ranks: Ranks) -> bytes:
     return ranks.bytes[np.repeat(ranks.starts[ids], lengths) + from_start].tobytes()
 
 
+@frees_memory
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
@@ -242,6 +271,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
             )
 
 
+@frees_memory
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     ranks = ranks_of(path)
     for batch in batches:

@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import slices, stored, texts_of
+from claimloom.llm.common import frees_memory, release_memory, slices, stored, texts_of
 
 #: Words of context plus one.
 ORDER = 2
@@ -117,6 +117,7 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().translate(LOWER).split()
 
 
+@frees_memory
 def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))]
@@ -255,13 +256,20 @@ class Pairs:
         return np.flatnonzero(new)
 
     def packed(self, some: np.ndarray, counts: np.ndarray, lower: np.ndarray) -> list[bytes]:
-        starts = self.runs(some)
-        values, which = np.unique(lower[some], return_inverse=True)
+        """The pairs of a bucket; a word and its lower-order probability are listed once."""
+        starts, word, chance = self.runs(some), self.word[some], lower[some]
+        order = np.lexsort((chance, word))
+        new = np.append(True, (np.diff(word[order]) != 0) | (np.diff(chance[order]) != 0))
+        entry = np.empty(len(some), np.uint32)
+        entry[order] = np.cumsum(new) - 1
+        listed = order[new]
+        values, which = np.unique(chance[listed], return_inverse=True)
         return [
             packed(np.diff(self.context[some][starts], prepend=0)),
             packed(np.diff(np.append(starts, len(some)))),
-            packed(self.word[some]),
+            packed(entry),
             packed(counts[some].astype(np.uint32)),
+            packed(np.diff(word[listed], prepend=0)),
             packed(values),
             packed(which.astype(np.uint32)),
         ]
@@ -319,7 +327,7 @@ def answer_words(table: pa.Table, buckets: int) -> pa.Table:
     for _, words, counts in asked:
         for word, count in zip(words, counts.tolist()):
             total[word] = total.get(word, 0) + count
-    seen = sorted(w for w, c in total.items() if c)
+    seen = sorted((w for w, c in total.items() if c), key=lambda w: (-total[w], w))  # small numbers pack better
     number = {w: bucket + buckets * i for i, w in enumerate(seen)}
     counts = np.array([total[w] for w in seen], np.int64)
     model = [zstandard.ZstdCompressor(level=1).compress(b" ".join(seen)), packed(counts)]
@@ -348,8 +356,9 @@ def answer_pairs(table: pa.Table, level: int, buckets: int, hot: np.ndarray, las
     rows = table.to_pylist()
     bucket, asked = rows[0]["bucket"], []
     for row in rows:
-        context, runs, word, count, values, which = map(unpacked, row["arrays"])
-        asked.append((row["block"], np.repeat(np.cumsum(context), runs), word, count.astype(np.int64), values[which]))
+        context, runs, entry, count, words, values, which = map(unpacked, row["arrays"])
+        context, word, lower = np.repeat(np.cumsum(context), runs), np.cumsum(words)[entry], values[which][entry]
+        asked.append((row["block"], context, word, count.astype(np.int64), lower))
     context, word, count, lower = (np.concatenate([a[i] for a in asked]) for i in range(1, 5))
     order = np.lexsort((word, context))
     new = np.ones(len(order), bool)
@@ -461,6 +470,7 @@ def blocks_of(docs: DataFrame, held: F.Column) -> DataFrame:
     return stored(rows.mapInArrow(make_blocks, BLOCKS), "katz-blocks")
 
 
+@frees_memory
 def _ask_words(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
@@ -506,6 +516,7 @@ def learn(docs: DataFrame, held, order: int = ORDER) -> tuple[DataFrame, DataFra
     buckets = model.buckets
 
     def words(table: pa.Table) -> pa.Table:
+        release_memory()
         return answer_words(table, buckets)
 
     asked = blocks.mapInArrow(partial(_ask_words, model=model), PARTS)
@@ -521,10 +532,12 @@ def _level(blocks: DataFrame, parts: DataFrame, model: Model, level: int, last:
     buckets, hot = model.buckets, model.hot(level).contexts
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
+        release_memory()
         rows = [p for row in left.to_pylist() for p in Block(row, right.to_pylist(), model).ask_pairs(level)]
         return parts_table(rows)
 
     def answer(table: pa.Table) -> pa.Table:
+        release_memory()
         return answer_pairs(table, level, buckets, hot, last)
 
     asked = with_answers(blocks, parts, ask, PARTS)
@@ -541,6 +554,7 @@ def score(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
     blocks, parts, model = learn(docs, held, order)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        release_memory()
         tables = [score_block(Block(row, right.to_pylist(), model), order) for row in left.to_pylist()]
         return pa.concat_tables(tables) if tables else score_schema().empty_table()
 

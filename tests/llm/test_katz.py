@@ -24,6 +24,12 @@ DOCS = [
 ]
 
 
+def history_at(words, i, n):
+    """The n - 1 tokens before token i; what would lie before the text is one start sign."""
+    first = i - n + 1
+    return tuple(words[first:i]) if first >= 0 else ("<s>", *words[:i])
+
+
 def plain_scores(docs, order):
     held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in docs]
     tokens = []
@@ -33,11 +39,8 @@ def plain_scores(docs, order):
     counts = [None] + [Counter() for _ in range(order)]
     for out, words in zip(held, tokens):
         for n in range(1, order + 1):
-            for i in range(len(words)):
-                if not out and (i >= n - 1 or n == 2 or i - n + 1 >= -1):
-                    start = i - n + 1
-                    history = ("<s>",) if start < 0 else tuple(words[start:i])
-                    counts[n][(history, words[i])] += 1
+            for i in range(0 if out else len(words)):
+                counts[n][(history_at(words, i, n) if n > 1 else (), words[i])] += 1
     total, types = sum(counts[1].values()), len(counts[1])
 
     def discounts(n):
@@ -74,7 +77,7 @@ def plain_scores(docs, order):
         return left / (1 - below) * chance(n - 1, histories, word)
 
     def histories_at(words, i):
-        return [None, None] + [("<s>",) if i - n + 1 < 0 else tuple(words[i - n + 1 : i]) for n in range(2, order + 1)]
+        return [None, None] + [history_at(words, i, n) for n in range(2, order + 1)]
 
     out = []
     for (doc, _), is_held, words in zip(docs, held, tokens):
@@ -89,14 +92,15 @@ def plain_scores(docs, order):
     return out
 
 
+@pytest.mark.parametrize("order", [1, 2, 3])
 @pytest.mark.parametrize("block_tokens", [1_500_000, 50])
-def test_scores(spark, monkeypatch, block_tokens):
+def test_scores(spark, monkeypatch, block_tokens, order):
     monkeypatch.setattr(katz, "BLOCK_TOKENS", block_tokens)
     docs = spark.createDataFrame([(d, t, "x", 1) for d, t in DOCS], "doc_id long, text string, held string, block int")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
-    found = {r["doc_id"]: tuple(r) for r in katz.score(docs.repartition(3), held).collect()}
+    found = {r["doc_id"]: tuple(r) for r in katz.score(docs.repartition(3), held, order).collect()}
     assert len(found) == len(DOCS)
-    for expected in plain_scores(DOCS, katz.ORDER):
+    for expected in plain_scores(DOCS, order):
         row = found[expected[0]]
         assert row[:5] == expected[:5]
         assert row[5:] == pytest.approx(expected[5:], rel=1e-9)

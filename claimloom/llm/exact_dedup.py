@@ -33,6 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.llm.common import as_row, frees_memory, join_measured, stored
 
@@ -48,17 +49,21 @@ DIGESTS = "doc_id long, digest binary, n_bytes long"
 ENTRIES = "run long, digest binary, n_bytes long, keep_id long, first_id long, rows long, runs array<long>"
 
 
+def _normalised(texts: pa.Array) -> pa.Array:
+    return pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.binary())
+
+
+def _digests(texts: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(t).digest() for t in texts.to_pylist()], pa.binary())
+
+
 @frees_memory
 def digest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """SHA-256 of each text, A-Z lower-cased."""
     for batch in batches:
-        texts = pc.ascii_lower(pc.fill_null(batch.column("text"), "")).cast(pa.binary())
+        texts = _normalised(batch.column("text"))
         yield pa.record_batch(
-            [
-                batch.column("doc_id"),
-                pa.array([hashlib.sha256(t).digest() for t in texts.to_pylist()], pa.binary()),
-                pc.binary_length(texts).cast(pa.int64()),
-            ],
+            [batch.column("doc_id"), _digests(texts), pc.binary_length(texts).cast(pa.int64())],
             names=["doc_id", "digest", "n_bytes"],
         )
 
@@ -183,7 +188,7 @@ def tree_merge(runs: DataFrame, rounds: int, fan_in: int) -> DataFrame:
 
 
 def resolve(docs: DataFrame, fan_in: int = FAN_IN, per_node: int = ENTRIES_PER_NODE) -> DataFrame:
-    """Per row: doc_id, digest, keep_id (largest of its group), first_id (smallest), group_size."""
+    """Per row: doc_id, digest, n_bytes, keep_id (largest of its group), first_id (smallest), group_size."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     digests = stored(
         rows.mapInArrow(digest_rows, DIGESTS).withColumn("run", F.spark_partition_id().cast("long")),
@@ -205,19 +210,33 @@ def resolve(docs: DataFrame, fan_in: int = FAN_IN, per_node: int = ENTRIES_PER_N
     return join_measured(digests, groups, ["run", "digest", "n_bytes"], "left").select(
         "doc_id",
         "digest",
+        "n_bytes",
         F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.when(single, F.col("doc_id")).otherwise(F.col("first_id")).alias("first_id"),
         F.coalesce("rows", F.lit(1)).cast("long").alias("group_size"),
     )
 
 
+@F.arrow_udf(T.BinaryType())
+def _digest(texts: pa.Array) -> pa.Array:
+    return _digests(_normalised(texts))
+
+
 def deduplicate(docs: DataFrame, keep: str = "keep_id") -> DataFrame:
     """The rows of ``docs``, all columns, that stay: ``keep_id`` keeps largest ids, ``first_id`` smallest.
 
-    Repeated rows of one document (same id and text) both stay.
+    Repeated rows of one document (same id and text) both stay. Rows go by id
+    and text, so others of the same id, or of a null one, stay.
     """
+    key = ["doc_id", "digest", "n_bytes"]
     dropped = stored(
-        resolve(docs).where(~F.col("doc_id").eqNullSafe(F.col(keep))).select("doc_id").distinct(), "dropped"
+        resolve(docs).where(~F.col("doc_id").eqNullSafe(F.col(keep))).select(*key).distinct(), "dropped"
+    )
+    text = F.col("row.text").cast("string")
+    packed = as_row(docs).select(
+        "row",
+        F.col("row.doc_id").cast("long").alias("doc_id"),
+        _digest(text).alias("digest"),
+        F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
     )
-    packed = as_row(docs).withColumn("doc_id", F.col("row.doc_id").cast("long"))
-    return join_measured(packed, dropped, ["doc_id"], "left_anti").select("row.*")
+    return join_measured(packed, dropped, key, "left_anti").select("row.*")

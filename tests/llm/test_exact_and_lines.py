@@ -8,7 +8,7 @@ import pytest
 from compare import duck, duck_bag, spark_bag
 from conftest import TESTDATA
 
-from claimloom.llm import exact_dedup, line_dedup
+from claimloom.llm import common, exact_dedup, line_dedup
 from claimloom.llm.oracle import SQL
 from claimloom.llm.registry import QUERIES
 
@@ -64,6 +64,20 @@ def test_deduplicate_keeps_all_columns(spark):
     assert exact_dedup.resolve(docs.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_deduplicate_goes_by_id_and_text(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    rows = [
+        (1, "a"), (2, "A"), (None, "a"), (None, "unique"), (None, "Ä"), (None, "both null"), (None, "both null"),
+        (3, "b"), (4, "b"), (3, "other text of 3"), (None, None), (5, ""),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    gone = {(1, "a"), (None, "a"), (3, "b"), (None, None)}
+    kept = sorted((r for r in rows if r not in gone), key=repr)
+    assert sorted(map(tuple, exact_dedup.deduplicate(docs).collect()), key=repr) == kept
+
+
 def plain_lines(rows, least):
     sites = defaultdict(set)
     for _, text, site in rows:

@@ -17,7 +17,8 @@ Defined results
 ---------------
 Equal payloads of at least ``min_bytes`` bytes: the smallest page_id is a
 ``response``, others are ``revisit`` records without payload; rows that repeat
-the smallest page_id are all responses. null html: empty payload. null
+the smallest page_id are all responses. A page_id may have several payloads,
+each is judged by itself. null html: empty payload. null
 page_id: written as ``null``; it is a response only if all ids of its group
 are null. null url: an empty target. Empty table: no file. Other columns are
 not written.
@@ -301,7 +302,7 @@ def read_packages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id and refers_to of the pages whose payload a smaller page_id has."""
+    """page_id, digest and refers_to of the payloads that a smaller page_id has too."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     thin = stored(
         pages.select(F.col("page_id").cast("long").alias("page_id"), payload.alias("payload"))
@@ -316,14 +317,18 @@ def revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
         .drop("n")
     )
     found = lookup(thin, stored(first, "first-pages"), "digest", ["page_id"], "inner")
-    return found.where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("page_id", "refers_to").distinct()
+    later = found.where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    return later.select("page_id", "digest", "refers_to").distinct()
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int = 0) -> DataFrame:
     """Write all pages; returns the stored list of packages (path, bytes, records)."""
     folder = folder or f"{shared_folder(pages.sparkSession)}/llm/archives-{uuid.uuid4().hex}"
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    marked = join_measured(rows, stored(revisits(pages, min_bytes), "revisits"), ["page_id"], "left")
+    # an id may stand for several payloads (as null does), so the verdict goes by id and payload
+    digest = F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary")).alias("digest")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", digest)
+    later = stored(revisits(pages, min_bytes), "revisits")
+    marked = join_measured(rows, later, ["page_id", "digest"], "left").drop("digest")
     return stored(marked.mapInArrow(partial(write_packages, folder=folder), FILES), "packages")
 
 

@@ -36,6 +36,24 @@ def test_round_trip(spark, tmp_path):
         assert row["payload"] == (payload if row["page_id"] == first else None)
 
 
+def test_ids_with_several_payloads(spark, tmp_path):
+    rows = [
+        (1, "one"), (2, "two"), (None, "one"), (None, "two"), (None, "own"), (None, "two"), (None, "shared"), (None, "shared"),
+        (3, "one"), (3, "alone"), (2, "three"), (4, "three"), (5, None), (None, None),
+    ]
+    pages = spark.createDataFrame([(p, "u", h) for p, h in rows], "page_id long, url string, html string")
+    found = warc.read_archives(warc.write_archives(pages.repartition(3), str(tmp_path))).collect()
+    expected = []
+    for page, html in rows:
+        payload = (html or "").encode()
+        first = min((p for p, h in rows if (h or "").encode() == payload and p is not None), default=None)
+        later = page != first
+        expected.append((page, "revisit" if later else "response", first if later else None, None if later else payload, warc.base32_sha1(payload)))
+    columns = ["page_id", "record_type", "refers_to", "payload", "payload_digest"]
+    got = [tuple(bytes(r[c]) if c == "payload" and r[c] is not None else r[c] for c in columns) for r in found]
+    assert sorted(got, key=repr) == sorted(expected, key=repr)
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     _, found = read_back(spark, tmp_path, min_bytes=11)
     assert {r["record_type"] for r in found} == {"response"}

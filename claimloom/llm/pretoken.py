@@ -89,7 +89,8 @@ class Remembering(dict):
             apart[::2] = bare
             self.update(zip(bare, self.encode_run(apart)[::2]))
         if len(led) + len(bare) < len(new):
-            self.update((p, self.encode_alone(p)) for p in new if len(p) > LONG or p.isspace())
+            # blanks, long chunks, and separators U+001C..U+001F, which isspace() takes for blanks and the pattern does not
+            self.update([(p, self.encode_alone(p)) for p in new if p not in self])
 
     def forget(self) -> None:
         if len(self) > REMEMBERED or self.chars > REMEMBERED_CHARS:

@@ -56,6 +56,19 @@ def test_ids_equal_the_libraries():
         assert [numbers(packing.encoder(*packing.VOCABULARY)(t)) for t in texts] == expected
 
 
+SEPARATORS = [
+    '{"a":1}\x1e{"b":2}', 'x \x1c! y', ' \x1f\ufffd\x08', '\x1e{"', "a\x1d\x1d b", " \x1e", "\x1c\x1d\x1e\x1f", "\n\x1f. \x1f.\n",
+    "\x1f\ufffd\x08\x08\ufffd gzip", "\x1c" * 5000 + "!",
+]
+
+
+def test_separators_that_only_python_takes_for_blanks():
+    expected = [PLAIN.encode_ordinary(t) for t in SEPARATORS]
+    assert [numbers(r) for r in bpe.encode_texts(SEPARATORS)] == expected
+    fresh = bpe.Encoder(bpe.ranks_of(bpe.VOCABULARY)).remembered
+    assert [numbers(fresh.all_ids([t])[0]) for t in SEPARATORS] == expected
+
+
 def test_ids_when_little_is_remembered_and_texts_are_cut(monkeypatch):
     monkeypatch.setattr(pretoken, "REMEMBERED", 3)
     monkeypatch.setattr(bpe, "REMEMBERED", 3)

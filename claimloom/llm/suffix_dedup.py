@@ -25,9 +25,10 @@ suffixes of step 3 by their bytes.
 
 Defined results
 ---------------
-null text: no bytes. A null doc_id counts as larger than all others. An id
-stands for one text: repeated rows are the same place, none is the earlier one,
-and all are cut alike. Texts shorter than ``LEAST`` lose nothing. Empty table:
+null text: no bytes. An id stands for one text: repeated rows are the same
+place, none is the earlier one, and all are cut alike. A null doc_id counts as
+larger than all others; rows without an id are told apart (and put in order) by
+a hash of their text, so only those with equal texts are repeated rows. Texts shorter than ``LEAST`` lose nothing. Empty table:
 no rows. Other columns pass through ``remove_repeats``; as text, a character
 that is cut in part is left out.
 """
@@ -40,7 +41,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,7 +56,6 @@ BEFORE = LEAST - GRAM
 PARTS = 4
 #: Bytes hashed at once, anchors collapsed at once, bytes of text a bucket is meant to answer for.
 PIECE, HELD, BUCKET_BYTES = 1 << 18, 300_000, 12 * 1024 * 1024
-NO_ID = np.iinfo(np.int64).max
 FOUND = "kind string, bucket int, arrays array<binary>"
 FOUND_SCHEMA = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("arrays", pa.list_(pa.binary()))])
 CONTEXT_BITS = np.uint64((1 << 48) - 1)
@@ -133,10 +133,13 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return place, gram[place], context, cores, place - low, high - place
 
 
-def text_anchors(ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """gram, context, id, place, cores, before, after of the anchors; long texts go piece by piece, with overlap."""
+def text_anchors(none: list[int], ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """gram, context, none, id, place, cores, before, after of the anchors; long texts go piece by piece, with overlap.
+
+    ``none`` is 1 for rows without an id, whose ``id`` is a hash of their text.
+    """
     found: list[tuple[np.ndarray, ...]] = []
-    batch: list[tuple[int, int, bytes, int, int]] = []
+    batch: list[tuple[int, int, bytes, int, int, int]] = []
 
     def flush() -> None:
         lengths = np.array([len(b[2]) for b in batch])
@@ -150,11 +153,11 @@ def text_anchors(ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
         low, high = (np.array([b[i] for b in batch])[owner] for i in (3, 4))
         inside = (at >= low) & (at < high)
         sides = before.astype(np.uint8), after.astype(np.uint8)
-        whose = np.array([b[0] for b in batch], np.int64)[owner]
-        found.append((gram[inside], context[inside], whose[inside], at[inside], cores[inside], *(x[inside] for x in sides)))
+        whose = np.array([b[5] for b in batch], np.int8)[owner], np.array([b[0] for b in batch], np.int64)[owner]
+        found.append(tuple(x[inside] for x in (gram, context, *whose, at, cores, *sides)))
 
     held = 0
-    for number, text in zip(ids, texts):
+    for no_id, number, text in zip(none, ids, texts):
         if len(text) < LEAST:
             continue
         for start in range(0, len(text), PIECE):
@@ -162,37 +165,38 @@ def text_anchors(ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
             if held and held + high - low > PIECE + 4 * LEAST:
                 flush()
                 batch, held = [], 0
-            batch.append((number, low, text[low:high], start, start + PIECE))
+            batch.append((number, low, text[low:high], start, start + PIECE, no_id))
             held += high - low
     if batch:
         flush()
-    empty = [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)] * 2 + [np.zeros((0, PARTS), np.uint32)]
+    empty = [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int8)] + [np.zeros(0, np.int64)] * 2
+    empty += [np.zeros((0, PARTS), np.uint32)]
     empty += [np.zeros(0, np.uint8)] * 2
     return tuple(np.concatenate([e, *(f[i] for f in found)]) for i, e in enumerate(empty))
 
 
-def collapse(gram, context, doc, place) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in order of (gram, context, doc, place) without repeats, and which are the first of their context."""
-    order = np.lexsort((place, doc, context, gram))
-    g, c, d, p = gram[order], context[order], doc[order], place[order]
+def collapse(gram, context, none, doc, place) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of (gram, context, none, doc, place) without repeats, and which are the first of their context."""
+    order = np.lexsort((place, doc, none, context, gram))
+    g, c, n, d, p = gram[order], context[order], none[order], doc[order], place[order]
     same = (g[1:] == g[:-1]) & (c[1:] == c[:-1])
     first = np.append(True, ~same)
-    repeat = np.append(False, same & (d[1:] == d[:-1]) & (p[1:] == p[:-1]))
+    repeat = np.append(False, same & (n[1:] == n[:-1]) & (d[1:] == d[:-1]) & (p[1:] == p[:-1]))
     return order[~repeat], first[~repeat]
 
 
-def united(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def united(none: np.ndarray, doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
     """Spans with overlapping and touching ones of a document merged."""
     if not len(doc):
-        return doc, start, end
-    order = np.lexsort((start, doc))
-    doc, start, end = doc[order], start[order], end[order]
-    group = np.cumsum(np.append(True, doc[1:] != doc[:-1]))
+        return none, doc, start, end
+    order = np.lexsort((start, doc, none))
+    none, doc, start, end = none[order], doc[order], start[order], end[order]
+    group = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (none[1:] != none[:-1])))
     shift = group.astype(np.int64) << 34  # texts are shorter than 2**31 bytes
     reach = np.maximum.accumulate(end + shift)
     new = np.append(True, (start + shift)[1:] > reach[:-1])
     at = np.flatnonzero(new)
-    return doc[at], start[at], np.maximum.reduceat(end, at)
+    return none[at], doc[at], start[at], np.maximum.reduceat(end, at)
 
 
 def _rows(rows: list[tuple[str, int, list[np.ndarray]]]) -> pa.Table:
@@ -201,17 +205,17 @@ def _rows(rows: list[tuple[str, int, list[np.ndarray]]]) -> pa.Table:
     )
 
 
-def covered(doc: np.ndarray, place: np.ndarray, before: np.ndarray, after: np.ndarray) -> list[np.ndarray]:
+def covered(none, doc, place, before, after) -> list[np.ndarray]:
     """United spans of the contexts of anchors."""
     place = place.astype(np.int64)
-    return list(united(doc, place - before, place + after))
+    return list(united(none, doc, place - before, place + after))
 
 
 def _task_rows(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[pa.RecordBatch]:
     columns = [np.concatenate(p) for p in zip(*parts)]
-    order, first = collapse(*columns[:4])
-    spans = covered(*(c[order[~first]] for c in (columns[2], columns[3], columns[5], columns[6])))
-    gram, context, doc, place, cores, before, after = (c[order[first]] for c in columns)
+    order, first = collapse(*columns[:5])
+    spans = covered(*(c[order[~first]] for c in (*columns[2:5], *columns[6:8])))
+    gram, context, none, doc, place, cores, before, after = (c[order[first]] for c in columns)
     # anchors are minima, so their hashes are small: buckets go by another hash
     owner = (mix(gram * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(owner, kind="stable")
@@ -221,9 +225,9 @@ def _task_rows(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[pa
         if len(s):
             deltas = np.diff(gram[s], prepend=np.uint64(0))
             rest = [place[s].astype(np.int32), cores[s].ravel(), before[s], after[s]]
-            rows.append(("anchor", bucket, [deltas, context[s], doc[s], *rest]))
+            rows.append(("anchor", bucket, [deltas, context[s], none[s], doc[s], *rest]))
     if len(spans[0]):
-        rows.append(("span", int(spans[0][0]) % buckets, spans))
+        rows.append(("span", int(spans[1][0]) % buckets, spans))
     yield from _rows(rows).to_batches()
 
 
@@ -233,8 +237,8 @@ def anchor_rows(buckets: int):
         parts, held = [], 0
         for batch in batches:
             for some in slices(batch, "text"):
-                ids = [NO_ID if i is None else i for i in some.column("doc_id").to_pylist()]
-                parts.append(text_anchors(ids, [t.encode() for t in texts_of(some)]))
+                none, ids = (some.column(c).to_pylist() for c in ("no_id", "doc_id"))
+                parts.append(text_anchors(none, ids, [t.encode() for t in texts_of(some)]))
                 held += len(parts[-1][0])
                 if held >= HELD:
                     yield from _task_rows(parts, buckets)
@@ -265,49 +269,49 @@ def meet(table: pa.Table) -> pa.Table:
     parts = [[unpacked(a) for a in r["arrays"]] for r in rows if r["kind"] == "anchor"]
     if parts:
         gram = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        context, doc, place, cores, before, after = (np.concatenate([p[i] for p in parts]) for i in range(1, 7))
-        order, first = collapse(gram, context, doc, place)
+        context, none, doc, place, cores, before, after = (np.concatenate([p[i] for p in parts]) for i in range(1, 8))
+        order, first = collapse(gram, context, none, doc, place)
         later, once = order[~first], order[first]
         if len(later):
-            out.append(("span", bucket, covered(doc[later], place[later], before[later], after[later])))
+            out.append(("span", bucket, covered(none[later], doc[later], place[later], before[later], after[later])))
         same = gram[once[1:]] == gram[once[:-1]]
         once = once[np.append(same, False) | np.append(False, same)]
         once = once[shared_core(gram[once], cores.reshape(-1, PARTS)[once])]
         if len(once):
-            out.append(("ask", bucket, covered(doc[once], place[once], before[once], after[once])))
+            out.append(("ask", bucket, covered(none[once], doc[once], place[once], before[once], after[once])))
     return _rows(out)
 
 
 @frees_memory
 def spans_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans as rows: doc_id, start, end."""
+    """Spans as rows: no_id, doc_id, start, end."""
     for batch in batches:
         for arrays in batch.column("arrays").to_pylist():
-            yield pa.record_batch([pa.array(unpacked(a)) for a in arrays], names=["doc_id", "start", "end"])
+            yield pa.record_batch([pa.array(unpacked(a)) for a in arrays], names=["no_id", "doc_id", "start", "end"])
 
 
 @frees_memory
 def asks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts to be looked at as rows: doc_id, bucket, start, end."""
+    """Contexts to be looked at as rows: no_id, doc_id, bucket, start, end."""
     for batch in batches:
         for bucket, arrays in zip(batch.column("bucket").to_pylist(), batch.column("arrays").to_pylist()):
-            doc, start, end = map(unpacked, arrays)
-            columns = [doc, np.full(len(doc), bucket, np.int32), start, end]
-            yield pa.record_batch([pa.array(c) for c in columns], names=["doc_id", "bucket", "start", "end"])
+            none, doc, start, end = map(unpacked, arrays)
+            columns = [none, doc, np.full(len(doc), bucket, np.int32), start, end]
+            yield pa.record_batch([pa.array(c) for c in columns], names=["no_id", "doc_id", "bucket", "start", "end"])
 
 
 @frees_memory
 def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes asked for: bucket, doc_id, start, part."""
+    """The bytes asked for: bucket, no_id, doc_id, start, part."""
     for batch in batches:
         for some in slices(batch, "text"):
             rows = []
-            for doc, text, asked in zip(*(some.column(c).to_pylist() for c in ("doc_id", "text", "asked"))):
+            for none, doc, text, asked in zip(*(some.column(c).to_pylist() for c in ("no_id", "doc_id", "text", "asked"))):
                 data = (text or "").encode()
-                rows += [(a["bucket"], doc, a["start"], data[a["start"] : a["end"]]) for a in asked]
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+                rows += [(a["bucket"], none, doc, a["start"], data[a["start"] : a["end"]]) for a in asked]
+            kinds = [pa.int32(), pa.int8(), pa.int64(), pa.int64(), pa.binary()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            yield pa.record_batch(columns, names=["bucket", "doc_id", "start", "part"])
+            yield pa.record_batch(columns, names=["bucket", "no_id", "doc_id", "start", "part"])
 
 
 def suffix_runs(data: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -361,12 +365,12 @@ def earlier_matches(suffixes: np.ndarray, run: np.ndarray) -> np.ndarray:
 def sort_contexts(table: pa.Table) -> pa.Table:
     """Spans of a bucket's contexts that have an earlier match."""
     release_memory()
-    doc, start = table["doc_id"].to_numpy(), table["start"].to_numpy()
+    none, doc, start = (table[c].to_numpy() for c in ("no_id", "doc_id", "start"))
     parts = table["part"].to_pylist()
-    order = np.lexsort((start, doc))
-    keep = np.append(True, (np.diff(doc[order]) != 0) | (np.diff(start[order]) != 0))  # repeated rows
+    order = np.lexsort((start, doc, none))
+    keep = np.append(True, np.logical_or.reduce([c[order[1:]] != c[order[:-1]] for c in (none, doc, start)]))  # repeated rows
     order = order[keep]
-    doc, start, parts = doc[order], start[order], [parts[i] for i in order]
+    none, doc, start, parts = none[order], doc[order], start[order], [parts[i] for i in order]
     length = np.array([len(p) for p in parts])
     data = np.frombuffer(b"".join(parts), np.uint8)
     first = np.cumsum(length) - length
@@ -375,16 +379,23 @@ def sort_contexts(table: pa.Table) -> pa.Table:
     suffixes = place[place + LEAST <= (first + length)[owner]]
     found = np.sort(earlier_matches(*suffix_runs(data, suffixes)))
     at = start[owner[found]] + found - first[owner[found]]
-    columns = united(doc[owner[found]], at, at + LEAST)
-    return pa.table([pa.array(c) for c in columns], names=["doc_id", "start", "end"])
+    columns = united(none[owner[found]], doc[owner[found]], at, at + LEAST)
+    return pa.table([pa.array(c) for c in columns], names=["no_id", "doc_id", "start", "end"])
+
+
+SPANS = "no_id byte, doc_id long, start long, end long"
+KEY = ["no_id", "doc_id"]
 
 
-SPANS = "doc_id long, start long, end long"
+def key_columns() -> list[Column]:
+    """What a row is known by: 0 and its id, or 1 and a hash of its text."""
+    number, text = F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return [number.isNull().cast("byte").alias("no_id"), F.coalesce(number, F.xxhash64(text)).alias("doc_id")]
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
-    """doc_id and spans (array of start, end) to be removed; null ids as NO_ID."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """``KEY`` and spans (array of start, end) to be removed."""
+    rows = docs.select(*key_columns(), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(8, size // BUCKET_BYTES))
     met = stored(
@@ -392,20 +403,19 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     )
     asked = met.where("kind = 'ask'").select("bucket", "arrays")
     per_doc = stored(
-        asked.mapInArrow(asks_of, "doc_id long, bucket int, start long, end long")
-        .groupBy("doc_id")
+        asked.mapInArrow(asks_of, "no_id byte, doc_id long, bucket int, start long, end long")
+        .groupBy(*KEY)
         .agg(F.collect_list(F.struct("bucket", "start", "end")).alias("asked")),
         "asked",
     )
-    known = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(int(NO_ID))))
-    contexts = join_measured(known, per_doc, ["doc_id"], "inner").select("doc_id", "text", "asked")
+    contexts = join_measured(rows, per_doc, KEY, "inner").select(*KEY, "text", "asked")
     sorted_spans = (
-        contexts.mapInArrow(fetch, "bucket int, doc_id long, start long, part binary")
+        contexts.mapInArrow(fetch, "bucket int, no_id byte, doc_id long, start long, part binary")
         .groupBy("bucket")
         .applyInArrow(sort_contexts, SPANS)
     )
     spans = met.where("kind = 'span'").select("arrays").mapInArrow(spans_of, SPANS).unionByName(sorted_spans)
-    gathered = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    gathered = spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return stored(gathered.mapInArrow(unite_spans, gathered.schema), "spans")
 
 
@@ -416,9 +426,11 @@ def unite_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for spans in batch.column("spans").to_pylist():
             start = np.array([s["start"] for s in spans], np.int64)
             end = np.array([s["end"] for s in spans], np.int64)
-            _, start, end = united(np.zeros(len(start), np.int64), start, end)
+            same = np.zeros(len(start), np.int64)
+            _, _, start, end = united(same, same, start, end)
             out.append([{"start": s, "end": e} for s, e in zip(start.tolist(), end.tolist())])
-        yield pa.record_batch([batch.column("doc_id"), pa.array(out, batch.schema.field("spans").type)], names=["doc_id", "spans"])
+        columns = [*(batch.column(c) for c in KEY), pa.array(out, batch.schema.field("spans").type)]
+        yield pa.record_batch(columns, names=[*KEY, "spans"])
 
 
 @frees_memory
@@ -448,9 +460,8 @@ def cut(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """``row`` (the columns named in ``keep``, by default all), n_bytes, n_removed, n_spans and kept (binary)."""
     spans = removed_spans(docs)
     row = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("doc_id")
-    packed_rows = docs.select(row, F.col("text").cast("string").alias("text"), key)
-    joined = join_measured(packed_rows, spans, ["doc_id"], "left").select("row", "text", "spans")
+    packed_rows = docs.select(row, F.col("text").cast("string").alias("text"), *key_columns())
+    joined = join_measured(packed_rows, spans, KEY, "left").select("row", "text", "spans")
     added = [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
     return joined.mapInArrow(_cut, T.StructType([joined.schema["row"], *added, T.StructField("kept", T.BinaryType())]))
 

@@ -83,3 +83,24 @@ def test_repeated_rows_null_ids_and_empty(spark):
     found = sorted((r["row"]["doc_id"] or -1, r["n_removed"]) for r in sd.cut(frame).collect())
     assert found == [(-1, 0), (-1, 300), (2, 0), (5, 150), (5, 150)]
     assert sd.cut(frame.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_rows_without_an_id_are_told_apart(spark, parts):
+    pick = random.Random(3)
+
+    def prose(size):
+        return "".join(pick.choices("abcdefg ", k=size))
+
+    shared, other = prose(150), prose(160)
+    texts = [prose(400), shared + prose(300), prose(250) + shared, prose(60) + other + prose(40), other, prose(90), "", None]
+    rows = [(2**63 - 1, prose(130) + shared + prose(130)), *((None, t) for t in texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = {r["text"]: (r["no_id"], r["doc_id"]) for r in frame.select(*sd.key_columns(), "text").collect()}
+    assert len(set(keys.values())) == len(rows) - 1  # a null text is an empty one
+    spans = plain_spans([(keys[t], t) for _, t in rows])
+    for row in sd.cut(frame.repartition(parts)).collect():
+        data, gone = spans[keys[row["row"]["text"]]]
+        assert (row["n_removed"], row["n_spans"]) == (sum(e - s for s, e in gone), len(gone))
+        assert row["kept"] == b"".join(data[e:s] for e, s in zip([0, *(e for _, e in gone)], [*(s for s, _ in gone), len(data)]))
+    assert sum(bool(gone) for _, gone in spans.values()) >= 3

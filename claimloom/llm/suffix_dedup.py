@@ -18,10 +18,14 @@ A byte goes if a string of ``LEAST`` bytes that covers it also starts earlier
    neighbours share ``LEAST`` bytes give the longest-previous-factor test: a
    suffix has an earlier match of that length if the smallest position before
    it (or after it) in its run is smaller than its own.
+   Contexts of a gram that has more than ``HOT`` of them (the edges of a passage
+   that many documents share) do not meet in one bucket: the strings of the
+   parts whose core is shared are dealt by their own hash. A task sends on only
+   the first place of each string, the others are covered.
 4. Covered spans are united per document and cut out.
 
 Contexts are compared by two independent hashes of together 112 bits; the
-suffixes of step 3 by their bytes.
+suffixes of step 3 by their bytes, strings of hot grams by a hash of 128 bits.
 
 Defined results
 ---------------
@@ -35,6 +39,7 @@ that is cut in part is left out.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -56,6 +61,8 @@ BEFORE = LEAST - GRAM
 PARTS = 4
 #: Bytes hashed at once, anchors collapsed at once, bytes of text a bucket is meant to answer for.
 PIECE, HELD, BUCKET_BYTES = 1 << 18, 300_000, 12 * 1024 * 1024
+#: A gram with more contexts to look at has its strings dealt one by one.
+HOT = 2_000
 FOUND = "kind string, bucket int, arrays array<binary>"
 FOUND_SCHEMA = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("arrays", pa.list_(pa.binary()))])
 CONTEXT_BITS = np.uint64((1 << 48) - 1)
@@ -250,17 +257,27 @@ def anchor_rows(buckets: int):
 
 
 def shared_core(gram: np.ndarray, cores: np.ndarray) -> np.ndarray:
-    """Which contexts have a core that another context of the same gram has too."""
-    found = np.zeros(len(gram), bool)
-    for core in cores.T:
+    """Which parts of contexts have a core that another context of the same gram has too."""
+    found = np.zeros(cores.shape, bool)
+    for part, core in enumerate(cores.T):
         order = np.lexsort((core, gram))
         same = (gram[order[1:]] == gram[order[:-1]]) & (core[order[1:]] == core[order[:-1]]) & (core[order[1:]] > 0)
-        found[order[1:][same]] = True
-        found[order[:-1][same]] = True
+        found[order[1:][same], part] = True
+        found[order[:-1][same], part] = True
     return found
 
 
-def meet(table: pa.Table) -> pa.Table:
+def shared_parts(shared: np.ndarray, none, doc, place, before, after) -> list[np.ndarray]:
+    """United bytes of those parts of contexts that ``shared`` marks."""
+    row, part = np.nonzero(shared)
+    place = place.astype(np.int64)
+    low = np.maximum(place - before, 0)[row]
+    low = np.maximum(low, place[row] - (part + 1) * BEFORE // PARTS)
+    high = np.minimum((place + after)[row], place[row] - part * BEFORE // PARTS + LEAST)
+    return list(united(none[row], doc[row], low, high))
+
+
+def meet(table: pa.Table, hot: int = HOT) -> pa.Table:
     """Anchors of a bucket: spans of later equal contexts, and the spans of contexts that must be looked at."""
     release_memory()
     rows = table.to_pylist()
@@ -276,9 +293,16 @@ def meet(table: pa.Table) -> pa.Table:
             out.append(("span", bucket, covered(none[later], doc[later], place[later], before[later], after[later])))
         same = gram[once[1:]] == gram[once[:-1]]
         once = once[np.append(same, False) | np.append(False, same)]
-        once = once[shared_core(gram[once], cores.reshape(-1, PARTS)[once])]
-        if len(once):
-            out.append(("ask", bucket, covered(none[once], doc[once], place[once], before[once], after[once])))
+        shared = shared_core(gram[once], cores.reshape(-1, PARTS)[once])
+        once, shared = once[shared.any(1)], shared[shared.any(1)]
+        _, which, counts = np.unique(gram[once], return_inverse=True, return_counts=True)
+        many = counts[which] > hot
+        few = once[~many]
+        if len(few):
+            out.append(("ask", bucket, covered(none[few], doc[few], place[few], before[few], after[few])))
+        if many.any():
+            columns = (c[once[many]] for c in (none, doc, place, before, after))
+            out.append(("hot", bucket, shared_parts(shared[many], *columns)))
     return _rows(out)
 
 
@@ -314,6 +338,68 @@ def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch(columns, names=["bucket", "no_id", "doc_id", "start", "part"])
 
 
+def _string_rows(parts: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    hashes = np.frombuffer(b"".join(p[0] for p in parts), "<u8").reshape(-1, 2)
+    columns = [hashes[:, 0], hashes[:, 1], *(np.concatenate([p[i] for p in parts]) for i in range(1, 4))]
+    order, first = collapse(*columns)
+    once = [c[order[first]] for c in columns]
+    owner = (once[0] % np.uint64(buckets)).astype(np.int64)
+    order_of = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[order_of], np.arange(buckets + 1))
+    rows = [
+        ("string", bucket, [c[order_of[a:b]] for c in once])
+        for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))
+        if b > a
+    ]
+    spans = string_spans(*(c[order[~first]] for c in columns[2:]))
+    if len(spans[0]):
+        rows.append(("span", int(spans[1][0]) % buckets, spans))
+    yield from _rows(rows).to_batches()
+
+
+def string_spans(none, doc, place) -> list[np.ndarray]:
+    return list(united(none, doc, place, place + LEAST))
+
+
+def fetch_strings(buckets: int):
+    """The strings of the bytes asked for: the first place of each that a task has, and spans of its later places."""
+
+    @frees_memory
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            for some in slices(batch, "text"):
+                for none, doc, text, asked in zip(*(some.column(c).to_pylist() for c in ("no_id", "doc_id", "text", "asked"))):
+                    data = (text or "").encode()
+                    for a in asked:
+                        places = range(a["start"], min(a["end"], len(data)) - LEAST + 1)
+                        hashes = [hashlib.blake2b(data[p : p + LEAST], digest_size=16).digest() for p in places]
+                        same = np.full(len(places), none, np.int8), np.full(len(places), doc, np.int64)
+                        parts.append((b"".join(hashes), *same, np.array(places, np.int64)))
+                        held += len(places)
+                    if held >= HELD:
+                        yield from _string_rows(parts, buckets)
+                        parts, held = [], 0
+        if held:
+            yield from _string_rows(parts, buckets)
+
+    return work
+
+
+def meet_strings(table: pa.Table) -> pa.Table:
+    """Spans of all places of a bucket's strings but the first of each."""
+    release_memory()
+    rows = [(r["kind"], [unpacked(a) for a in r["arrays"]]) for r in table.to_pylist()]
+    found = [arrays for kind, arrays in rows if kind == "span"]
+    parts = [arrays for kind, arrays in rows if kind == "string"]
+    if parts:
+        columns = [np.concatenate(c) for c in zip(*parts)]
+        order, first = collapse(*columns)
+        found.append(string_spans(*(c[order[~first]] for c in columns[2:])))
+    columns = united(*(np.concatenate(c) for c in zip(*found)))
+    return pa.table([pa.array(c) for c in columns], names=["no_id", "doc_id", "start", "end"])
+
+
 def suffix_runs(data: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in suffix order (by their first LEAST bytes, then by position), and the run each belongs to.
 
@@ -393,27 +479,36 @@ def key_columns() -> list[Column]:
     return [number.isNull().cast("byte").alias("no_id"), F.coalesce(number, F.xxhash64(text)).alias("doc_id")]
 
 
-def removed_spans(docs: DataFrame) -> DataFrame:
+def removed_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """``KEY`` and spans (array of start, end) to be removed."""
     rows = docs.select(*key_columns(), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(8, size // BUCKET_BYTES))
     met = stored(
-        rows.mapInArrow(anchor_rows(buckets), FOUND).groupBy("bucket").applyInArrow(meet, FOUND), "anchors"
-    )
-    asked = met.where("kind = 'ask'").select("bucket", "arrays")
-    per_doc = stored(
-        asked.mapInArrow(asks_of, "no_id byte, doc_id long, bucket int, start long, end long")
-        .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("bucket", "start", "end")).alias("asked")),
-        "asked",
+        rows.mapInArrow(anchor_rows(buckets), FOUND).groupBy("bucket").applyInArrow(lambda t: meet(t, hot), FOUND),
+        "anchors",
     )
-    contexts = join_measured(rows, per_doc, KEY, "inner").select(*KEY, "text", "asked")
+
+    def asked(kind: str) -> DataFrame:
+        return stored(
+            met.where(F.col("kind") == kind)
+            .select("bucket", "arrays")
+            .mapInArrow(asks_of, "no_id byte, doc_id long, bucket int, start long, end long")
+            .groupBy(*KEY)
+            .agg(F.collect_list(F.struct("bucket", "start", "end")).alias("asked")),
+            "asked",
+        )
+
+    contexts = join_measured(rows, asked("ask"), KEY, "inner").select(*KEY, "text", "asked")
     sorted_spans = (
         contexts.mapInArrow(fetch, "bucket int, no_id byte, doc_id long, start long, part binary")
         .groupBy("bucket")
         .applyInArrow(sort_contexts, SPANS)
     )
+    if not met.where("kind = 'hot'").isEmpty():
+        contexts = join_measured(rows, asked("hot"), KEY, "inner").select(*KEY, "text", "asked")
+        dealt = contexts.mapInArrow(fetch_strings(buckets), FOUND).groupBy("bucket").applyInArrow(meet_strings, SPANS)
+        sorted_spans = sorted_spans.unionByName(dealt)
     spans = met.where("kind = 'span'").select("arrays").mapInArrow(spans_of, SPANS).unionByName(sorted_spans)
     gathered = spans.groupBy(*KEY).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     return stored(gathered.mapInArrow(unite_spans, gathered.schema), "spans")
@@ -456,9 +551,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def cut(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def cut(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT) -> DataFrame:
     """``row`` (the columns named in ``keep``, by default all), n_bytes, n_removed, n_spans and kept (binary)."""
-    spans = removed_spans(docs)
+    spans = removed_spans(docs, hot)
     row = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
     packed_rows = docs.select(row, F.col("text").cast("string").alias("text"), *key_columns())
     joined = join_measured(packed_rows, spans, KEY, "left").select("row", "text", "spans")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,3 +105,38 @@ def test_rows_without_an_id_are_told_apart(spark, parts):
         assert (row["n_removed"], row["n_spans"]) == (sum(e - s for s, e in gone), len(gone))
         assert row["kept"] == b"".join(data[e:s] for e, s in zip([0, *(e for _, e in gone)], [*(s for s, _ in gone), len(data)]))
     assert sum(bool(gone) for _, gone in spans.values()) >= 3
+
+
+@pytest.mark.parametrize("hot", [1, 20])
+def test_strings_of_hot_grams(spark, docs, hot):
+    frame = spark.createDataFrame([(d, t) for d, t in [*docs, docs[3]]], "doc_id long, text string").repartition(4)
+    found = {r["row"]["doc_id"]: r for r in sd.cut(frame, hot=hot).collect()}
+    for doc, (data, spans) in plain_spans(docs).items():
+        assert (found[doc]["n_removed"], found[doc]["n_spans"]) == (sum(e - s for s, e in spans), len(spans)), doc
+        assert found[doc]["kept"] == b"".join(data[e:s] for e, s in zip([0, *(e for _, e in spans)], [*(s for s, _ in spans), len(data)]))
+
+
+def test_edges_of_a_passage_that_many_share_do_not_meet_in_one_bucket():
+    pick = random.Random(8)
+
+    def prose(size):
+        return "".join(pick.choices("abcdefghijk ", k=size))
+
+    passage, n = prose(600), 300
+    texts = [prose(120) + passage + prose(120) for _ in range(n)]
+    batch = pa.record_batch({"no_id": pa.array([0] * n, pa.int8()), "doc_id": range(n), "text": texts})
+    rows = pa.Table.from_batches(sd.anchor_rows(1)(iter([batch])))
+    met = [(r["kind"], [sd.unpacked(a) for a in r["arrays"]]) for r in sd.meet(rows, 50).to_pylist()]
+    asked = [len(arrays[0]) for kind, arrays in met if kind == "ask"]
+    assert sum(asked) <= 50
+    (none, doc, start, end), = [arrays for kind, arrays in met if kind == "hot"]
+    assert len(set(doc.tolist())) == n
+    spans = [[{"start": s, "end": e} for d, s, e in zip(doc.tolist(), start.tolist(), end.tolist()) if d == i] for i in range(n)]
+    given = pa.RecordBatch.from_pylist(
+        [{"no_id": 0, "doc_id": i, "text": texts[i], "asked": spans[i]} for i in range(n)],
+        pa.schema([("no_id", pa.int8()), ("doc_id", pa.int64()), ("text", pa.string()), ("asked", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]),
+    )
+    dealt = pa.Table.from_batches(sd.fetch_strings(4)(iter([given]))).to_pylist()
+    sent = np.concatenate([np.stack([sd.unpacked(a) for a in r["arrays"]][:2], 1) for r in dealt if r["kind"] == "string"])
+    assert len(np.unique(sent, axis=0)) == len(sent)  # one entry for each string of a task
+    assert {r["bucket"] for r in dealt if r["kind"] == "string"} == {0, 1, 2, 3}

@@ -8,7 +8,21 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, exact_dedup, katz, langid, line_dedup, near_dedup, packing, quality, suffix_dedup, warc
+from claimloom.llm import (
+    bpe,
+    collocations,
+    conversation,
+    exact_dedup,
+    katz,
+    langid,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    suffix_dedup,
+    url_filter,
+    warc,
+)
 from claimloom.llm.common import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +123,32 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_boilerplate(table(spark, sf_dir, "documents")).select(
         "row.doc_id", "n_lines", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
     )
+
+
+#: The rules that the registered query judges URLs by.
+URL_RULES = (
+    url_filter.Rule("allow", "com"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+)
+
+
+@query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page's URL, by rules and by the templates of its host."""
+    judged = url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES, keep=["page_id"])
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", "template", "blocked_share")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations: faults, cheapest repair and its audit."""
+    return conversation.audits(conversation.damaged(table(spark, sf_dir, "conversations")), copies="copies")
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of two and three words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))

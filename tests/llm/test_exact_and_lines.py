@@ -17,7 +17,7 @@ from claimloom.llm.registry import QUERIES
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_same_rows_as_the_sql(spark, name, sf):
     folder = f"{TESTDATA}/sf{sf}"
-    con = duck(folder, ["documents", "pages", "benchmark", "labels"])
+    con = duck(folder, ["documents", "pages", "benchmark", "labels", "conversations"])
     assert spark_bag(QUERIES[name](spark, folder)) == duck_bag(con, SQL[name])
 
 

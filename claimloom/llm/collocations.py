@@ -49,7 +49,7 @@ MAX_WORDS, LEAST, TOP = 3, 10, 2000
 COVER = 50
 SCALE = 1_000_000
 #: Words of a block, over all languages a task has open.
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 5_000_000
 #: A tile has 2^TILE_BITS ranks a side; with over 1/DENSE as many pairs as cells it is counted densely.
 TILE_BITS, DENSE = 9, 8
 #: Bits of the table that tells tasks which phrases are frequent, and of one row of it.
@@ -163,13 +163,14 @@ def numbered_words(listed: DataFrame, least: int) -> DataFrame:
 def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks with global numbers instead of their own; 0 for boundaries and rare words."""
     for batch in batches:
-        for row in batch.to_pylist():
-            ids = np.zeros(len(unpacked(row["counts"])) + 1, np.int64)
-            known = row["known"] or []
-            ids[[k["local"] for k in known]] = [k["id"] for k in known]
-            tokens = ids[unpacked(row["tokens"])].astype(np.int32)
-            arrays = [pa.array([row["start"] or 1], pa.int64()), pa.array([packed(tokens)], pa.binary())]
-            yield pa.record_batch(arrays, ["start", "tokens"])
+        known, numbers = batch.column("known"), batch.select(["counts", "tokens", "start"])
+        for at, row in enumerate(numbers.to_pylist()):
+            ids = np.zeros(len(unpacked(row["counts"])) + 1, np.int32)
+            pairs = known[at].values
+            if pairs is not None:
+                ids[pairs.field("local").to_numpy()] = pairs.field("id").to_numpy()
+            tokens = pa.array([packed(ids[unpacked(row["tokens"])])], pa.binary())
+            yield pa.record_batch([pa.array([row["start"] or 1], pa.int64()), tokens], ["start", "tokens"])
 
 
 def numbered_blocks(blocks: DataFrame, listed: DataFrame, words: DataFrame) -> DataFrame:
@@ -288,7 +289,9 @@ def frequent_phrases(numbered: DataFrame, most: int, least: int) -> list[DataFra
     tables: list[Broadcast] = []
     for length in range(2, most + 1):
         counted = numbered.mapInArrow(partial(count_phrases, tables=tuple(tables)), "head long, tail long, n long")
-        sums = counted.groupBy("head", "tail").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        # A task has a phrase about once, so there is nothing to combine before the shuffle.
+        dealt = counted.repartition("head", "tail")
+        sums = dealt.groupBy("head", "tail").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
         found.append(stored(sums, f"phrases-{length}"))
         if length < most:
             tables.append(bit_table(found[-1]))

@@ -38,7 +38,7 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.llm.common import frees_memory, join_measured, slices, stored
+from claimloom.llm.common import Scratch, frees_memory, join_measured, slices, stored
 from claimloom.llm.katz import mixed, packed, unpacked
 from claimloom.operators.dense_key import with_dense_key
 from claimloom.operators.lookup import lookup
@@ -49,7 +49,7 @@ MAX_WORDS, LEAST, TOP = 3, 10, 2000
 COVER = 50
 SCALE = 1_000_000
 #: Words of a block, over all languages a task has open.
-BLOCK_TOKENS = 5_000_000
+BLOCK_TOKENS = 3_000_000
 #: A tile has 2^TILE_BITS ranks a side; with over 1/DENSE as many pairs as cells it is counted densely.
 TILE_BITS, DENSE = 9, 8
 #: Bits of the table that tells tasks which phrases are frequent, and of one row of it.
@@ -123,7 +123,7 @@ def make_blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK_TOKENS) ->
 
 def blocks_of(docs: DataFrame) -> DataFrame:
     lang = F.coalesce("lang", F.lit(UNKNOWN_LANG)).alias("lang")
-    return stored(docs.select(F.col("text"), lang).mapInArrow(make_blocks, BLOCKS), "blocks")
+    return docs.select(F.col("text"), lang).mapInArrow(make_blocks, BLOCKS)
 
 
 # --- words and their numbers -------------------------------------------------
@@ -179,7 +179,7 @@ def numbered_blocks(blocks: DataFrame, listed: DataFrame, words: DataFrame) -> D
         F.collect_list(F.struct("local", "id")).alias("known"), F.first("start").alias("start")
     )
     joined = blocks.select("block", "counts", "tokens").join(known, "block", "left")
-    return stored(joined.mapInArrow(renumber, "start long, tokens binary"), "numbered")
+    return joined.mapInArrow(renumber, "start long, tokens binary")
 
 
 # --- counting by tiles -------------------------------------------------------
@@ -376,15 +376,18 @@ def collocations(
     """
     if not 2 <= max_words <= 4:
         raise ValueError("phrases have 2 to 4 words")
-    blocks = blocks_of(docs)
+    scratch = Scratch(docs.sparkSession, "collocations")
+    blocks = scratch.store(blocks_of(docs), "blocks")
     totals = stored(blocks.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
     listed = blocks.select("block", "lang", "words", "counts").mapInArrow(
         list_words, "block long, lang string, local int, word string, n long"
     )
     words = numbered_words(listed, least)
-    numbered = numbered_blocks(blocks, listed, words)
+    numbered = scratch.store(numbered_blocks(blocks, listed, words), "numbered")
+    scratch.clear("blocks")
 
     levels = [with_ids(p, k + 2) for k, p in enumerate(frequent_phrases(numbered, max_words, least))]
+    scratch.clear("numbered")
     singles = words.select(F.array("id").alias("ids"), "n")
     counts = stored(reduce(DataFrame.unionByName, [singles, *levels]), "counts")
     candidates = counts.where(F.size("ids") > 1)

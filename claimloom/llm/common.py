@@ -48,6 +48,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored frames with an owner, who clears those that no later step reads."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self, *names: str) -> None:
+        """Delete stored frames. What was made of them and is still read must be stored itself."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def as_row(df: DataFrame) -> DataFrame:
     """All columns packed as ``row``, so that an operator's own names cannot clash with them."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -95,6 +95,7 @@ def apply_rules(
     broadcast_bytes: int = BROADCAST_BYTES,
     earlier: DataFrame | None = None,
     store: Callable[[str, DataFrame], DataFrame] | None = None,
+    row_id: Column | None = None,
 ) -> RuleOutcome:
     """Check every rule on all rows of ``df``, whatever other rules say.
 
@@ -103,15 +104,19 @@ def apply_rules(
     clean and quarantined rows. ``earlier`` rows count as occurrences for
     ``unique`` and are not checked again.
 
-    ``unique`` tells rows that tie apart by where they lie, so its rows must
-    lie still. With ``store``, which writes intermediate frames, ``df`` is
-    taken to be read from files; without it, it is written first.
+    ``unique`` tells rows that tie apart by ``row_id``, which must be the same
+    whenever the rows are read, by how many tasks ever: a stored number, or
+    ``sources.tables.row_in_file`` of a frame that is read from Parquet files.
+    Without it the rows are written first, with a number each. ``store`` writes
+    intermediate frames.
     """
     rows = df
     if any(r.type == "unique" for r in rules):
-        rows = df.withColumn(ROW, F.monotonically_increasing_id())
-        if store is None:
-            rows = Staging(df.sparkSession, f"rows-{uuid4().hex}").store(dataset, rows)
+        if row_id is not None:
+            rows = df.withColumn(ROW, row_id)
+        else:
+            write = store or Staging(df.sparkSession, f"rows-{uuid4().hex}").store
+            rows = write(f"{dataset}-rows", df.withColumn(ROW, F.monotonically_increasing_id()))
     inputs = RuleInputs(
         rows, references or {}, tuple(order_by), rows_per_task, broadcast_bytes, earlier, store
     )

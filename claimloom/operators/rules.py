@@ -60,6 +60,7 @@ class RuleInputs:
     tie, the row id decides. ``earlier`` holds keys that came before all of
     these rows, for a load in batches. ``store`` writes a small intermediate
     frame, so that it can be measured; without it large rows are shuffled.
+    Rows have a ``ROW`` column that stays the same however they are read.
     """
 
     rows: DataFrame
@@ -132,11 +133,16 @@ def _unique(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     if not inputs.order_by:
         raise ValueError("unique needs order_by columns to tell which row came first")
     first = F.min(F.struct(*inputs.order_by, ROW))[ROW]
-    sizes = inputs.rows.groupBy(name).agg(first.alias(slot), F.count(F.lit(1)).alias("n"))
+    sizes = inputs.rows.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     spread_by = [*inputs.order_by, ROW]
-    repeated = sizes.where("n > 1")
     if inputs.store:
-        repeated = inputs.store(f"repeated_{slot}", repeated)
+        # Counting needs no sort. Which row came first is only asked for keys that come twice.
+        repeated = inputs.store(f"repeated_{slot}", sizes.where("n > 1"))
+        copies = _looked_up(inputs.rows.select(name, *inputs.order_by, ROW), repeated, name, spread_by, inputs, "inner")
+        firsts = copies.groupBy(name).agg(first.alias(slot), F.count(F.lit(1)).alias("n"))
+        repeated = inputs.store(f"first_{slot}", firsts)
+    else:
+        repeated = inputs.rows.groupBy(name).agg(first.alias(slot), F.count(F.lit(1)).alias("n")).where("n > 1")
     found = _looked_up(df, repeated, name, spread_by, inputs)
     later_copy = _decided(F.col(ROW) != F.col(slot), when_null=False)
     if inputs.earlier is None:
@@ -157,12 +163,14 @@ def _unique(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     return found, later_copy | F.col(f"{slot}_again").isNotNull()
 
 
-def _looked_up(df: DataFrame, keys: DataFrame, name: str, spread_by: list[str], inputs: RuleInputs) -> DataFrame:
+def _looked_up(
+    df: DataFrame, keys: DataFrame, name: str, spread_by: list[str], inputs: RuleInputs, how: str = "left"
+) -> DataFrame:
     """``df`` with the other columns of ``keys``, which also has the rows ``n`` of each key."""
     table = keys.drop("n")
     if inputs.store and measured_bytes(table) <= inputs.broadcast_bytes:
-        return broadcast_lookup(df, table, name)
-    return salted_lookup(df, table, name, parts_of_hot(keys, name, inputs.rows_per_task), spread_by)
+        return broadcast_lookup(df, table, name, how)
+    return salted_lookup(df, table, name, parts_of_hot(keys, name, inputs.rows_per_task), spread_by, how)
 
 
 def _readable(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):

@@ -303,18 +303,18 @@ line_cells AS (
   FROM raw_claims
 ),
 line_flags AS (
-  SELECT claim_id,
-         turn <> 1 AND coalesce(billed_amount_eur < 0, false) AS f0,
-         coalesce(status_text NOT IN ('APPROVED', 'REJECTED', 'PENDING', 'UNDER_REVIEW'), true) AS f1,
-         coalesce(try_cast(day_text AS TIMESTAMP) > try_cast(submitted_date AS TIMESTAMP), false) AS f2,
-         NOT EXISTS (SELECT 1 FROM ok_members m WHERE m.member_id = c.member_id) AS f3,
-         NOT EXISTS (SELECT 1 FROM ok_providers p WHERE p.provider_id = c.provider_id) AS f4,
-         turn IN (4, 5) AS f5, turn = 3 AS f6, false AS f7, turn = 1 AS f8, turn = 2 AS f9
+  SELECT claim_id, row_number() OVER (PARTITION BY claim_id ORDER BY _ord) > 1 AS f0,
+         turn <> 1 AND coalesce(billed_amount_eur < 0, false) AS f1,
+         coalesce(status_text NOT IN ('APPROVED', 'REJECTED', 'PENDING', 'UNDER_REVIEW'), true) AS f2,
+         coalesce(try_cast(day_text AS TIMESTAMP) > try_cast(submitted_date AS TIMESTAMP), false) AS f3,
+         NOT EXISTS (SELECT 1 FROM ok_members m WHERE m.member_id = c.member_id) AS f4,
+         NOT EXISTS (SELECT 1 FROM ok_providers p WHERE p.provider_id = c.provider_id) AS f5,
+         turn IN (4, 5) AS f6, turn = 3 AS f7, false AS f8, turn = 1 AS f9, turn = 2 AS f10
   FROM line_cells c
 )"""
 LINES = [MEMBERS, PROVIDERS, CLAIMS, MEMBER_FLAGS, PROVIDER_FLAGS, LINE_FLAGS]
 LINE_RULES = [
-    *CHECKED["claims"][2][1:],
+    *CHECKED["claims"][2],
     ("whole_line", "_corrupt_line", "A line has as many cells as the header"),
     *(
         ("readable", c, f"{c} can be read")
@@ -375,7 +375,8 @@ SQL = {
     ),
     "csv_lines": _with(
         LINES,
-        "SELECT count(*) AS lines, count(*) FILTER (why = '') AS clean, count(*) FILTER (why <> '') AS quarantined "
+        "SELECT count(*) AS lines, count(*) FILTER (why = '') AS clean, count(*) FILTER (why <> '') AS quarantined, "
+        "'once' AS loaded_at, 1::BIGINT AS loads, 0::BIGINT AS without_source "
         f"FROM (SELECT {_texts(LINE_RULES)} AS why FROM line_flags)",
     ),
     "dq_report": _with(RULES, REPORT),

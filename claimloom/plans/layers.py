@@ -13,6 +13,7 @@ from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimloom.operators.dense_key import Store
 from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK
@@ -23,7 +24,7 @@ from claimloom.sources import driver_tables
 from claimloom.session import shared_folder
 from claimloom.sources.config import Config, load_config, reading_rules, references_of
 from claimloom.sources.extracts import ROW_ORDER, read_extract, write_lines
-from claimloom.sources.tables import Staging
+from claimloom.sources.tables import Staging, row_in_file
 
 CONFIG = Path(__file__).parents[2] / "config" / "claims.json"
 
@@ -76,7 +77,9 @@ class Layers:
         order = [driver_tables.ORDER]
         place = f"{name}-{'all' if rule is None else rule}"
         store = lambda part, df: self._store(f"{place}-{part}", lambda: df)
-        return apply_rules(self.bronze(name), name, rules, keys, order, store=store, **self._limits)
+        return apply_rules(
+            self.bronze(name), name, rules, keys, order, store=store, row_id=row_in_file(), **self._limits
+        )
 
     def stored_outcome(self, name: str) -> RuleOutcome:
         if f"checked/{name}" not in self._stored:
@@ -139,17 +142,20 @@ class Layers:
         """The claims written as CSV lines and read back, with what cannot be read quarantined."""
         if "lines" not in self._stored:
             path = f"{shared_folder(self.spark)}/claimloom/lines-{uuid4().hex}"
-            lines = driver_tables.claim_lines(self.bronze("claims"))
+            lines = driver_tables.claim_lines(self.bronze("claims").orderBy(driver_tables.ORDER))
             write_lines(lines, path, driver_tables.CLAIM_COLUMNS)
             read = read_extract(self.spark, path, "once", driver_tables.CLAIM_COLUMNS)
             self._store("lines", lambda: read)
         ds = self.config.datasets["claims"]
-        rules = (*(r for r in ds.rules if r.type != "unique"), *reading_rules(ds.kinds))
+        rules = (*ds.rules, *reading_rules(ds.kinds))
         keys = {
             other: self.stored_outcome(other).clean.select(self.config.datasets[other].key)
             for other in sorted(references_of(rules))
         }
-        outcome = apply_rules(self._stored["lines"], "claims", rules, keys, ROW_ORDER, **self._limits)
+        store = lambda part, df: self._store(f"lines-{part}", lambda: df)
+        outcome = apply_rules(
+            self._stored["lines"], "claims", rules, keys, ROW_ORDER, store=store, row_id=F.col(ROW_ORDER[-1]), **self._limits
+        )
         return outcome.on(self._store("checked-lines", lambda: outcome.checked))
 
 

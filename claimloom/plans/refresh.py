@@ -12,6 +12,7 @@ from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimloom.operators.quality import RuleOutcome, apply_rules, union_reports
 from claimloom.plans import analytics, gold
@@ -82,7 +83,8 @@ def _check_and_write(
             for other in ds.references
         }
         store = lambda part, df: staging.store(f"{name}-{part}", df)
-        outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER, store=store)
+        row_id = F.col(ROW_ORDER[-1])  # written into bronze, one number a row
+        outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER, store=store, row_id=row_id)
         return outcome.on(staging.store(name, outcome.checked.drop(*ROW_ORDER)))
 
     for names in config.stages:

@@ -62,12 +62,16 @@ def _claim_reasons(quarantined: DataFrame) -> DataFrame:
 
 
 def _line_counts(outcome: RuleOutcome) -> DataFrame:
-    """Lines read, and how many of them are clean and quarantined."""
+    """Lines read, how many of them are clean and quarantined, and what their load metadata says."""
     clean = F.col(REASONS) == ""
+    named = F.col("_source_file").endswith(".csv")
     return outcome.checked.agg(
         F.count(F.lit(1)).alias("lines"),
         F.count_if(clean).alias("clean"),
         F.count_if(~clean).alias("quarantined"),
+        F.max("_loaded_at").alias("loaded_at"),
+        F.countDistinct("_loaded_at").alias("loads"),
+        F.count_if(~F.coalesce(named, F.lit(False))).alias("without_source"),
     )
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from claimloom.session import shared_folder
@@ -44,6 +45,11 @@ def remove_others(spark: SparkSession, folder: str, kept: str) -> None:
             system.delete(status.getPath(), True)
 
 
+def row_in_file() -> Column:
+    """File and row of each row of a frame read from Parquet files, however they are split into tasks."""
+    return F.struct("_metadata.file_path", "_metadata.row_index")
+
+
 class Staging:
     """Frames written below the shared folder, each under a name of its own.
 

@@ -56,8 +56,9 @@ class IncrementalLoad:
         earlier = self._seen_keys(spark, batch, batch_id) if self._unique_column else None
         store = lambda name, df: self._replace(df, f"work-{name}", batch_id)
         outcome = apply_rules(
-            batch, ds.name, ds.rules, self.references(), ROW_ORDER, earlier=earlier, store=store
-        )
+            batch, ds.name, ds.rules, self.references(), ROW_ORDER,
+            earlier=earlier, store=store, row_id=F.col(ROW_ORDER[-1]),
+        )
         outcome = outcome.on(self._replace(outcome.checked, "checked", batch_id))
         self._replace(outcome.quarantined, "quarantine", batch_id)
         self._replace(conform(ds.name, outcome.clean, ds.kinds), "silver", batch_id)

@@ -1,0 +1,109 @@
+"""``unique`` keeps exactly one row per key, also if the rows are split differently from job to job."""
+
+import pytest
+from pyspark.sql import functions as F
+from test_refresh import STAMP, config_for, write_csv
+
+from claimloom.operators.quality import apply_rules
+from claimloom.operators.rules import rule_from_dict
+from claimloom.plans.refresh import build_silver, load_bronze
+from claimloom.sources.config import Dataset
+from claimloom.sources.extracts import stream_extract
+from claimloom.sources.tables import Staging, row_in_file
+from claimloom.streaming.incremental import IncrementalLoad
+
+UNIQUE = (rule_from_dict({"type": "unique", "column": "k"}),)
+KEYS = 20_000
+
+
+class Resplit:
+    """Changes how files are split into tasks whenever it is called."""
+
+    def __init__(self, spark):
+        self.spark, self.turn = spark, 0
+
+    def __call__(self):
+        self.turn += 1
+        self.spark.conf.set("spark.sql.files.maxPartitionBytes", str([30_000, 400_000, 7_000][self.turn % 3]))
+        self.spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            self.spark.conf.unset(f"spark.sql.files.{name}")
+
+
+@pytest.fixture
+def resplit(spark):
+    with Resplit(spark) as resplit:
+        yield resplit
+
+
+@pytest.mark.parametrize("order", ["tied", "place"])
+@pytest.mark.parametrize("identity", ["in file", "written first", "no store"])
+def test_one_row_per_key(spark, tmp_path, resplit, order, identity):
+    rows = spark.range(2 * KEYS).select((F.col("id") % KEYS).alias("k"), F.lit(1).alias("tied"), F.col("id").alias("place"))
+    rows.repartition(3).write.parquet(str(tmp_path / "rows"))
+    staging = Staging(spark, f"identity-{tmp_path.name}")
+
+    def store(name, df):
+        stored = staging.store(name, df)
+        resplit()
+        return stored
+
+    outcome = apply_rules(
+        spark.read.parquet(str(tmp_path / "rows")), "rows", UNIQUE, order_by=[order],
+        store=None if identity == "no store" else store, row_id=row_in_file() if identity == "in file" else None,
+    )
+    resplit()
+    assert outcome.clean.select("k").distinct().count() == KEYS
+    resplit()
+    assert outcome.clean.count() == KEYS == outcome.quarantined.count()
+    if order == "place":
+        assert outcome.checked.where("_dq_failures = '' AND place >= 20000").isEmpty()
+
+
+def test_no_full_row_is_shuffled_for_few_copies(spark, tmp_path):
+    spark.range(100).selectExpr("id % 99 AS k", "id AS place", "'x' AS wide").write.parquet(str(tmp_path / "rows"))
+    staging = Staging(spark, f"shapes-{tmp_path.name}")
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    outcome = apply_rules(df, "rows", UNIQUE, order_by=["place"], store=staging.store, row_id=row_in_file())
+    plan = outcome.checked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_a_full_run(spark, tmp_path, resplit, monkeypatch):
+    things = {"file": "things.csv", "key": "k", "rules": [{"type": "unique", "column": "k"}]}
+    config = config_for(tmp_path, "resplit_", datasets={"things": things})
+    write_csv(tmp_path / "raw_zone/things.csv", ["k", "wide"], [(i % KEYS, f"row {i}") for i in range(2 * KEYS)])
+    store = Staging.store
+
+    def and_resplit(self, name, df):
+        stored = store(self, name, df)
+        resplit()
+        return stored
+
+    monkeypatch.setattr(Staging, "store", and_resplit)
+    report = build_silver(spark, config, load_bronze(spark, config, STAMP))
+    kept = spark.table(f"{config.database('silver')}.things")
+    assert kept.count() == kept.select("k").distinct().count() == KEYS
+    assert kept.agg(F.max(F.substring_index("wide", " ", -1).cast("int"))).first()[0] == KEYS - 1
+    assert report.first()["rows_failed"] == KEYS
+
+
+def test_a_batch(spark, tmp_path, resplit, monkeypatch):
+    load = IncrementalLoad(Dataset("things", "things.csv", "k", UNIQUE), str(tmp_path / "out"))
+    replace = IncrementalLoad._replace
+
+    def and_resplit(self, df, layer, batch_id):
+        stored = replace(self, df, layer, batch_id)
+        resplit()
+        return stored
+
+    monkeypatch.setattr(IncrementalLoad, "_replace", and_resplit)
+    for batch in range(2):
+        write_csv(tmp_path / f"raw/part{batch}.csv", ["k"], [(i % KEYS + batch,) for i in range(2 * KEYS)])
+        load.start(stream_extract(spark, str(tmp_path / "raw"), ["k"])).awaitTermination()
+    assert load.rows(spark, "silver").count() == load.rows(spark, "silver").select("k").distinct().count() == KEYS + 1

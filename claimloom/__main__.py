@@ -14,9 +14,10 @@ def main() -> None:
     parser = argparse.ArgumentParser(prog="claimloom")
     parser.add_argument("--config", default="config/claims.json")
     parser.add_argument("--as-of", type=dt.date.fromisoformat, help="day ages are taken on")
+    parser.add_argument("--resume", action="store_true", help="take tables that are finished as they are")
     args = parser.parse_args()
     spark = build_session("claimloom")
-    run_pipeline(spark, load_config(args.config), as_of=args.as_of).show()
+    run_pipeline(spark, load_config(args.config), as_of=args.as_of, resume=args.resume).show()
     spark.stop()
 
 

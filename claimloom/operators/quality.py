@@ -54,10 +54,16 @@ class RuleOutcome:
     @property
     def report(self) -> DataFrame:
         """One row per rule, from a single aggregate over all flags."""
-        counts = self.checked.agg(
-            F.count(F.lit(1)).alias("rows_checked"),
-            *[F.count_if(_flag(i)).alias(_flag(i)) for i in range(len(self.rules))],
-        )
+        return self.report_of(self.checked.agg(*self.counts))
+
+    @property
+    def counts(self) -> list[Column]:
+        """The aggregates the report is made of."""
+        failed = [F.count_if(_flag(i)).alias(_flag(i)) for i in range(len(self.rules))]
+        return [F.count(F.lit(1)).alias("rows_checked"), *failed]
+
+    def report_of(self, counts: DataFrame) -> DataFrame:
+        """The report from one row of ``counts``."""
         lines = [
             F.struct(
                 F.lit(rule.type).alias("rule_type"),

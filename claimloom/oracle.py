@@ -390,7 +390,40 @@ SQL = {
     "conform_claims": _with(STAR, f"SELECT {CLAIM_COLUMNS} FROM silver_claims"),
     "dim_member": _with(STAR, "SELECT * FROM g_member"),
     "dim_provider": _with(STAR, "SELECT * FROM g_provider"),
-    "dim_date": DAYS.format(source="SELECT unnest(range(DATE '2024-01-01', DATE '2027-01-01', INTERVAL 1 DAY))::DATE AS d"),
+    "dim_date": _with(
+        STAR,
+        "SELECT days.*, coalesce(facts, 0) AS facts FROM ("
+        + DAYS.format(source="SELECT unnest(range(DATE '2024-01-01', DATE '2027-01-01', INTERVAL 1 DAY))::DATE AS d")
+        + ") days LEFT JOIN (SELECT service_date_key AS date_key, count(*) AS facts FROM g_fact GROUP BY 1) USING (date_key)",
+    ),
+    "catalog_listing": _with(
+        [*STAR],
+        " UNION ALL ".join(
+            f"SELECT '{layer}' AS layer, '{name}' AS table_name, (SELECT count(*) FROM {prefix}_{name}) AS rows, "
+            "1::BIGINT AS versions, true AS has_files"
+            for layer, prefix in (("bronze", "raw"), ("silver", "silver"))
+            for name in ("members", "claims")
+        )
+        + " UNION ALL SELECT 'bronze', 'providers', (SELECT count(*) FROM raw_providers), 1, true"
+        + " UNION ALL SELECT 'silver', 'providers', (SELECT count(*) FROM ok_providers), 1, true"
+        + f" UNION ALL SELECT 'audit', 'dq_report', {sum(len(rules) for _, _, rules in CHECKED.values())}, 1, true",
+    ),
+    "build_ledger": _with(
+        [*STAR, MONTHLY, COSTS, USE],
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, ({rows}) AS rows, {versions}::BIGINT AS versions, "
+            f"'{source}' AS source_table, (SELECT count(*) FROM {source}) AS source_rows"
+            for name, rows, versions, source in (
+                ("dim_member", "SELECT count(*) FROM g_member", 2, "customer"),
+                ("dim_provider", "SELECT count(*) FROM g_provider", 1, "supplier"),
+                ("dim_date", "SELECT 1096::BIGINT", 1, "lineitem"),
+                ("fact_claims", "SELECT count(*) FROM g_fact", 2, "lineitem"),
+                ("mart_monthly_kpis", "SELECT count(*) FROM g_monthly", 2, "lineitem"),
+                ("mart_specialty_costs", "SELECT count(*) FROM g_costs", 2, "lineitem"),
+                ("mart_member_utilisation", "SELECT count(*) FROM g_use", 2, "lineitem"),
+            )
+        ),
+    ),
     "dim_date_of_claims": _with(STAR, DAYS.format(source=CLAIM_DAYS)),
     "facts_outside_calendar": _with(
         STAR,

@@ -98,6 +98,12 @@ def dim_date(
     return _calendar(bounds)
 
 
+def days_with_facts(dates: DataFrame, fact: DataFrame) -> DataFrame:
+    """Each day of the calendar with the number of claims served on it."""
+    per_day = fact.groupBy(F.col("service_date_key").alias("date_key")).agg(F.count(F.lit(1)).alias("facts"))
+    return dates.join(per_day, "date_key", "left").withColumn("facts", F.coalesce("facts", F.lit(0)))
+
+
 def dim_date_of(claims: DataFrame) -> DataFrame:
     """Calendar of all years in which the claims have services."""
     service = F.col("service_date").cast("date")

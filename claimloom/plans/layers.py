@@ -24,7 +24,7 @@ from claimloom.sources import driver_tables
 from claimloom.session import shared_folder
 from claimloom.sources.config import Config, load_config, reading_rules, references_of
 from claimloom.sources.extracts import ROW_ORDER, read_extract, write_lines
-from claimloom.sources.tables import Staging, row_in_file
+from claimloom.sources.tables import Staging, fingerprint, row_in_file
 
 CONFIG = Path(__file__).parents[2] / "config" / "claims.json"
 
@@ -43,7 +43,7 @@ class Layers:
         rows_per_task: int = ROWS_PER_TASK,
         broadcast_bytes: int = BROADCAST_BYTES,
     ):
-        self.spark = spark
+        self.spark, self.folder = spark, folder
         self._limits = {"rows_per_task": rows_per_task, "broadcast_bytes": broadcast_bytes}
         self.config = config
         self._extracts = driver_tables.extracts(spark, folder)
@@ -159,17 +159,6 @@ class Layers:
         return outcome.on(self._store("checked-lines", lambda: outcome.checked))
 
 
-def fingerprint(spark: SparkSession, folder: str) -> tuple:
-    """Paths, sizes and times of all files of a folder."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
-    found = []
-    while files.hasNext():
-        file = files.next()
-        found.append((file.getPath().toString(), file.getLen(), file.getModificationTime()))
-    return tuple(sorted(found))
-
-
 @lru_cache(maxsize=8)
 def _layers(spark: SparkSession, application: str, folder: str, content: tuple) -> Layers:
     return Layers(spark, folder, load_config(CONFIG))

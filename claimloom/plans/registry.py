@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+import datetime as dt
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import replace
+from functools import partial, reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +20,15 @@ from claimloom.operators.quality import (
     union_reports,
 )
 from claimloom.plans import analytics, checks, gold
-from claimloom.plans.layers import Layers, layers
+from claimloom.plans.layers import AS_OF, Layers, layers
+from claimloom.plans.refresh import Build, build_gold
 from claimloom.session import shared_folder
+from claimloom.sources.config import Config
 from claimloom.sources.driver_tables import ORDER
-from claimloom.sources.tables import replace_csv, replace_table
+from claimloom.sources.tables import ensure_database, listing, replace_csv, replace_table
+
+#: Databases of a warehouse.
+LAYERS = ("bronze", "silver", "audit", "gold")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,12 +83,78 @@ def _line_counts(outcome: RuleOutcome) -> DataFrame:
     )
 
 
+@contextmanager
+def _own_catalog(built: Layers) -> Iterator[Config]:
+    """The config with a warehouse and databases of its own; the databases go afterwards, the files stay to be read."""
+    folder = f"{shared_folder(built.spark)}/claimloom/warehouse-{uuid4().hex}"
+    config = replace(built.config, warehouse=folder, database_prefix=f"own_{uuid4().hex}_")
+    databases = [config.database(layer) for layer in LAYERS]
+    for database in databases:
+        ensure_database(built.spark, database)
+    try:
+        yield config
+    finally:
+        for database in databases:
+            built.spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
 def _table_round_trip(built: Layers) -> DataFrame:
-    """Silver members as a catalog table: written, replaced by a second run, read by name."""
-    name, home = f"members_{uuid4().hex}", f"{shared_folder(built.spark)}/claimloom/tables"
-    for _ in range(2):
-        replace_table(built.silver("members"), "default", name, home)
-    return built.spark.table(f"default.{name}")
+    """Silver members as a catalog table in a database of its own: written, replaced, read by name."""
+    with _own_catalog(built) as config:
+        for _ in range(2):
+            written = replace_table(built.silver("members"), config.database("silver"), "members", config.warehouse)
+        return written
+
+
+def _listed(built: Layers, config: Config) -> DataFrame:
+    """Tables of a catalog by layer, with the rows of their newest version and the versions that are kept."""
+    found = listing(built.spark, config.warehouse, [config.database(layer) for layer in LAYERS])
+    return found.select(
+        F.substring_index("database", "_", -1).alias("layer"),
+        F.col("table").alias("table_name"),
+        "rows",
+        "versions",
+        ((F.col("bytes") > 0) & (F.col("files") > 0)).alias("has_files"),
+    )
+
+
+def _catalog_listing(built: Layers) -> DataFrame:
+    """Bronze, silver and audit tables as the catalog knows them; a resumed second pass writes nothing."""
+    with _own_catalog(built) as config:
+        build = Build(built.spark, config, resume=True)
+        tables = {f"bronze.{n}": partial(built.bronze, n) for n in config.order}
+        tables |= {f"silver.{n}": partial(built.silver, n) for n in config.order}
+        tables["audit.dq_report"] = partial(_stored_report, built)
+        for _ in range(2):
+            for name, make in tables.items():
+                build.made_of(name, name)
+                build.keep(*name.split("."), make)
+        return _listed(built, config)
+
+
+def _build_ledger(built: Layers) -> DataFrame:
+    """Gold tables built, then resumed with another day for ages: only what depends on it has a second version.
+
+    Joined to the rows of the given table each is made of.
+    """
+    with _own_catalog(built) as config:
+        for day in (AS_OF - dt.timedelta(days=366), AS_OF):
+            build = Build(built.spark, config, resume=True)
+            for name in config.order:
+                build.made_of(f"silver.{name}", name)
+                build.keep("silver", name, partial(built.silver, name))
+            build_gold(built.spark, config, day, build)
+        listed = _listed(built, config).where("layer = 'gold'").drop("has_files", "layer")
+    given = {"dim_member": "customer", "dim_provider": "supplier"}
+    sources = reduce(
+        DataFrame.unionByName,
+        [
+            built.spark.read.parquet(f"{built.folder}/{t}.parquet").agg(F.count(F.lit(1)).alias("source_rows"), F.lit(t).alias("source_table"))
+            for t in ("customer", "supplier", "lineitem")
+        ],
+    )
+    named = [F.when(F.col("table_name") == k, v) for k, v in given.items()]
+    return listed.withColumn("source_table", F.coalesce(*named, F.lit("lineitem"))).join(F.broadcast(sources), "source_table")
 
 
 def _csv_round_trip(built: Layers, df: DataFrame) -> DataFrame:
@@ -123,6 +197,8 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "csv_lines": lambda b: _line_counts(b.line_outcome()),
     "dq_report": _report,
     "table_round_trip": _table_round_trip,
+    "catalog_listing": _catalog_listing,
+    "build_ledger": _build_ledger,
     "quarantine_round_trip": _quarantine_round_trip,
     "report_round_trip": _report_round_trip,
     "dq_total_failures": lambda b: total_failures(_stored_report(b)),
@@ -130,7 +206,7 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "conform_claims": lambda b: b.silver("claims"),
     "dim_member": Layers.dim_member,
     "dim_provider": Layers.dim_provider,
-    "dim_date": Layers.dim_date,
+    "dim_date": lambda b: gold.days_with_facts(b.dim_date(), b.stored_fact()),
     "dim_date_of_claims": lambda b: gold.dim_date_of(b.silver("claims")),
     "facts_outside_calendar": lambda b: gold.outside_calendar(b.stored_fact(), b.dim_date()),
     "fact_claims": Layers.fact,

@@ -288,7 +288,7 @@ def test_relative_paths_mean_the_working_folder(spark, tmp_path, monkeypatch):
     assert list((tmp_path / "data/warehouse/default/rel_things").rglob("*.parquet"))
     replace_table(spark.range(2), "default", "rel_things", config.warehouse)
     assert spark.table("default.rel_things").count() == 2
-    assert len(list((tmp_path / "data/warehouse/default/rel_things").iterdir())) == 1
+    assert len(list((tmp_path / "data/warehouse/default/rel_things").glob("run-*"))) == 2
 
 
 def test_two_runs_have_staging_of_their_own(spark, tmp_path):

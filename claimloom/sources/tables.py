@@ -212,19 +212,19 @@ class Staging:
     def __init__(self, spark: SparkSession, place: str):
         self.spark = spark
         self._folder = f"{shared_folder(spark)}/claimloom/{place}"
-        self._schemas: dict[str, StructType] = {}
+        self._names: list[str] = []
 
     def store(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self._folder}/{name}"
         df.write.mode("overwrite").parquet(path)
-        self._schemas[name] = df.schema
+        self._names.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
-        """Empty what was stored, once nothing reads it any more."""
-        for name, schema in self._schemas.items():
-            nothing = self.spark.createDataFrame([], schema)
-            nothing.write.mode("overwrite").parquet(f"{self._folder}/{name}")
+        """Delete what was stored, once nothing reads it any more."""
+        folder = Folder(self.spark, self._folder)
+        for name in self._names:
+            folder.delete(name)
 
 
 def replace_csv(df: DataFrame, path: str) -> None:

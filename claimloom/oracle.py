@@ -322,6 +322,11 @@ LINE_RULES = [
     ),
 ]
 
+LINE_REASONS = (
+    f"SELECT claim_id, _dq_failures, count(*) AS lines FROM (SELECT claim_id, {_texts(LINE_RULES)} "
+    "AS _dq_failures FROM line_flags) WHERE _dq_failures <> '' GROUP BY ALL"
+)
+
 DAYS = """
 SELECT (year(d) * 10000 + month(d) * 100 + day(d))::INT AS date_key, d AS full_date,
        year(d)::BIGINT AS year, ((month(d) - 1) // 3 + 1)::BIGINT AS quarter,
@@ -368,11 +373,8 @@ SQL = {
         + ") GROUP BY dataset, reason",
     ),
     "csv_report": _with(LINES, _report_of("claims", "line_flags", LINE_RULES)),
-    "csv_quarantine": _with(
-        LINES,
-        f"SELECT claim_id, _dq_failures, count(*) AS lines FROM (SELECT claim_id, {_texts(LINE_RULES)} "
-        "AS _dq_failures FROM line_flags) WHERE _dq_failures <> '' GROUP BY ALL",
-    ),
+    "csv_quarantine": _with(LINES, LINE_REASONS),
+    "incremental_quarantine": _with(LINES, LINE_REASONS),
     "csv_lines": _with(
         LINES,
         "SELECT count(*) AS lines, count(*) FILTER (why = '') AS clean, count(*) FILTER (why <> '') AS quarantined, "

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 from functools import lru_cache
 from pathlib import Path
 from uuid import uuid4
@@ -23,14 +24,18 @@ from claimloom.plans.conform import conform
 from claimloom.sources import driver_tables
 from claimloom.session import shared_folder
 from claimloom.sources.config import Config, load_config, reading_rules, references_of
-from claimloom.sources.extracts import ROW_ORDER, read_extract, write_lines
+from claimloom.sources.extracts import ROW_ORDER, read_extract, read_lines, write_lines
 from claimloom.sources.tables import Staging, fingerprint, row_in_file
+from claimloom.streaming.incremental import IncrementalLoad
 
 CONFIG = Path(__file__).parents[2] / "config" / "claims.json"
 
 #: Day on which ages are taken, so that results do not change overnight.
 AS_OF = dt.date(2026, 7, 1)
 
+#: Batches that the registered incremental load takes the claims in.
+BATCHES = 3
+
 
 class Layers:
     """Lazy frames by name. ``stored`` ones are written on first use."""
@@ -138,6 +143,30 @@ class Layers:
     def stored_member_utilisation(self) -> DataFrame:
         return self._store("mart_member_utilisation", self.member_utilisation)
 
+    def incremental_quarantine(self) -> DataFrame:
+        """What is quarantined when the claims arrive as CSV lines in batches, in input order."""
+        ds = self.config.datasets["claims"]
+        path = f"{shared_folder(self.spark)}/claimloom/arriving-{uuid4().hex}"
+        keys = {
+            other: self.stored_outcome(other).clean.select(self.config.datasets[other].key)
+            for other in sorted(ds.references)
+        }
+        quarantining = replace(ds, rules=(*ds.rules, *reading_rules(ds.kinds)))
+        load = IncrementalLoad(quarantining, path, lambda: keys)
+        claims, order = self.bronze("claims"), F.col(driver_tables.ORDER)
+        bounds = claims.approxQuantile(driver_tables.ORDER, [k / BATCHES for k in range(1, BATCHES)], 0.01)
+        columns = driver_tables.CLAIM_COLUMNS
+        for batch in range(BATCHES):
+            arrived = claims
+            if batch:
+                arrived = arrived.where(order > bounds[batch - 1])
+            if batch < BATCHES - 1:
+                arrived = arrived.where(order <= bounds[batch])
+            lines = driver_tables.claim_lines(arrived.orderBy(driver_tables.ORDER))
+            write_lines(lines, f"{path}/raw/{batch}", columns)
+            load.load_batch(read_lines(self.spark, f"{path}/raw/{batch}", columns), batch)
+        return load.rows(self.spark, "quarantine").drop("batch_id")
+
     def line_outcome(self) -> RuleOutcome:
         """The claims written as CSV lines and read back, with what cannot be read quarantined."""
         if "lines" not in self._stored:

@@ -194,6 +194,7 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "quarantine_reasons": lambda b: reason_counts(_quarantines(b), "dataset"),
     "csv_report": lambda b: b.line_outcome().report,
     "csv_quarantine": lambda b: _claim_reasons(b.line_outcome().quarantined),
+    "incremental_quarantine": lambda b: _claim_reasons(b.incremental_quarantine()),
     "csv_lines": lambda b: _line_counts(b.line_outcome()),
     "dq_report": _report,
     "table_round_trip": _table_round_trip,

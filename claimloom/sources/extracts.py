@@ -85,6 +85,11 @@ def read_extract(
     return bronze_rows(lines.select("*", "_metadata"), batch_ts, needed)
 
 
+def read_lines(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """Lines of CSV files that are there, for ``bronze_rows``."""
+    return spark.read.schema(_schema(columns)).options(**CSV_OPTIONS).csv(path).select("*", "_metadata")
+
+
 def stream_extract(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Lines of CSV files as they arrive in a folder, for ``bronze_rows``."""
     lines = spark.readStream.schema(_schema(columns)).options(**CSV_OPTIONS).csv(path)

@@ -20,9 +20,8 @@ from claimloom.operators.quality import apply_rules
 from claimloom.plans.conform import conform
 from claimloom.sources.config import Dataset
 from claimloom.sources.extracts import ROW_ORDER, bronze_rows
-
-#: Parts the seen keys are kept in.
-KEY_PARTS = 256
+from claimloom.sources.tables import Folder
+from claimloom.streaming.key_log import FAN, KeyLog
 
 References = Callable[[], Mapping[str, DataFrame]]
 
@@ -34,6 +33,8 @@ class IncrementalLoad:
     dataset: Dataset
     folder: str
     references: References = dict
+    #: Runs of seen keys that are merged at a time.
+    fan: int = FAN
 
     def _layer(self, layer: str) -> str:
         return f"{self.folder}/{layer}/{self.dataset.name}"
@@ -53,8 +54,13 @@ class IncrementalLoad:
         now = dt.datetime.now(dt.timezone.utc).isoformat()
         bronze = bronze_rows(lines, now, {*ds.rule_columns, *ds.kinds})
         batch = self._replace(bronze, "bronze", batch_id)
-        earlier = self._seen_keys(spark, batch, batch_id) if self._unique_column else None
-        store = lambda name, df: self._replace(df, f"work-{name}", batch_id)
+        earlier = self._log(batch).seen(batch, batch_id) if self._unique_column else None
+        work: list[str] = []
+
+        def store(name: str, df: DataFrame) -> DataFrame:
+            work.append(name)
+            return self._replace(df, f"work-{name}", batch_id)
+
         outcome = apply_rules(
             batch, ds.name, ds.rules, self.references(), ROW_ORDER,
             earlier=earlier, store=store, row_id=F.col(ROW_ORDER[-1]),
@@ -63,7 +69,10 @@ class IncrementalLoad:
         self._replace(outcome.quarantined, "quarantine", batch_id)
         self._replace(conform(ds.name, outcome.clean, ds.kinds), "silver", batch_id)
         if self._unique_column:
-            self._keep_keys(batch, batch_id)
+            self._log(batch).add(batch, batch_id)
+        # Only this batch has read them.
+        for name in work:
+            Folder(spark, self._layer(f"work-{name}")).delete(f"batch_id={batch_id}")
 
     @property
     def _unique_column(self) -> str | None:
@@ -72,28 +81,8 @@ class IncrementalLoad:
             raise ValueError("a dataset loaded in batches can be unique by one column only")
         return next(iter(names), None)
 
-    def _keyed(self, batch: DataFrame) -> DataFrame:
-        """Distinct keys of a batch, with the part each key belongs to."""
-        name = self._unique_column
-        part = F.pmod(F.xxhash64(name), F.lit(KEY_PARTS)).cast("int")
-        return batch.select(F.col(name), part.alias("part")).distinct()
-
-    def _seen_keys(self, spark: SparkSession, batch: DataFrame, batch_id: int) -> DataFrame | None:
-        """Keys of earlier batches, from the parts the batch's keys fall into.
-
-        Partition pruning leaves the files of other parts alone. The list of
-        parts has at most ``KEY_PARTS`` entries.
-        """
-        if batch_id == 0:
-            return None
-        parts = [r[0] for r in self._keyed(batch).select("part").distinct().collect()]
-        seen = self.rows(spark, "keys").where(F.col("part").isin(parts) & (F.col("batch_id") < batch_id))
-        return seen.select(self._unique_column)
-
-    def _keep_keys(self, batch: DataFrame, batch_id: int) -> None:
-        """Write the batch's keys by part; a batch that is tried again replaces its own."""
-        path = f"{self._layer('keys')}/batch_id={batch_id}"
-        self._keyed(batch).write.mode("overwrite").partitionBy("part").parquet(path)
+    def _log(self, batch: DataFrame) -> KeyLog:
+        return KeyLog(batch.sparkSession, self._layer("keys"), batch.schema[self._unique_column], self.fan)
 
     def start(self, lines: DataFrame) -> StreamingQuery:
         """Load all files that are there and not yet loaded, then stop."""

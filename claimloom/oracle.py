@@ -375,6 +375,14 @@ SQL = {
     "csv_report": _with(LINES, _report_of("claims", "line_flags", LINE_RULES)),
     "csv_quarantine": _with(LINES, LINE_REASONS),
     "incremental_quarantine": _with(LINES, LINE_REASONS),
+    "csv_multi_line": _with(
+        [CLAIMS],
+        """SELECT claim_id, member_id, provider_id, CASE _ord // 2 % 13
+             WHEN 1 THEN procedure_code || chr(10) || 'second, "quoted" line' WHEN 2 THEN chr(10) || ' ' || chr(10) || procedure_code
+             WHEN 3 THEN '"' || procedure_code || '"' ELSE procedure_code END AS procedure_code,
+           service_date, submitted_date, billed_amount_eur::VARCHAR AS billed_amount_eur,
+           approved_amount_eur::VARCHAR AS approved_amount_eur, claim_status FROM raw_claims""",
+    ),
     "csv_lines": _with(
         LINES,
         "SELECT count(*) AS lines, count(*) FILTER (why = '') AS clean, count(*) FILTER (why <> '') AS quarantined, "

@@ -24,7 +24,7 @@ from claimloom.plans.conform import conform
 from claimloom.sources import driver_tables
 from claimloom.session import shared_folder
 from claimloom.sources.config import Config, load_config, reading_rules, references_of
-from claimloom.sources.extracts import ROW_ORDER, read_extract, read_lines, write_lines
+from claimloom.sources.extracts import ROW_ORDER, read_extract, read_lines, row_of_extract, write_lines
 from claimloom.sources.tables import Staging, fingerprint, row_in_file
 from claimloom.streaming.incremental import IncrementalLoad
 
@@ -167,6 +167,15 @@ class Layers:
             load.load_batch(read_lines(self.spark, f"{path}/raw/{batch}", columns), batch)
         return load.rows(self.spark, "quarantine").drop("batch_id")
 
+    def broken_lines(self) -> DataFrame:
+        """The claims written as CSV with line breaks inside of cells, and read back."""
+        if "broken" not in self._stored:
+            path = f"{shared_folder(self.spark)}/claimloom/broken-{uuid4().hex}"
+            write_lines(driver_tables.broken_lines(self.bronze("claims")), path, driver_tables.CLAIM_COLUMNS)
+            read = read_extract(self.spark, path, "once", driver_tables.CLAIM_COLUMNS, multi_line=True)
+            self._store("broken", lambda: read)
+        return self._stored["broken"]
+
     def line_outcome(self) -> RuleOutcome:
         """The claims written as CSV lines and read back, with what cannot be read quarantined."""
         if "lines" not in self._stored:
@@ -183,7 +192,7 @@ class Layers:
         }
         store = lambda part, df: self._store(f"lines-{part}", lambda: df)
         outcome = apply_rules(
-            self._stored["lines"], "claims", rules, keys, ROW_ORDER, store=store, row_id=F.col(ROW_ORDER[-1]), **self._limits
+            self._stored["lines"], "claims", rules, keys, ROW_ORDER, store=store, row_id=row_of_extract(), **self._limits
         )
         return outcome.on(self._store("checked-lines", lambda: outcome.checked))
 

@@ -21,7 +21,7 @@ from claimloom.plans import analytics, gold
 from claimloom.plans.conform import silver_columns, whole
 from claimloom.sources.checked import CLEAN, VERDICT, Checked, write_checked
 from claimloom.sources.config import Config
-from claimloom.sources.extracts import ROW_ORDER, read_extract
+from claimloom.sources.extracts import ROW_ORDER, read_extract, row_of_extract
 from claimloom.sources.tables import (
     Staging,
     VersionedTable,
@@ -150,8 +150,7 @@ def _check_and_write(build: Build, bronze: dict[str, DataFrame], staging: Stagin
             for other in ds.references
         }
         store = lambda part, df: staging.store(f"{name}-{part}", df)
-        row_id = F.col(ROW_ORDER[-1])  # written into bronze, one number a row
-        outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER, store=store, row_id=row_id)
+        outcome = apply_rules(bronze[name], name, ds.rules, keys, ROW_ORDER, store=store, row_id=row_of_extract())
         rows = bronze[name].select(*outcome.data_columns)
         folder = build.versioned("silver", name).new_version()
         done[name] = write_checked(outcome, silver_columns(name, rows, ds.kinds), whole(rows), folder)

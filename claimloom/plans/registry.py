@@ -24,7 +24,7 @@ from claimloom.plans.layers import AS_OF, Layers, layers
 from claimloom.plans.refresh import Build, build_gold
 from claimloom.session import shared_folder
 from claimloom.sources.config import Config
-from claimloom.sources.driver_tables import ORDER
+from claimloom.sources.driver_tables import CLAIM_COLUMNS, ORDER
 from claimloom.sources.tables import ensure_database, listing, replace_csv, replace_table
 
 #: Databases of a warehouse.
@@ -195,6 +195,7 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "csv_report": lambda b: b.line_outcome().report,
     "csv_quarantine": lambda b: _claim_reasons(b.line_outcome().quarantined),
     "incremental_quarantine": lambda b: _claim_reasons(b.incremental_quarantine()),
+    "csv_multi_line": lambda b: b.broken_lines().select(*CLAIM_COLUMNS),
     "csv_lines": lambda b: _line_counts(b.line_outcome()),
     "dq_report": _report,
     "table_round_trip": _table_round_trip,

@@ -151,3 +151,18 @@ def claim_lines(claims: DataFrame) -> DataFrame:
     return claims.select(
         F.when(turn == 4, F.concat(whole, F.lit(",more,cells"))).when(turn == 5, short).otherwise(whole).alias("line")
     )
+
+
+def broken_lines(claims: DataFrame) -> DataFrame:
+    """The claims as CSV lines, some of them with line breaks, commas and doubled quotes inside of a cell."""
+    turn = F.floor(F.col(ORDER) / 2) % 13
+    cells = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in CLAIM_COLUMNS}
+    code = cells["procedure_code"]
+    cells["procedure_code"] = (
+        F.when(turn == 1, F.concat(F.lit('"'), code, F.lit('\nsecond, "quoted"" line"')))
+        .when(turn == 2, F.concat(F.lit('"\n \n'), code, F.lit('"')))
+        .when(turn == 3, F.concat(F.lit('"""'), code, F.lit('"""')))
+        .otherwise(code)
+    )
+    cells["procedure_code"] = F.replace(cells["procedure_code"], F.lit('"quoted""'), F.lit('""quoted""'))
+    return claims.select(F.concat_ws(",", *cells.values()).alias("line"))

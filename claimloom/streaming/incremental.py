@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from claimloom.operators.quality import apply_rules
 from claimloom.plans.conform import conform
 from claimloom.sources.config import Dataset
-from claimloom.sources.extracts import ROW_ORDER, bronze_rows
+from claimloom.sources.extracts import ROW_ORDER, bronze_rows, row_of_extract
 from claimloom.sources.tables import Folder
 from claimloom.streaming.key_log import FAN, KeyLog
 
@@ -63,7 +63,7 @@ class IncrementalLoad:
 
         outcome = apply_rules(
             batch, ds.name, ds.rules, self.references(), ROW_ORDER,
-            earlier=earlier, store=store, row_id=F.col(ROW_ORDER[-1]),
+            earlier=earlier, store=store, row_id=row_of_extract(),
         )
         outcome = outcome.on(self._replace(outcome.checked, "checked", batch_id))
         self._replace(outcome.quarantined, "quarantine", batch_id)

@@ -99,11 +99,11 @@ def plain_text(value: Column, kind: DataType) -> Column:
     return F.when(text.contains("E") & (size >= 1e-4) & (size < 1e16), plain).otherwise(text)
 
 
-def strict_timestamp(text: Column) -> Column:
-    """Wall-clock timestamp; fails the job on text that is none.
+def strict_timestamp(text: Column, parsed: Column | None = None) -> Column:
+    """Wall-clock timestamp; fails the job on text that is none. ``parsed`` is it, null where there is none.
 
     Does so whatever the session says about ANSI casts.
     """
     complaint = F.concat(F.lit("not a date: "), text.cast("string"))
-    parsed = F.coalesce(parse_timestamp(text), F.raise_error(complaint).cast("timestamp_ntz"))
-    return F.when(text.isNotNull(), parsed)
+    found = parse_timestamp(text) if parsed is None else parsed
+    return F.when(text.isNotNull(), F.coalesce(found, F.raise_error(complaint).cast("timestamp_ntz")))

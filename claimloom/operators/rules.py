@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.functions.exprs import lenient_number, parse_timestamp, plain_text
+from claimloom.functions.dates import ISO, parse_by
+from claimloom.functions.exprs import lenient_number, plain_text
+from claimloom.functions.patterns import java_pattern
 from claimloom.operators.lookup import (
     BROADCAST_BYTES,
     ROWS_PER_TASK,
@@ -111,13 +113,14 @@ def _min_value(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
 
 def _regex_match(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     (name,) = rule.columns
-    from_start = f"^(?:{rule.args['pattern']})"
+    from_start = rf"\A(?:{rule.args.get('java') or java_pattern(rule.args['pattern'])})"
     text = plain_text(F.col(name), df.schema[name].dataType)
     return df, _decided(~text.rlike(from_start), when_null=True)
 
 
 def _date_order(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
-    first, second = (parse_timestamp(F.col(name)) for name in rule.columns)
+    formats = rule.args.get("formats", {})
+    first, second = (parse_by(F.col(name), formats.get(name, ISO)) for name in rule.columns)
     return df, _decided(first > second, when_null=False)
 
 
@@ -177,8 +180,9 @@ def _readable(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     """Fails where a cell has text that is no value of the column's type."""
     (name,) = rule.columns
     value = F.col(name)
-    if rule.args["kind"] == "timestamp":
-        parsed = parse_timestamp(value.cast("string"))
+    kind, _, fmt = rule.args["kind"].partition(":")
+    if kind == "timestamp":
+        parsed = parse_by(value.cast("string"), fmt or ISO)
     else:
         parsed = lenient_number(value, df.schema[name].dataType)
     return df, value.isNotNull() & parsed.isNull()
@@ -241,8 +245,8 @@ def _is_number(value: Any) -> bool:
 
 
 def check_pattern(pattern: Any) -> None:
-    """Refuse what no regular expression can be. Patterns are Java's: only what both dialects
-    refuse is found here, as the driver may have no session yet."""
+    """Refuse what no regular expression can be. Of Java's patterns only what Python refuses too
+    is found here, as the driver may have no session yet."""
     try:
         re.compile(pattern)
     except TypeError as error:
@@ -263,11 +267,17 @@ def rule_from_dict(declared: Mapping[str, Any]) -> Rule:
         raise ValueError(f"rule {name} lacks {', '.join(missing)}")
     if name == "min_value" and not _is_number(declared["threshold"]):
         raise ValueError(f"threshold is no number: {declared['threshold']!r}")
+    args = {k: declared[k] for k in kind.arg_keys}
     if name == "regex_match":
-        check_pattern(declared["pattern"])
+        dialect = declared.get("dialect", "python")
+        if dialect not in ("python", "java"):
+            raise ValueError(f"the dialect of a pattern is python or java, not {dialect!r}")
+        if dialect == "java":
+            check_pattern(declared["pattern"])
+        args["java"] = declared["pattern"] if dialect == "java" else java_pattern(declared["pattern"])
     return Rule(
         type=name,
         columns=tuple(declared[k] for k in kind.column_keys),
-        args={k: declared[k] for k in kind.arg_keys},
+        args=args,
         description=declared.get("description", ""),
     )

@@ -383,6 +383,30 @@ SQL = {
            service_date, submitted_date, billed_amount_eur::VARCHAR AS billed_amount_eur,
            approved_amount_eur::VARCHAR AS approved_amount_eur, claim_status FROM raw_claims""",
     ),
+    "dates_by_format": _with(
+        [CLAIMS],
+        """SELECT claim_id, CASE WHEN turn NOT IN (1, 2) THEN service_date::DATE END AS service_date,
+                  CASE WHEN turn <> 3 THEN submitted_date::DATE END AS submitted_date
+           FROM (SELECT *, _ord // 2 % 41 AS turn FROM raw_claims)""",
+    ),
+    "date_format_misses": _with(
+        [CLAIMS],
+        """SELECT 'service_date' AS "column", 'dd/MM/yyyy' AS format, count(*) FILTER (turn = 2 OR service_date IS NOT NULL) AS cells,
+                  count(*) FILTER (turn NOT IN (1, 2) AND service_date IS NOT NULL) AS read, cells - read AS missed
+           FROM (SELECT *, _ord // 2 % 41 AS turn FROM raw_claims)
+           UNION ALL
+           SELECT 'submitted_date', 'MM/dd/yyyy', count(submitted_date), count(submitted_date) FILTER (turn <> 3),
+                  count(submitted_date) FILTER (turn = 3)
+           FROM (SELECT *, _ord // 2 % 41 AS turn FROM raw_claims)""",
+    ),
+    "pattern_matches": _with(
+        [CLAIMS],
+        r"""SELECT count(*) FILTER (regexp_matches(member_id, '^(MBR|CLM)[0-9]+$')) AS named,
+                  count(*) FILTER (regexp_matches(provider_id, '^PRV[0-9]{4}$')) AS line_end,
+                  count(*) FILTER (regexp_matches(procedure_code, '^PRC0*$')) AS word_edge,
+                  count(*) FILTER (regexp_matches(claim_status, '^(APPROVED|P[A-Z]*G)')) AS any_case,
+                  count(*) FILTER (regexp_matches(claim_id, '^CLM[0-9]*[0-4]-')) AS no_digit FROM raw_claims""",
+    ),
     "csv_lines": _with(
         LINES,
         "SELECT count(*) AS lines, count(*) FILTER (why = '') AS clean, count(*) FILTER (why <> '') AS quarantined, "

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.exprs import strict_number, strict_timestamp, title_case
+from claimloom.functions.dates import ISO, strict_by
+from claimloom.functions.exprs import strict_number, title_case
 from claimloom.sources.config import CORRUPT_LINE
 
 #: Text columns that are written in title case.
@@ -15,8 +16,9 @@ TITLES = {"members": ("plan_type",)}
 
 
 def _typed(df: DataFrame, name: str, kind: str) -> Column:
-    if kind == "timestamp":
-        return strict_timestamp(F.col(name))
+    what, _, fmt = kind.partition(":")
+    if what == "timestamp":
+        return strict_by(F.col(name), fmt or ISO)
     return strict_number(F.col(name)) if dict(df.dtypes)[name] == "string" else F.col(name).cast(kind)
 
 

@@ -167,6 +167,9 @@ class Layers:
             load.load_batch(read_lines(self.spark, f"{path}/raw/{batch}", columns), batch)
         return load.rows(self.spark, "quarantine").drop("batch_id")
 
+    def stored_odd_dates(self) -> DataFrame:
+        return self._store("odd_dates", lambda: driver_tables.odd_dates(self.bronze("claims")))
+
     def broken_lines(self) -> DataFrame:
         """The claims written as CSV with line breaks inside of cells, and read back."""
         if "broken" not in self._stored:

@@ -16,6 +16,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.functions.dates import ISO, chosen_formats
 from claimloom.operators.quality import apply_rules
 from claimloom.plans import analytics, gold
 from claimloom.plans.conform import silver_columns, whole
@@ -140,11 +141,14 @@ def _check_and_write(build: Build, bronze: dict[str, DataFrame], staging: Stagin
     def check(name: str) -> None:
         ds = config.datasets[name]
         sources = [f"bronze.{name}", *(f"silver.{other}" for other in ds.references)]
-        build.made_of(f"silver.{name}", [repr(r) for r in ds.rules], ds.kinds, tables=sources)
+        build.made_of(f"silver.{name}", [repr(r) for r in ds.rules], ds.kinds, ds.date_formats, tables=sources)
         table = build.finished("silver", name)
         if table is not None:
             taken[name] = table
             return
+        if ds.date_formats != (ISO,):
+            present = [c for c in ds.date_columns if c in bronze[name].columns]
+            ds = ds.in_formats(chosen_formats(bronze[name], present, ds.date_formats))
         keys = {
             other: (taken[other] if other in taken else done[other].clean).select(config.datasets[other].key)
             for other in ds.references

@@ -12,6 +12,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.functions.dates import chosen_formats, misses, parse_by
+from claimloom.functions.patterns import java_pattern
 from claimloom.operators.quality import (
     REASONS,
     RuleOutcome,
@@ -24,12 +26,14 @@ from claimloom.plans.layers import AS_OF, Layers, layers
 from claimloom.plans.refresh import Build, build_gold
 from claimloom.session import shared_folder
 from claimloom.sources.config import Config
-from claimloom.sources.driver_tables import CLAIM_COLUMNS, ORDER
+from claimloom.sources.driver_tables import CLAIM_COLUMNS, DATE_FORMATS, ORDER
 from claimloom.sources.tables import ensure_database, listing, replace_csv, replace_table
 
 #: Databases of a warehouse.
 LAYERS = ("bronze", "silver", "audit", "gold")
 
+DATE_COLUMNS = ("service_date", "submitted_date")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -157,6 +161,39 @@ def _build_ledger(built: Layers) -> DataFrame:
     return listed.withColumn("source_table", F.coalesce(*named, F.lit("lineitem"))).join(F.broadcast(sources), "source_table")
 
 
+def _dates_by_format(built: Layers) -> DataFrame:
+    """Both dates of the claims, each column read in the format that reads most of it."""
+    rows = built.stored_odd_dates()
+    chosen = chosen_formats(rows, DATE_COLUMNS, DATE_FORMATS)
+    dates = [parse_by(F.col(c), chosen[c]).cast("date").alias(c) for c in DATE_COLUMNS]
+    return rows.select("claim_id", *dates)
+
+
+def _date_format_misses(built: Layers) -> DataFrame:
+    """The format found for each date column, and the cells it does not read."""
+    rows = built.stored_odd_dates()
+    return misses(rows, chosen_formats(rows, DATE_COLUMNS, DATE_FORMATS))
+
+
+#: Patterns in Python's dialect, and what they are matched with from the start.
+PATTERNS = {
+    "named": (r"(?P<kind>MBR|CLM)(?P<number>\d+)\Z", "member_id"),
+    "line_end": (r"PRV\d{4}$", "provider_id"),
+    "word_edge": (r"PRC0*\b(?!9)", "procedure_code"),
+    "any_case": (r"(?i:approved|p\w+g)", "claim_status"),
+    "no_digit": (r"[^\D1-4]|CLM\d*[0-4]-", "claim_id"),
+}
+
+
+def _pattern_matches(built: Layers) -> DataFrame:
+    """Claims that match each of PATTERNS."""
+    counts = [
+        F.count_if(F.col(column).rlike(rf"\A(?:{java_pattern(pattern)})")).alias(name)
+        for name, (pattern, column) in PATTERNS.items()
+    ]
+    return built.bronze("claims").agg(*counts)
+
+
 def _csv_round_trip(built: Layers, df: DataFrame) -> DataFrame:
     path = f"{shared_folder(built.spark)}/claimloom/csv-{uuid4().hex}"
     replace_csv(df, path)
@@ -196,6 +233,9 @@ BUILDERS: dict[str, Callable[[Layers], DataFrame]] = {
     "csv_quarantine": lambda b: _claim_reasons(b.line_outcome().quarantined),
     "incremental_quarantine": lambda b: _claim_reasons(b.incremental_quarantine()),
     "csv_multi_line": lambda b: b.broken_lines().select(*CLAIM_COLUMNS),
+    "dates_by_format": _dates_by_format,
+    "date_format_misses": _date_format_misses,
+    "pattern_matches": _pattern_matches,
     "csv_lines": lambda b: _line_counts(b.line_outcome()),
     "dq_report": _report,
     "table_round_trip": _table_round_trip,

@@ -11,6 +11,7 @@ from graphlib import CycleError, TopologicalSorter
 from pathlib import Path
 from typing import Any
 
+from claimloom.functions.dates import ISO, check_format
 from claimloom.operators.rules import Rule, rule_from_dict
 
 # The calendar the monthly figures are limited to, if the config names no other.
@@ -62,6 +63,26 @@ class Dataset:
     rules: tuple[Rule, ...] = ()
     columns: Mapping[str, str] = field(default_factory=dict)
     multi_line: bool = False
+    #: Formats that date columns may be written in; each is read by the one that reads most of its cells.
+    date_formats: tuple[str, ...] = (ISO,)
+
+    @property
+    def date_columns(self) -> list[str]:
+        """Columns that are read as dates."""
+        of_rules = {c for r in self.rules if r.type == "date_order" for c in r.columns}
+        return sorted({c for c, kind in self.kinds.items() if kind == "timestamp"} | of_rules)
+
+    def in_formats(self, chosen: Mapping[str, str]) -> Dataset:
+        """The dataset with its date columns in the formats that were found."""
+        kinds = {c: f"timestamp:{chosen[c]}" if kind == "timestamp" and c in chosen else kind for c, kind in self.kinds.items()}
+        rules = []
+        for rule in self.rules:
+            if rule.type == "date_order":
+                rule = replace(rule, args={**rule.args, "formats": {c: chosen[c] for c in rule.columns if c in chosen}})
+            elif rule.type == "readable" and rule.args["kind"] == "timestamp" and rule.columns[0] in chosen:
+                rule = replace(rule, args={"kind": f"timestamp:{chosen[rule.columns[0]]}"})
+            rules.append(rule)
+        return replace(self, rules=tuple(rules), columns=kinds)
 
     @property
     def kinds(self) -> dict[str, str]:
@@ -117,7 +138,10 @@ def _dataset(name: str, declared: Mapping[str, Any], on_bad_value: str) -> Datas
         rules=tuple(rule_from_dict(r) for r in declared.get("rules") or ()),
         columns=dict(declared.get("columns") or {}),
         multi_line=bool(declared.get("multi_line", False)),
+        date_formats=tuple(declared.get("date_formats") or (ISO,)),
     )
+    for fmt in ds.date_formats:
+        check_format(fmt)
     odd = {k for k in ds.columns.values() if k not in ("double", "timestamp")}
     if odd:
         raise ValueError(f"{name}: columns are text, double or timestamp, not {', '.join(sorted(odd))}")

@@ -166,3 +166,23 @@ def broken_lines(claims: DataFrame) -> DataFrame:
     )
     cells["procedure_code"] = F.replace(cells["procedure_code"], F.lit('"quoted""'), F.lit('""quoted""'))
     return claims.select(F.concat_ws(",", *cells.values()).alias("line"))
+
+
+#: Formats that the dates of the registered query may be written in.
+DATE_FORMATS = ("iso", "dd/MM/yyyy", "MM/dd/yyyy", "MMM d, yyyy")
+
+
+def odd_dates(claims: DataFrame) -> DataFrame:
+    """claim_id and both dates of the claims, written day first and month first, some in another format."""
+    turn = F.floor(F.col(ORDER) / 2) % 41
+    day, sent = (F.col(c).cast("date") for c in ("service_date", "submitted_date"))
+    return claims.select(
+        "claim_id",
+        F.when(turn == 1, F.date_format(day, "yyyy-MM-dd"))
+        .when(turn == 2, "soon")
+        .otherwise(F.date_format(day, "dd/MM/yyyy"))
+        .alias("service_date"),
+        F.when(turn == 3, F.date_format(sent, "MMM d, yyyy"))
+        .otherwise(F.date_format(sent, " MM/dd/yyyy"))
+        .alias("submitted_date"),
+    )

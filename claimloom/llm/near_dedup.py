@@ -21,10 +21,11 @@ Defined results
 ---------------
 Words are split at ASCII blanks, A-Z lower-cased. Fewer than five words: one
 shingle of all words. Documents with the same words are one class. null text
-and text without words: a class of its own, as are rows of a null id unless
-they share their words with others. Repeated rows (same id) share their class.
-An id is taken to stand for one text. Empty table: no rows. Other columns pass
-through ``deduplicate``.
+and text without words: a class of its own. Rows are told apart by a number, not
+by their id: rows of a null id, and different texts of one id, take part like
+any other. A class without any id has a null class_id. ``deduplicate`` keeps one
+row of each class, also of repeated rows. Empty table: no rows. Other columns
+pass through ``deduplicate``.
 """
 
 from __future__ import annotations
@@ -348,32 +349,59 @@ def likely(sides: list[list], least: float) -> list[tuple[int, int]]:
     return [(sides[0][r][0], sides[1][c][0]) for r, c in zip(rows, columns)]
 
 
-def classify(docs: DataFrame) -> DataFrame:
-    """doc_id and class_id (smallest doc_id of its class) of each row."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` as ``row``, each with a number of its own. Written, so that the number stays."""
+    return stored(as_row(docs).withColumn("number", F.monotonically_increasing_id()), "numbered")
+
+
+def row_classes(rows: DataFrame) -> DataFrame:
+    """number and class (the smallest number in it) of each numbered row."""
+    texts = rows.select(F.col("number").alias("doc_id"), F.col("row.text").cast("string").alias("text"))
     signed = stored(texts.mapInArrow(_sign, SIGNED), "signed")
-    same = signed.where("digest IS NOT NULL").groupBy("digest")
-    first = stored(
-        same.agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1 AND first_id IS NOT NULL").drop("n"),
-        "same-words",
-    )
-    rows = stored(
-        lookup(signed.where("digest IS NOT NULL"), first, "digest", ["doc_id"])
-        .withColumn("first_id", F.coalesce("first_id", "doc_id"))
-        .select("doc_id", "first_id", "bands"),
+    worded = signed.where("digest IS NOT NULL")
+    same = worded.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    first = stored(same.where("n > 1").drop("n"), "same-words")
+    firsts = stored(
+        lookup(worded, first, "digest", ["doc_id"])
+        .withColumn("first", F.coalesce("first", "doc_id"))
+        .select("doc_id", "first", "bands"),
         "firsts",
     )
-    members = (
-        rows.where("doc_id = first_id").select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"))
-    )
+    members = firsts.where("doc_id = first").select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("id"))
     labels = linked(members, texts)
-    classes = labelled(rows.select("doc_id", "first_id"), labels, "first_id", "class_id").select("doc_id", "class_id")
-    alone = signed.where("digest IS NULL").select("doc_id", F.col("doc_id").alias("class_id"))
-    return classes.unionByName(alone)
+    classes = labelled(firsts.select("doc_id", "first"), labels, "first", "class")
+    alone = signed.where("digest IS NULL").select("doc_id", F.col("doc_id").alias("class"))
+    return classes.select("doc_id", "class").unionByName(alone).withColumnRenamed("doc_id", "number")
+
+
+def _resolved(rows: DataFrame) -> DataFrame:
+    """number, doc_id, class_id, class_size and ``stays`` of each numbered row."""
+    ids = rows.select("number", F.col("row.doc_id").cast("long").alias("doc_id"))
+    placed = stored(join_measured(ids, stored(row_classes(rows), "row-classes"), ["number"], "inner"), "placed")
+    # The smallest id stays, rows without an id only if there is no other; of repeated rows the first one.
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "number")
+    classes = placed.groupBy("class").agg(
+        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.min(first).alias("first")
+    )
+    # Most classes are one row; only the others are looked up.
+    many = stored(classes.where("class_size > 1").select("class", "class_id", "class_size", F.col("first.number").alias("kept")), "classes")
+    found = lookup(placed, many, "class", ["number"])
+    return found.select(
+        "number",
+        "doc_id",
+        F.when(F.col("class_size").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("class_size", F.lit(1)).alias("class_size"),
+        F.coalesce(F.col("number") == F.col("kept"), F.lit(True)).alias("stays"),
+    )
+
+
+def classify(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (smallest doc_id of its class) and class_size of each row."""
+    return _resolved(numbered(docs.select("doc_id", "text"))).select("doc_id", "class_id", "class_size")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id is the smallest of its class."""
-    dropped = stored(classify(docs).where("doc_id <> class_id").select("doc_id").distinct(), "dropped")
-    packed = as_row(docs).withColumn("doc_id", F.col("row.doc_id").cast("long"))
-    return join_measured(packed, dropped, ["doc_id"], "left_anti").select("row.*")
+    """One row of each class of ``docs``, all columns: the one with the smallest id."""
+    rows = numbered(docs)
+    dropped = stored(_resolved(rows).where(~F.col("stays")).select("number"), "dropped")
+    return join_measured(rows, dropped, ["number"], "left_anti").select("row.*")

@@ -104,7 +104,25 @@ def test_empty_and_repeated_rows(spark):
     assert nd.classify(empty).collect() == []
     rows = [(1, "a b c d e f g")] * 3 + [(None, "a b c d e f g"), (None, None), (2, "")]
     found = sorted(map(tuple, nd.classify(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
-    assert found == sorted([(1, 1)] * 3 + [(None, 1), (None, None), (2, 2)], key=repr)
+    assert found == sorted([(1, 1, 4)] * 3 + [(None, 1, 4), (None, None, 1), (2, 2, 1)], key=repr)
+    kept = [r["doc_id"] for r in nd.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(kept, key=repr) == [1, 2, None]
+
+
+def test_rows_are_told_apart_by_more_than_their_id(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    other, third = (" ".join(f"{k}{i}" for i in range(60)) for k in "xy")
+    rows = [
+        (1, words), (2, f"{words} extra"), (2, other), (None, f"{words} more"), (None, third), (None, f"{third} end"),
+        (None, "all alone here as it is"), (7, f"{other} end"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted(map(tuple, nd.classify(frame).collect()), key=repr)
+    expected = [(1, 1, 3), (2, 1, 3), (None, 1, 3), (2, 2, 2), (7, 2, 2), (None, None, 2), (None, None, 2), (None, None, 1)]
+    assert found == sorted(expected, key=repr)
+    kept = {(r["doc_id"], r["text"]) for r in nd.deduplicate(frame).collect()}
+    assert {(1, words), (2, other), (None, "all alone here as it is")} < kept
+    assert len(kept) == 4 and len({t for d, t in kept if t.startswith(third)}) == 1
 
 
 @pytest.mark.parametrize("block, few", [(200, 50), (6, 0), (200, 10**9)])

@@ -39,16 +39,24 @@ def line_key(line: Column) -> Column:
     return F.md5(line.cast("binary"))
 
 
+def owner_of(doc_id: Column, text: Column) -> Column:
+    """What the lines of a document are gathered by: its id, or its text where it has none.
+
+    So rows without an id do not gather the lines of all such rows.
+    """
+    return F.when(doc_id.isNull(), F.concat(F.lit("="), F.sha2(text.cast("binary"), 256))).otherwise(doc_id.cast("string"))
+
+
 def line_rows(docs: DataFrame, site: str) -> DataFrame:
-    """One row per line that is not blank: doc_id, site, key."""
+    """One row per line that is not blank: owner, site, key."""
     return (
         docs.select(
-            "doc_id",
+            owner_of(F.col("doc_id"), F.col("text")).alias("owner"),
             F.coalesce(F.concat(F.lit("="), F.col(site)), F.lit("")).alias("site"),
             F.explode(lines_of(F.col("text"))).alias("line"),
         )
         .where(F.col("line").rlike(NO_BLANK))
-        .select("doc_id", "site", line_key(F.col("line")).alias("key"))
+        .select("owner", "site", line_key(F.col("line")).alias("key"))
     )
 
 
@@ -63,7 +71,7 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     sketched = stored(spread(lines).where(F.col("about") >= NEAR[0] * min_sites), "spread")
     near = sketched.where(F.col("about") <= NEAR[1] * min_sites).select("key")
     counted = (
-        lookup(lines, near, "key", ["doc_id"], "left_semi")
+        lookup(lines, near, "key", ["owner"], "left_semi")
         .groupBy("key")
         .agg(F.countDistinct("site").alias("sites"))
         .where(F.col("sites") >= min_sites)
@@ -75,13 +83,13 @@ def boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
 def remove_boilerplate(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``row`` (the input row), n_lines, n_removed and kept_text of each row."""
     keys = boilerplate(docs, site, min_sites)
-    hits = lookup(line_rows(docs, site).select("doc_id", "key"), keys, "key", ["doc_id"], "left_semi")
-    per_doc = stored(hits.groupBy("doc_id").agg(F.collect_set("key").alias("removed")), "removed")
-    packed = as_row(docs).withColumn("doc_id", F.col("row.doc_id"))
+    hits = lookup(line_rows(docs, site).select("owner", "key"), keys, "key", ["owner"], "left_semi")
+    per_doc = stored(hits.groupBy("owner").agg(F.collect_set("key").alias("removed")), "removed")
+    packed = as_row(docs).withColumn("owner", owner_of(F.col("row.doc_id"), F.col("row.text")))
     lines = F.when(F.col("row.text").isNull(), F.array().cast("array<string>")).otherwise(
         lines_of(F.col("row.text"))
     )
-    marked = join_measured(packed, per_doc, ["doc_id"], "left").select("row", "removed", lines.alias("lines"))
+    marked = join_measured(packed, per_doc, ["owner"], "left").select("row", "removed", lines.alias("lines"))
     kept = F.when(F.col("removed").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda line: ~F.array_contains("removed", line_key(line)))
     )

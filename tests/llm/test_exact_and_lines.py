@@ -117,3 +117,14 @@ def test_line_dedup_runs_no_python(spark):
     frame = QUERIES["op10_line_dedup"](spark, f"{TESTDATA}/sf0.001")
     text = frame._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text
+
+
+def test_rows_without_an_id_do_not_gather_each_others_lines(spark, monkeypatch):
+    rows = [(None, f"shared {n % 7}\nown {n}", f"site{n}") for n in range(140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    gathered, kept = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name: (gathered.append((name, kept(df, name))), gathered[-1][1])[1])
+    found = line_dedup.remove_boilerplate(docs).collect()
+    assert sorted(r["kept_text"] for r in found) == sorted(f"own {n}" for n in range(140))
+    removed = dict(gathered)["removed"]
+    assert max(len(r["removed"]) for r in removed.collect()) == 1

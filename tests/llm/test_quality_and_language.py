@@ -154,3 +154,17 @@ def test_gradients():
         low = loss()
         values[at] = kept
         assert (high - low) / (2 * step) == pytest.approx(gradient[at], rel=2e-2)
+
+
+def test_one_row_per_label_is_learnt_from(spark, monkeypatch):
+    """However many rows have the id of a label; what sets the threshold has grown no tree."""
+    good, bad = (" ".join(f"{w}{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80)) + " " for w in ("word", "$!|"))
+    rows = [(n % 40, (bad if n % 40 < 10 else good) + f"x{n}") for n in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(n, int(n >= 10), 0) for n in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+    for name in ("grow", "calibrate"):
+        kept = getattr(quality, name)
+        monkeypatch.setattr(quality, name, lambda *a, kept=kept: (seen.append(len(a[-1])), kept(*a))[1])
+    assert quality.learn(quality.count_rules(docs), labels) is not None
+    assert sum(seen) <= 40 and len(seen) == 2

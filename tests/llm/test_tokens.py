@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from claimloom.llm import bpe, packing, pretoken
+from claimloom.llm.common import stored
 
 ODD = [
     "", " ", "  ", "\n", "a", " a", "a b", "a  b", "a\nb", "a\n\nb", "a \n b", "\n\na", "a\n", "it's 'll don't",
@@ -177,10 +178,24 @@ def test_packed_frames(spark):
 
 def test_sequences_hold_the_ids(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(odd_texts(6))], "doc_id long, text string")
-    pieces = packing.token_pieces(docs, 64)
+    pieces = stored(packing.token_pieces(docs, 64), "pieces")
     placed = packing.pack(pieces.drop("ids"), 64)
     rows = packing.sequences(pieces, placed).collect()
     flat = sorted(sum((numbers(r["ids"]) for r in rows), []))
     expected = sorted(sum(([*TOKENIZER.encode(t, add_special_tokens=False).ids, 2] for t in odd_texts(6)), []))
     assert flat == expected
     assert all(len(numbers(r["ids"])) == r["length"] <= 64 for r in rows)
+
+
+def test_rows_without_an_id_or_with_one_in_common(spark):
+    """No id gathers pieces in one group, and none loses or doubles them."""
+    texts = [f"text number {n} of many" for n in range(300)]
+    docs = spark.createDataFrame([(None if n % 3 else 5, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    pieces = stored(packing.token_pieces(docs.repartition(4), 64), "pieces")
+    placed = packing.pack(pieces.drop("ids"), 64, per_group=30)
+    groups = {r["sequence_id"] >> packing.GROUP_SHIFT for r in placed.collect()}
+    assert len(groups) == 10
+    rows = packing.sequences(pieces, stored(placed, "placed")).collect()
+    expected = sorted(sum(([*TOKENIZER.encode(t, add_special_tokens=False).ids, 2] for t in texts), []))
+    assert sorted(sum((numbers(r["ids"]) for r in rows), [])) == expected
+    assert all(len(numbers(r["ids"])) == r["length"] for r in rows)

@@ -24,8 +24,9 @@ A byte goes if a string of ``LEAST`` bytes that covers it also starts earlier
    the first place of each string, the others are covered.
 4. Covered spans are united per document and cut out.
 
-Contexts are compared by two independent hashes of together 112 bits; the
-suffixes of step 3 by their bytes, strings of hot grams by a hash of 128 bits.
+Contexts are compared by 128 bits: two hashes of 64 bits over byte tables and
+bases of their own, besides the gram's; the suffixes of step 3 by their bytes,
+strings of hot grams by a hash of 128 bits.
 
 Defined results
 ---------------
@@ -65,15 +66,16 @@ PIECE, HELD, BUCKET_BYTES = 1 << 18, 300_000, 12 * 1024 * 1024
 HOT = 2_000
 FOUND = "kind string, bucket int, arrays array<binary>"
 FOUND_SCHEMA = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("arrays", pa.list_(pa.binary()))])
-CONTEXT_BITS = np.uint64((1 << 48) - 1)
+#: Odd bases of the two hashes.
+BASES = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 
 
 @cache
-def _hashing() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _hashing(which: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A random number per byte, and powers of an odd base and of its inverse modulo 2**64."""
-    random = np.random.default_rng(2024)
+    random = np.random.default_rng(2024 + which)
     table = random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    base = 0x9E3779B97F4A7C15 | 1
+    base = BASES[which]
     size = PIECE + 4 * LEAST
     powers = np.full(size, base, np.uint64)
     inverse = np.full(size, pow(base, -1, 2**64), np.uint64)
@@ -97,7 +99,7 @@ def sliding(values: np.ndarray, width: int, smaller=np.minimum) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Anchors of the texts that lie side by side in ``data``: place, hashes of gram, context and cores,
+    """Anchors of the texts that lie side by side in ``data``: place, hashes of gram, context (two) and cores,
     and the bytes of the context before the anchor's start and from there on.
 
     ``starts`` and ``ends`` give for each byte the bounds of its text. Only
@@ -107,7 +109,7 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     size = len(data)
     if size < LEAST:
         empty = np.zeros(0, np.int64)
-        return empty, empty.view(np.uint64), empty.view(np.uint64), np.zeros((0, PARTS), np.uint32), empty, empty
+        return empty, *[empty.view(np.uint64)] * 3, np.zeros((0, PARTS), np.uint32), empty, empty
     prefix = np.zeros(size + 1, np.uint64)
     np.cumsum(table[data] * powers[:size], out=prefix[1:])
     grams = size - GRAM + 1
@@ -127,8 +129,12 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     new = np.flatnonzero(np.append(True, which[1:] != which[:-1])) if len(which) else which
     place = minima[which[new]]
     low, high = window[new], window[np.append(new[1:], len(which)) - 1] + LEAST
-    context = mix((prefix[high] - prefix[low]) * inverse[low])
-    context = mix(context + ((place - low) * 1000 + high - place).astype(np.uint64)) & CONTEXT_BITS
+    sides = ((place - low) * 1000 + high - place).astype(np.uint64)
+    context = mix(mix((prefix[high] - prefix[low]) * inverse[low]) + sides)
+    table, powers, second = _hashing(1)
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum(table[data] * powers[:size], out=sums[1:])
+    check = mix(mix((sums[high] - sums[low]) * second[low]) + sides)
     cores = np.zeros((len(place), PARTS), np.uint32)
     for part in range(PARTS):
         near, far = part * BEFORE // PARTS, (part + 1) * BEFORE // PARTS
@@ -137,13 +143,13 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
         first, last = np.where(inside, place - near, 0), np.where(inside, place + LEAST - far, 0)
         core = (mix((prefix[last] - prefix[first]) * inverse[first]) >> np.uint64(32)) | np.uint64(1)
         cores[:, part] = np.where(inside, core, np.uint64(0))
-    return place, gram[place], context, cores, place - low, high - place
+    return place, gram[place], context, check, cores, place - low, high - place
 
 
 def text_anchors(none: list[int], ids: list[int], texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """gram, context, none, id, place, cores, before, after of the anchors; long texts go piece by piece, with overlap.
+    """gram, context, check, none, id, place, cores, before, after of the anchors; long texts go piece by piece.
 
-    ``none`` is 1 for rows without an id, whose ``id`` is a hash of their text.
+    Pieces overlap. ``none`` is 1 for rows without an id, whose ``id`` is a hash of their text.
     """
     found: list[tuple[np.ndarray, ...]] = []
     batch: list[tuple[int, int, bytes, int, int, int]] = []
@@ -153,7 +159,7 @@ def text_anchors(none: list[int], ids: list[int], texts: list[bytes]) -> tuple[n
         data = np.frombuffer(b"".join(b[2] for b in batch), np.uint8)
         first = np.cumsum(lengths) - lengths
         starts, ends = np.repeat(first, lengths), np.repeat(first + lengths, lengths)
-        place, gram, context, cores, before, after = anchors(data, starts, ends)
+        place, gram, context, check, cores, before, after = anchors(data, starts, ends)
         owner = np.searchsorted(first, place, side="right") - 1
         at = place - first[owner] + np.array([b[1] for b in batch])[owner]
         # a piece of a long text is only trusted where all windows of an anchor lie within it
@@ -161,7 +167,7 @@ def text_anchors(none: list[int], ids: list[int], texts: list[bytes]) -> tuple[n
         inside = (at >= low) & (at < high)
         sides = before.astype(np.uint8), after.astype(np.uint8)
         whose = np.array([b[5] for b in batch], np.int8)[owner], np.array([b[0] for b in batch], np.int64)[owner]
-        found.append(tuple(x[inside] for x in (gram, context, *whose, at, cores, *sides)))
+        found.append(tuple(x[inside] for x in (gram, context, check, *whose, at, cores, *sides)))
 
     held = 0
     for no_id, number, text in zip(none, ids, texts):
@@ -176,17 +182,17 @@ def text_anchors(none: list[int], ids: list[int], texts: list[bytes]) -> tuple[n
             held += high - low
     if batch:
         flush()
-    empty = [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int8)] + [np.zeros(0, np.int64)] * 2
+    empty = [np.zeros(0, np.uint64)] * 3 + [np.zeros(0, np.int8)] + [np.zeros(0, np.int64)] * 2
     empty += [np.zeros((0, PARTS), np.uint32)]
     empty += [np.zeros(0, np.uint8)] * 2
     return tuple(np.concatenate([e, *(f[i] for f in found)]) for i, e in enumerate(empty))
 
 
-def collapse(gram, context, none, doc, place) -> tuple[np.ndarray, np.ndarray]:
-    """Rows in order of (gram, context, none, doc, place) without repeats, and which are the first of their context."""
-    order = np.lexsort((place, doc, none, context, gram))
-    g, c, n, d, p = gram[order], context[order], none[order], doc[order], place[order]
-    same = (g[1:] == g[:-1]) & (c[1:] == c[:-1])
+def collapse(keys, none, doc, place) -> tuple[np.ndarray, np.ndarray]:
+    """Rows in order of (keys, none, doc, place) without repeats, and which are the first of their keys."""
+    order = np.lexsort((place, doc, none, *reversed(keys)))
+    n, d, p = none[order], doc[order], place[order]
+    same = np.logical_and.reduce([k[order[1:]] == k[order[:-1]] for k in keys])
     first = np.append(True, ~same)
     repeat = np.append(False, same & (n[1:] == n[:-1]) & (d[1:] == d[:-1]) & (p[1:] == p[:-1]))
     return order[~repeat], first[~repeat]
@@ -218,21 +224,27 @@ def covered(none, doc, place, before, after) -> list[np.ndarray]:
     return list(united(none, doc, place - before, place + after))
 
 
+def by_owner(owner: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each number that occurs, by number: work goes by what is there, not by how many buckets there are."""
+    order = np.argsort(owner, kind="stable")
+    if len(order):
+        starts = np.flatnonzero(np.append(True, owner[order[1:]] != owner[order[:-1]]))
+        for some in np.split(order, starts[1:]):
+            yield int(owner[some[0]]), some
+
+
 def _task_rows(parts: list[tuple[np.ndarray, ...]], buckets: int) -> Iterator[pa.RecordBatch]:
     columns = [np.concatenate(p) for p in zip(*parts)]
-    order, first = collapse(*columns[:5])
-    spans = covered(*(c[order[~first]] for c in (*columns[2:5], *columns[6:8])))
-    gram, context, none, doc, place, cores, before, after = (c[order[first]] for c in columns)
+    order, first = collapse(columns[:3], *columns[3:6])
+    spans = covered(*(c[order[~first]] for c in (*columns[3:6], *columns[7:9])))
+    gram, context, check, none, doc, place, cores, before, after = (c[order[first]] for c in columns)
     # anchors are minima, so their hashes are small: buckets go by another hash
     owner = (mix(gram * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[order], np.arange(buckets + 1))
     rows = []
-    for bucket, s in enumerate(order[a:b] for a, b in zip(cuts[:-1], cuts[1:])):
-        if len(s):
-            deltas = np.diff(gram[s], prepend=np.uint64(0))
-            rest = [place[s].astype(np.int32), cores[s].ravel(), before[s], after[s]]
-            rows.append(("anchor", bucket, [deltas, context[s], none[s], doc[s], *rest]))
+    for bucket, s in by_owner(owner):
+        deltas = np.diff(gram[s], prepend=np.uint64(0))
+        rest = [place[s].astype(np.int32), cores[s].ravel(), before[s], after[s]]
+        rows.append(("anchor", bucket, [deltas, context[s], check[s], none[s], doc[s], *rest]))
     if len(spans[0]):
         rows.append(("span", int(spans[1][0]) % buckets, spans))
     yield from _rows(rows).to_batches()
@@ -286,8 +298,10 @@ def meet(table: pa.Table, hot: int = HOT) -> pa.Table:
     parts = [[unpacked(a) for a in r["arrays"]] for r in rows if r["kind"] == "anchor"]
     if parts:
         gram = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
-        context, none, doc, place, cores, before, after = (np.concatenate([p[i] for p in parts]) for i in range(1, 8))
-        order, first = collapse(gram, context, none, doc, place)
+        context, check, none, doc, place, cores, before, after = (
+            np.concatenate([p[i] for p in parts]) for i in range(1, 9)
+        )
+        order, first = collapse((gram, context, check), none, doc, place)
         later, once = order[~first], order[first]
         if len(later):
             out.append(("span", bucket, covered(none[later], doc[later], place[later], before[later], after[later])))
@@ -341,16 +355,10 @@ def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _string_rows(parts: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
     hashes = np.frombuffer(b"".join(p[0] for p in parts), "<u8").reshape(-1, 2)
     columns = [hashes[:, 0], hashes[:, 1], *(np.concatenate([p[i] for p in parts]) for i in range(1, 4))]
-    order, first = collapse(*columns)
+    order, first = collapse(columns[:2], *columns[2:])
     once = [c[order[first]] for c in columns]
     owner = (once[0] % np.uint64(buckets)).astype(np.int64)
-    order_of = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[order_of], np.arange(buckets + 1))
-    rows = [
-        ("string", bucket, [c[order_of[a:b]] for c in once])
-        for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))
-        if b > a
-    ]
+    rows = [("string", bucket, [c[some] for c in once]) for bucket, some in by_owner(owner)]
     spans = string_spans(*(c[order[~first]] for c in columns[2:]))
     if len(spans[0]):
         rows.append(("span", int(spans[1][0]) % buckets, spans))
@@ -394,7 +402,7 @@ def meet_strings(table: pa.Table) -> pa.Table:
     parts = [arrays for kind, arrays in rows if kind == "string"]
     if parts:
         columns = [np.concatenate(c) for c in zip(*parts)]
-        order, first = collapse(*columns)
+        order, first = collapse(columns[:2], *columns[2:])
         found.append(string_spans(*(c[order[~first]] for c in columns[2:])))
     columns = united(*(np.concatenate(c) for c in zip(*found)))
     return pa.table([pa.array(c) for c in columns], names=["no_id", "doc_id", "start", "end"])

@@ -140,3 +140,20 @@ def test_edges_of_a_passage_that_many_share_do_not_meet_in_one_bucket():
     sent = np.concatenate([np.stack([sd.unpacked(a) for a in r["arrays"]][:2], 1) for r in dealt if r["kind"] == "string"])
     assert len(np.unique(sent, axis=0)) == len(sent)  # one entry for each string of a task
     assert {r["bucket"] for r in dealt if r["kind"] == "string"} == {0, 1, 2, 3}
+
+
+def test_contexts_are_equal_only_if_both_hashes_are():
+    keys = [np.array([7, 7, 7], np.uint64), np.array([9, 9, 9], np.uint64), np.array([1, 2, 1], np.uint64)]
+    order, first = sd.collapse(keys, np.zeros(3, np.int8), np.array([5, 6, 4]), np.zeros(3, np.int64))
+    assert order.tolist() == [2, 0, 1] and first.tolist() == [True, False, True]
+
+
+def test_rows_of_a_task_go_by_its_anchors_not_by_the_buckets():
+    text = "".join(random.Random(5).choices("abcdefgh ", k=40_000)).encode()
+    parts = [sd.text_anchors([0], [1], [text])]
+    anchors, sizes = len(parts[0][0]), []
+    for buckets in (40, 10**9):
+        rows = [r for b in sd._task_rows(parts, buckets) for r in b.to_pylist()]
+        assert sum(len(sd.unpacked(r["arrays"][2])) for r in rows if r["kind"] == "anchor") == anchors
+        sizes.append(len(rows))
+    assert sizes[0] <= 40 and sizes[1] <= anchors

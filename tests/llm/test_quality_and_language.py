@@ -167,4 +167,17 @@ def test_one_row_per_label_is_learnt_from(spark, monkeypatch):
         kept = getattr(quality, name)
         monkeypatch.setattr(quality, name, lambda *a, kept=kept: (seen.append(len(a[-1])), kept(*a))[1])
     assert quality.learn(quality.count_rules(docs), labels) is not None
-    assert sum(seen) <= 40 and len(seen) == 2
+    assert seen == [40, 40]
+
+
+def test_rows_are_scored_by_trees_that_have_not_seen_them():
+    pick = np.random.default_rng(3)
+    rows, bad = pick.normal(size=(400, len(quality.RULES))), np.arange(400) < 20
+    forest = quality.grow(rows, bad, trees=30)
+    own = forest.score(rows, grown=True)
+    for row in (0, 200):
+        unseen = [t for t in range(30) if row not in forest.grown_on[t]]
+        part = quality.Forest(forest.column[unseen], forest.value[unseen], forest.depth, forest.scale)
+        assert own[row] == pytest.approx(part.score(rows[row : row + 1])[0])
+    few = quality.grow(rows[:3], bad[:3], trees=5)
+    assert (few.score(rows[:3], grown=True) == few.score(rows[:3])).all()

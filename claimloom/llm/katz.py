@@ -18,9 +18,11 @@ sums to one exactly. A context whose seen words would leave nothing gives up
 half a count (s(h) < 1). All words never seen in training are one word.
 
 What moves between tasks is distinct n-grams per block, delta-coded, not
-tokens. Contexts with over 1/``HOT_PARTS`` of all tokens are dealt to many
-buckets by the following word as well; there are at most ``HOT_PARTS`` of them,
-so their totals are summed by Spark and handed to the tasks.
+tokens. A context that alone would fill a good part of a bucket is dealt to
+several by a hash of the following word, in as many parts as its count asks
+for. A block knows that count from the answers to the level before, so no list
+of such contexts is kept anywhere; what the parts of a context amount to is
+summed by Spark and joined to the blocks that met the context.
 
 Defined results
 ---------------
@@ -42,10 +44,11 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from claimloom.llm.common import frees_memory, release_memory, slices, stored, texts_of
+from claimloom.operators.lookup import lookup
 
 #: Words of context plus one.
 ORDER = 2
@@ -53,12 +56,13 @@ ORDER = 2
 CUT = 5
 #: Tokens of a block, and tokens that a bucket is meant to answer for.
 BLOCK_TOKENS, BUCKET_TOKENS = 1_500_000, 2_000_000
-#: A context with over one in so many tokens is dealt to buckets by its next word too.
-HOT_PARTS, HOT_BUCKETS = 1000, 64
+#: A context is dealt to buckets in parts of at most one in so many of a bucket's tokens.
+CONTEXT_SHARE = 4
 END, START, UNKNOWN = b"", -2, -1
 BLOCKS = "block long, doc_ids array<long>, held array<boolean>, lengths array<int>, words binary, tokens binary"
 #: ``kind``: ``ask`` to a bucket, ``answer`` to a block, ``model`` (a bucket's part of the tables); with
-#: numbers instead of arrays ``sums``, ``frequent`` (id, count) and ``hot`` (context, its totals).
+#: numbers instead of arrays ``sums``, ``split`` (a context dealt to several buckets, one bucket's share of its
+#: totals), ``wants`` (such contexts of a block) and ``totals`` (these with their totals, to a block).
 PARTS = "kind string, level int, bucket int, block long, arrays array<binary>, numbers array<double>"
 SUMS = ["tokens", "types", *(f"n{r}" for r in range(1, CUT + 2))]
 
@@ -118,7 +122,7 @@ def words_of(text: str) -> list[bytes]:
 
 
 @frees_memory
-def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def make_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
         [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))]
         + [("lengths", pa.list_(pa.int32())), ("words", pa.binary()), ("tokens", pa.binary())]
@@ -144,7 +148,7 @@ def make_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 docs.append(doc_id)
                 held.append(is_held)
                 size += len(known)
-                if size >= BLOCK_TOKENS:
+                if size >= most:
                     yield block()
                     numbers, docs, held, tokens, size = {END: 0}, [], [], [], 0
     if docs:
@@ -160,7 +164,8 @@ class Block:
         self.tokens = unpacked(row["tokens"]).astype(np.int64)
         self.words = zstandard.ZstdDecompressor().decompress(row["words"]).split(b" ")
         self.learnt = np.repeat(~self.held, self.lengths)
-        self.answers = {(a["level"], a["bucket"]): a["arrays"] for a in answers}
+        self.answers = {(a["level"], a["bucket"]): a["arrays"] for a in answers if a["kind"] == "answer"}
+        self.split = {a["level"]: Totals.of_numbers(a["numbers"]) for a in answers if a["kind"] == "totals"}
         self.model = model
 
     def asked_words(self) -> list[np.ndarray]:
@@ -189,51 +194,59 @@ class Block:
         chance = self.model.unigram(counts)
         return ids[self.tokens], counts[self.tokens], chance[self.tokens]
 
-    def first_contexts(self, ids: np.ndarray) -> np.ndarray:
-        """The word before each token, START for a document's first."""
-        before = np.empty_like(ids)
-        before[1:] = ids[:-1]
-        before[np.cumsum(self.lengths) - self.lengths] = START
-        return before
+    def before(self, values: np.ndarray, first: int) -> np.ndarray:
+        """The value of the token before each token, ``first`` for a document's first."""
+        shifted = np.empty_like(values)
+        shifted[1:] = values[:-1]
+        shifted[np.cumsum(self.lengths) - self.lengths] = first
+        return shifted
 
-    def pairs(self, level: int, contexts: np.ndarray, ids: np.ndarray) -> Pairs:
-        return Pairs(contexts, ids, self.model.buckets, self.model.hot(level))
+    def pairs(self, contexts: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> Pairs:
+        return Pairs(contexts, ids, 1 + sizes // self.model.context_tokens, self.model.buckets)
 
-    def evaluate(self, upto: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: word number, count, probability of order ``upto``, and context number for the next order."""
+    def evaluate(self, upto: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per token: word number, count, probability of order ``upto``, context of the next order and its count."""
         ids, counts, chance = self.level_one()
-        contexts = self.first_contexts(ids)
+        # every document starts once and ends once, so START occurs as often as the end token
+        starts = counts[self.lengths[0] - 1]
+        contexts, sizes = self.before(ids, START), self.before(counts, starts)
         for level in range(2, upto + 1):
-            asked = self.pairs(level, contexts, ids)
+            asked = self.pairs(contexts, sizes, ids)
             seen, grams, weights = asked.answers(self.answers, level)
-            totals = asked.totals(weights, self.model.hot(level))
+            totals = asked.totals(weights, self.split.get(level, NO_TOTALS))
             chance = self.model.backoff(level, seen, totals, chance, asked)
-            shifted = np.full(len(ids), UNKNOWN)
-            shifted[1:] = asked.of_tokens(grams)[:-1]
-            shifted[np.cumsum(self.lengths) - self.lengths] = START
-            contexts = shifted
-        return ids, counts, chance, contexts
+            contexts = self.before(asked.of_tokens(grams, UNKNOWN), START)
+            sizes = self.before(asked.of_tokens(seen, 0), starts)
+        return ids, counts, chance, contexts, sizes
 
     def ask_pairs(self, level: int) -> list[dict]:
-        ids, _, chance, contexts = self.evaluate(level - 1)
-        asked = self.pairs(level, contexts, ids)
+        ids, _, chance, contexts, sizes = self.evaluate(level - 1)
+        asked = self.pairs(contexts, sizes, ids)
         counts = np.bincount(asked.inverse[self.learnt[asked.known]], minlength=len(asked.word))
         lower = np.zeros(len(asked.word))
         lower[asked.inverse] = chance[asked.known]
-        return [
+        out = [
             part("ask", level, bucket, self.number, asked.packed(some, counts, lower))
             for bucket, some in enumerate(asked.by_bucket)
             if len(some)
         ]
+        split = np.flatnonzero(asked.parts > 1)
+        if len(split):
+            # by way of any bucket that this block asks, another one for each block
+            bucket = int(asked.owner[split[self.number % len(split)]])
+            wanted = np.unique(asked.context[split]).astype(float).tolist()
+            out.append(part("wants", level, bucket, self.number, None) | {"numbers": wanted})
+        return out
 
 
 class Pairs:
     """Distinct (context, word) pairs of a block, in order, and the bucket of each.
 
     Tokens with an unknown context have no pair: nothing follows it in training.
+    ``parts`` tells of each token into how many parts its context is dealt.
     """
 
-    def __init__(self, contexts: np.ndarray, words: np.ndarray, buckets: int, hot: Totals):
+    def __init__(self, contexts: np.ndarray, words: np.ndarray, parts: np.ndarray, buckets: int):
         self.known = np.flatnonzero(contexts != UNKNOWN)
         self.size = len(contexts)
         order = np.lexsort((words[self.known], contexts[self.known]))
@@ -243,10 +256,11 @@ class Pairs:
         self.inverse = np.empty(len(order), np.int64)
         self.inverse[order] = np.cumsum(new) - 1
         self.context, self.word = context[new], word[new]
-        spread = np.where(np.isin(self.context, hot.contexts), self.word % HOT_BUCKETS, 0)
-        owner = (mixed(self.context + spread * 7919) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(owner, kind="stable")
-        self.by_bucket = np.split(order, np.searchsorted(owner[order], np.arange(1, buckets)))
+        self.parts = parts[self.known][order][new]
+        spread = mixed(self.word) % self.parts.astype(np.uint64)
+        self.owner = (mixed(mixed(self.context) + spread) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(self.owner, kind="stable")
+        self.by_bucket = np.split(order, np.searchsorted(self.owner[order], np.arange(1, buckets)))
 
     def runs(self, some: np.ndarray) -> np.ndarray:
         """Where a new context starts among sorted pairs."""
@@ -267,6 +281,7 @@ class Pairs:
         return [
             packed(np.diff(self.context[some][starts], prepend=0)),
             packed(np.diff(np.append(starts, len(some)))),
+            packed(self.parts[some][starts] > 1),
             packed(entry),
             packed(counts[some].astype(np.uint32)),
             packed(np.diff(word[listed], prepend=0)),
@@ -283,17 +298,17 @@ class Pairs:
                 weights.append((self.context[some][self.runs(some)], totals))
         return counts, grams, weights
 
-    def totals(self, weights: list, hot: Totals) -> Totals:
-        """What the backoff weights of this block's contexts are made of; hot contexts have theirs from ``hot``."""
+    def totals(self, weights: list, split: Totals) -> Totals:
+        """What the backoff weights of this block's contexts are made of; those dealt to several buckets have it from ``split``."""
         contexts = np.concatenate([c for c, _ in weights]) if weights else np.zeros(0, np.int64)
         tables = [np.stack([t.astype(float) for t in totals], 1) for _, totals in weights]
         table = np.concatenate([np.zeros((0, CUT + 2)), *tables])
-        cold = ~np.isin(contexts, hot.contexts)
-        return Totals(np.append(contexts[cold], hot.contexts), np.concatenate([table[cold], hot.table]))
+        whole = ~np.isin(contexts, split.contexts)
+        return Totals(np.append(contexts[whole], split.contexts), np.concatenate([table[whole], split.table]))
 
-    def of_tokens(self, values: np.ndarray) -> np.ndarray:
-        """Values of pairs at their tokens; UNKNOWN where a token has no pair."""
-        out = np.full(self.size, UNKNOWN)
+    def of_tokens(self, values: np.ndarray, other: int) -> np.ndarray:
+        """Values of pairs at their tokens; ``other`` where a token has no pair."""
+        out = np.full(self.size, other)
         out[self.known] = values[self.inverse]
         return out
 
@@ -305,8 +320,11 @@ class Totals:
         order = np.argsort(contexts)
         self.contexts, self.table = contexts[order], table[order]
 
-    def of(self, contexts: np.ndarray) -> np.ndarray:
-        return self.table[np.searchsorted(self.contexts, contexts)]
+    @classmethod
+    def of_numbers(cls, numbers: list[float]) -> Totals:
+        """From a context and its totals, one after the other."""
+        table = np.array(numbers, float).reshape(-1, CUT + 3)
+        return cls(table[:, 0].astype(np.int64), table[:, 1:])
 
 
 NO_TOTALS = Totals(np.zeros(0, np.int64), np.zeros((0, CUT + 2)))
@@ -331,9 +349,7 @@ def answer_words(table: pa.Table, buckets: int) -> pa.Table:
     number = {w: bucket + buckets * i for i, w in enumerate(seen)}
     counts = np.array([total[w] for w in seen], np.int64)
     model = [zstandard.ZstdCompressor(level=1).compress(b" ".join(seen)), packed(counts)]
-    ids = np.array([number[w] for w in seen], np.int64)
     out = [part("model", 1, bucket, None, model), *figures("sums", 1, bucket, summed(counts)[None])]
-    out += figures("frequent", 1, bucket, most_frequent(ids, counts))
     for block, words, _ in asked:
         arrays = [np.array([number.get(w, UNKNOWN) for w in words]), np.array([total[w] for w in words])]
         out.append(part("answer", 1, bucket, block, [packed(a) for a in arrays]))
@@ -345,44 +361,37 @@ def summed(counts: np.ndarray) -> np.ndarray:
     return np.array([counts.sum(), len(counts), *((counts == r).sum() for r in range(1, CUT + 2))], np.int64)
 
 
-def most_frequent(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """(id, count) of the HOT_PARTS most frequent n-grams of a bucket: no more can be hot."""
-    top = np.argsort(-counts, kind="stable")[:HOT_PARTS]
-    return np.stack([ids[top], counts[top]], 1)
-
-
-def answer_pairs(table: pa.Table, level: int, buckets: int, hot: np.ndarray, last: bool) -> pa.Table:
+def answer_pairs(table: pa.Table, level: int, buckets: int, last: bool) -> pa.Table:
     """Merge the pairs asked of one bucket, store its part of the model, and answer each block."""
     rows = table.to_pylist()
     bucket, asked = rows[0]["bucket"], []
-    for row in rows:
-        context, runs, entry, count, words, values, which = map(unpacked, row["arrays"])
+    for row in (r for r in rows if r["kind"] == "ask"):
+        context, runs, split, entry, count, words, values, which = map(unpacked, row["arrays"])
         context, word, lower = np.repeat(np.cumsum(context), runs), np.cumsum(words)[entry], values[which][entry]
-        asked.append((row["block"], context, word, count.astype(np.int64), lower))
-    context, word, count, lower = (np.concatenate([a[i] for a in asked]) for i in range(1, 5))
+        asked.append((row["block"], context, word, count.astype(np.int64), lower, np.repeat(split, runs)))
+    context, word, count, lower, split = (np.concatenate([a[i] for a in asked]) for i in range(1, 6))
     order = np.lexsort((word, context))
     new = np.ones(len(order), bool)
     new[1:] = (np.diff(context[order]) != 0) | (np.diff(word[order]) != 0)
     starts = np.flatnonzero(new)
     back = np.empty(len(order), np.int64)
     back[order] = np.cumsum(new) - 1
-    context, word, lower = context[order][starts], word[order][starts], lower[order][starts]
+    context, word, lower, split = (v[order][starts] for v in (context, word, lower, split))
     count = np.add.reduceat(count[order], starts)
     seen = count > 0
     grams = np.where(seen, bucket + buckets * (np.cumsum(seen) - 1), UNKNOWN)
     runs = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
     columns = [count, *((count == r) for r in range(1, CUT + 1)), np.where(seen, lower, 0.0)]
     totals = [np.add.reduceat(c.astype(float if c.dtype == float else np.int64), runs) for c in columns]
-    own = np.isin(context[runs], hot)
-    hot_rows = np.stack([context[runs][own], *(t[own] for t in totals)], 1)
+    own = split[runs]
+    shares = np.stack([context[runs][own], *(t[own] for t in totals)], 1)
     model = [packed(np.diff(context[seen], prepend=0)), packed(word[seen]), packed(count[seen])]
     out = [
         part("model", level, bucket, None, model),
         *figures("sums", level, bucket, summed(count[seen])[None]),
-        *figures("hot", level, bucket, hot_rows),
+        *figures("split", level, bucket, shares),
+        *(row for row in rows if row["kind"] == "wants"),
     ]
-    if not last:
-        out += figures("frequent", level, bucket, most_frequent(grams[seen], count[seen]))
     start = 0
     for block, asked_context, *_ in asked:
         at = back[start : start + len(asked_context)]
@@ -398,18 +407,10 @@ def answer_pairs(table: pa.Table, level: int, buckets: int, hot: np.ndarray, las
 
 
 class Model:
-    """Count-of-counts of each level, number of buckets, and the totals of hot contexts."""
-
-    def __init__(self, buckets: int):
-        self.buckets, self.sums, self.frequent, self.totals = buckets, {}, {}, {}
+    """Count-of-counts of each level, numbers of blocks and buckets, and the tokens of a context's part."""
 
-    def hot(self, level: int) -> Totals:
-        """Totals of the hot contexts of a level; without values until they are known."""
-        known = self.totals.get(level)
-        if known is None:
-            contexts = self.frequent.get(level - 1, np.zeros(0, np.int64))
-            known = Totals(contexts, np.zeros((len(contexts), CUT + 2)))
-        return known
+    def __init__(self, blocks: int, buckets: int, context_tokens: int):
+        self.blocks, self.buckets, self.context_tokens, self.sums = blocks, buckets, context_tokens, {}
 
     def discounts(self, level: int) -> np.ndarray:
         """d_r for r from 0 to CUT (0 is not used)."""
@@ -461,13 +462,13 @@ class Model:
 # --- frames ------------------------------------------------------------------
 
 
-def blocks_of(docs: DataFrame, held: F.Column) -> DataFrame:
+def blocks_of(docs: DataFrame, held: F.Column, block_tokens: int) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.coalesce(held, F.lit(False)).alias("held"),
     )
-    return stored(rows.mapInArrow(make_blocks, BLOCKS), "katz-blocks")
+    return stored(rows.mapInArrow(partial(make_blocks, most=block_tokens), BLOCKS), "katz-blocks")
 
 
 @frees_memory
@@ -477,59 +478,69 @@ def _ask_words(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
             yield from parts_table(Block(row, [], model).ask_words()).to_batches()
 
 
-def summed_numbers(size: int) -> list:
-    return [F.sum(F.col("numbers")[i]).alias(f"s{i}") for i in range(size)]
-
-
 def collect_sums(parts: DataFrame, level: int, model: Model) -> None:
-    """Bring what all blocks need to the driver: SUMS, and at most HOT_PARTS contexts of the next level."""
-    rows = parts.where(F.col("level") == level)
-    sums = rows.where("kind = 'sums'").agg(*summed_numbers(len(SUMS))).first()
+    """Bring SUMS, which all blocks need, to the driver."""
+    sums = parts.where("kind = 'sums'").agg(*[F.sum(F.col("numbers")[i]).alias(s) for i, s in enumerate(SUMS)]).first()
     model.sums[level] = np.array([int(v or 0) for v in sums], np.int64)
-    limit = float(model.sums[1][0]) / HOT_PARTS
-    hot = rows.where("kind = 'frequent'").where(F.col("numbers")[1] > limit).select(F.col("numbers")[0])
-    model.frequent[level] = np.array(sorted({START, *(int(r[0]) for r in hot.collect())}), np.int64)
 
 
-def collect_hot(parts: DataFrame, level: int, model: Model) -> None:
-    """Totals of the hot contexts, summed over the buckets they are dealt to."""
-    rows = parts.where((F.col("level") == level) & (F.col("kind") == "hot"))
-    summed = rows.groupBy(F.col("numbers")[0].alias("context")).agg(*summed_numbers(CUT + 3)).collect()
-    contexts = model.frequent[level - 1]
-    table = np.zeros((len(contexts), CUT + 2))
-    for row in summed:
-        table[np.searchsorted(contexts, int(row["context"]))] = row[2:]
-    model.totals[level] = Totals(contexts, table)
+def split_totals(parts: DataFrame, level: int) -> DataFrame:
+    """To each block the totals of those of its contexts that are dealt to several buckets, as one row.
 
-
-def with_answers(blocks: DataFrame, parts: DataFrame, work, schema: str) -> DataFrame:
-    """Run ``work`` on each block with the answers it got."""
-    answers = parts.where("kind = 'answer'")
-    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(work, schema)
-
-
-def learn(docs: DataFrame, held, order: int = ORDER) -> tuple[DataFrame, DataFrame, Model]:
+    Such a row has at most as many contexts as the block has tokens. A context may be wanted by all blocks, so
+    the join is one that survives hot keys.
+    """
+    names = [f"v{i}" for i in range(1, CUT + 3)]
+    values = [F.sum(F.col("numbers")[i]).alias(name) for i, name in enumerate(names, 1)]
+    shares = parts.where("kind = 'split'").groupBy(F.col("numbers")[0].alias("context")).agg(*values)
+    wants = parts.where("kind = 'wants'").select("block", F.explode("numbers").alias("context"))
+    found = lookup(wants, stored(shares, f"katz-split-{level}"), "context", ["block"], "inner")
+    rows = found.groupBy("block").agg(F.flatten(F.collect_list(F.array("context", *names))).alias("numbers"))
+    empty = F.lit(None).cast("array<binary>")
+    return rows.select(
+        F.lit("totals").alias("kind"), F.lit(level).alias("level"), F.lit(0).alias("bucket"),
+        "block", empty.alias("arrays"), "numbers",
+    )
+
+
+def with_answers(blocks: DataFrame, parts: DataFrame, model: Model, work, schema: str) -> DataFrame:
+    """Run ``work`` on each block with the answers it got, in as many tasks as there are blocks."""
+    answers = parts.where("kind in ('answer', 'totals')").repartition(model.blocks, "block")
+    own = blocks.repartition(model.blocks, "block")
+    return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(work, schema)
+
+
+def learn(
+    docs: DataFrame, held, order: int = ORDER, block_tokens: int = BLOCK_TOKENS, bucket_tokens: int = BUCKET_TOKENS
+) -> tuple[DataFrame, DataFrame, Model]:
     """Stored blocks, stored parts (the model's tables and the answers), and the global numbers."""
-    blocks = blocks_of(docs, held)
-    tokens = blocks.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0] or 0
-    model = Model(int(max(8, tokens // BUCKET_TOKENS)))
-    buckets = model.buckets
+    blocks = blocks_of(docs, held, block_tokens)
+    size = F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))
+    tokens, count = blocks.select(size, F.count(F.lit(1))).first()
+    buckets = int(max(8, (tokens or 0) // bucket_tokens))
+    model = Model(max(1, count), buckets, max(1, bucket_tokens // CONTEXT_SHARE))
 
     def words(table: pa.Table) -> pa.Table:
         release_memory()
         return answer_words(table, buckets)
 
     asked = blocks.mapInArrow(partial(_ask_words, model=model), PARTS)
-    parts = stored(asked.groupBy("bucket").applyInArrow(words, PARTS), "katz-1")
+    parts = stored(by_bucket(asked, model).applyInArrow(words, PARTS), "katz-1")
     collect_sums(parts, 1, model)
     for level in range(2, order + 1):
-        parts = parts.unionByName(_level(blocks, parts, model, level, level == order))
-        collect_hot(parts, level, model)
+        found = _level(blocks, parts, model, level, level == order)
+        collect_sums(found, level, model)
+        parts = parts.unionByName(found).unionByName(stored(split_totals(found, level), f"katz-totals-{level}"))
     return blocks, parts, model
 
 
+def by_bucket(asked: DataFrame, model: Model) -> GroupedData:
+    """What is asked of each bucket, in as many tasks as there are buckets."""
+    return asked.repartition(model.buckets, "bucket").groupBy("bucket")
+
+
 def _level(blocks: DataFrame, parts: DataFrame, model: Model, level: int, last: bool) -> DataFrame:
-    buckets, hot = model.buckets, model.hot(level).contexts
+    buckets = model.buckets
 
     def ask(left: pa.Table, right: pa.Table) -> pa.Table:
         release_memory()
@@ -538,27 +549,27 @@ def _level(blocks: DataFrame, parts: DataFrame, model: Model, level: int, last:
 
     def answer(table: pa.Table) -> pa.Table:
         release_memory()
-        return answer_pairs(table, level, buckets, hot, last)
+        return answer_pairs(table, level, buckets, last)
 
-    asked = with_answers(blocks, parts, ask, PARTS)
-    found = stored(asked.groupBy("bucket").applyInArrow(answer, PARTS), f"katz-{level}")
-    collect_sums(found, level, model)
-    return found
+    asked = with_answers(blocks, parts, model, ask, PARTS)
+    return stored(by_bucket(asked, model).applyInArrow(answer, PARTS), f"katz-{level}")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def score(docs: DataFrame, held, order: int = ORDER) -> DataFrame:
+def score(
+    docs: DataFrame, held, order: int = ORDER, block_tokens: int = BLOCK_TOKENS, bucket_tokens: int = BUCKET_TOKENS
+) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    blocks, parts, model = learn(docs, held, order)
+    blocks, parts, model = learn(docs, held, order, block_tokens, bucket_tokens)
 
     def scored(left: pa.Table, right: pa.Table) -> pa.Table:
         release_memory()
         tables = [score_block(Block(row, right.to_pylist(), model), order) for row in left.to_pylist()]
         return pa.concat_tables(tables) if tables else score_schema().empty_table()
 
-    return with_answers(blocks, parts, scored, SCORES)
+    return with_answers(blocks, parts, model, scored, SCORES)
 
 
 def score_schema() -> pa.Schema:
@@ -567,7 +578,7 @@ def score_schema() -> pa.Schema:
 
 
 def score_block(block: Block, order: int) -> pa.Table:
-    _, counts, chance, _ = block.evaluate(order)
+    _, counts, chance, _, _ = block.evaluate(order)
     starts = np.cumsum(block.lengths) - block.lengths
     train, types = int(block.model.sums[1][0]), int(block.model.sums[1][1])
     base = np.log10((counts + 1) / (train + types + 1))

@@ -93,12 +93,11 @@ def plain_scores(docs, order):
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])
-@pytest.mark.parametrize("block_tokens", [1_500_000, 50])
-def test_scores(spark, monkeypatch, block_tokens, order):
-    monkeypatch.setattr(katz, "BLOCK_TOKENS", block_tokens)
+@pytest.mark.parametrize("block_tokens, bucket_tokens", [(1_500_000, 2_000_000), (50, 2_000_000), (50, 40), (200, 4)])
+def test_scores(spark, block_tokens, bucket_tokens, order):
     docs = spark.createDataFrame([(d, t, "x", 1) for d, t in DOCS], "doc_id long, text string, held string, block int")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
-    found = {r["doc_id"]: tuple(r) for r in katz.score(docs.repartition(3), held, order).collect()}
+    found = {r["doc_id"]: tuple(r) for r in katz.score(docs.repartition(3), held, order, block_tokens, bucket_tokens).collect()}
     assert len(found) == len(DOCS)
     for expected in plain_scores(DOCS, order):
         row = found[expected[0]]
@@ -115,3 +114,24 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
     rows = {r["doc_id"]: r for r in katz.score(docs, F.lit(True)).collect()}
     assert rows[1]["score"] == 0.0 and rows[1]["n_known"] == 0 and rows[1]["train_tokens"] == 0
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_one_context_in_a_third_of_all_tokens(spark, order):
+    words = [" ".join(f"the w{n}x{i} of" for i in range(100)) for n in range(100)]
+    docs = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string").repartition(4)
+    _, parts, model = katz.learn(docs, F.lit(False), order, block_tokens=3_000, bucket_tokens=500)
+    assert model.buckets == 60 and model.context_tokens == 125
+    for level in range(2, order + 1):
+        rows = parts.where((F.col("kind") == "model") & (F.col("level") == level)).collect()
+        sizes = [len(katz.unpacked(r["arrays"][1])) for r in rows]
+        assert sum(sizes) > 20_000 and max(sizes) < 1_500
+        asked = parts.where((F.col("kind") == "answer") & (F.col("level") == level)).groupBy("bucket").count().collect()
+        assert len(asked) == model.buckets
+    split = parts.where("kind = 'split' and level = 2").select(F.col("numbers")[0].alias("context"), "bucket")
+    spread = {r["context"]: r["n"] for r in split.groupBy("context").agg(F.count_distinct("bucket").alias("n")).collect()}
+    # 10,000 different words follow "the"; "of" has the same count, but only "the" and the end follow it
+    assert len(spread) == 2 and max(spread.values()) > 30 and min(spread.values()) <= 2
+    totals = parts.where("kind = 'totals' and level = 2").collect()
+    known = [katz.Totals.of_numbers(r["numbers"]).table[:, 0] for r in totals]
+    assert len(totals) == model.blocks and all(k.tolist() == [10_000, 10_000] for k in known)

@@ -107,7 +107,7 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written to ZIP-packaged archives and read back by range."""
     written = warc.write_archives(table(spark, sf_dir, "pages"))
-    return warc.read_archives(written).drop("url", "payload")
+    return warc.read_archives(written).drop("url", "payload", "record_id", "refers_to_id")
 
 
 @query

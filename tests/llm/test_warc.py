@@ -128,3 +128,100 @@ def test_broken_packages_are_refused(tmp_path):
 def test_no_pages(spark, tmp_path):
     empty = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(warc.write_archives(empty, str(tmp_path))).collect() == []
+
+
+def foreign(kind, block, record_id="<urn:uuid:1b4e28ba-2fa1-11d2-883f-0016d3cca427>", **more):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id}", "WARC-Date: 2020-01-02T03:04:05Z"]
+    lines += [f"{k.replace('_', '-')}: {v}" for k, v in more.items()] + [f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+HTTP = {"Content_Type": "application/http;msgtype=response"}
+PAGE = b"HTTP/1.1 200 OK\r\nServer: \xe9\r\nContent-Length: 5\r\n\r\nhello"
+CHUNKED = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n3;x=1\r\nhel\r\n2\r\nlo\r\n0\r\n\r\n"
+RECORDS = [
+    foreign("warcinfo", b"software: other\r\n", Content_Type="application/warc-fields"),
+    foreign("response", PAGE, WARC_Target_URI="<http://a.example/>", **HTTP),
+    foreign("request", b"GET / HTTP/1.1\r\nHost: a.example\r\n\r\n", Content_Type="application/http; msgtype=request"),
+    foreign("response", CHUNKED, WARC_Payload_Digest="sha1:" + warc.base32_sha1(b"hello"), **HTTP),
+    foreign("resource", b"", record_id="<urn:page:99999999999999999999>", Content_Type="text/plain"),
+    foreign("revisit", b"", WARC_Refers_To="<urn:uuid:0>", WARC_Payload_Digest="SHA1:ABC"),
+    foreign("metadata", b"x" * 3_000_000, WARC_Payload_Digest="xxh3:00"),
+    foreign("response", PAGE, WARC_Payload_Digest="sha256:wrong", WARC_Truncated="length", **HTTP),
+]
+EXPECTED = [
+    ("warcinfo", b"software: other\r\n"), ("response", b"hello"), ("request", b""), ("response", b"hello"),
+    ("resource", b""), ("revisit", None), ("metadata", b"x" * 3_000_000), ("response", b"hello"),
+]
+
+
+def member(data):
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    return packer.compress(data) + packer.flush()
+
+
+def package(path, archives, index, method=zipfile.ZIP_STORED):
+    with zipfile.ZipFile(path, "w") as out:
+        out.writestr("datapackage.json", "{}", zipfile.ZIP_DEFLATED)
+        for name, data in archives.items():
+            out.writestr(f"archive/{name}", data, method)
+        for name, data in index.items():
+            out.writestr(f"indexes/{name}", data)
+    return str(path)
+
+
+def listed(members, which, file):
+    starts = [sum(map(len, members[:n])) for n in range(len(members))]
+    lines = [f'example,a)/ 20200102030405 {{"offset": "{starts[n]}", "length": {len(members[n])}, "filename": "{file}"}}' for n in which]
+    return "\n".join(["!meta 0 {}", "", *reversed(lines)]).encode()
+
+
+@pytest.mark.parametrize("which", [[], [1, 3], range(8), [7]])
+@pytest.mark.parametrize("form", ["members", "one member", "plain"])
+def test_archives_made_elsewhere(spark, tmp_path, form, which):
+    parts = [member(r) for r in RECORDS] if form == "members" else RECORDS
+    data = member(b"".join(RECORDS)) if form == "one member" else b"".join(parts)
+    file = "rec-1.warc" if form == "plain" else "rec-1.warc.gz"
+    lines = listed(parts, [] if form == "one member" else which, file)
+    index = {"index.cdx.gz": member(lines), "index.idx": b"x"} if form == "members" else {"index.cdxj": lines}
+    path = package(tmp_path / "a.wacz", {file: data, "rec-2.warc": RECORDS[1]}, index if which else {})
+    rows = warc.read_archives(warc.files_of(spark, [path])).collect()
+    found = [(r["record_type"], None if r["payload"] is None else bytes(r["payload"])) for r in rows]
+    assert found == [*EXPECTED, ("response", b"hello")]
+    assert {r["page_id"] for r in rows} == {None} == {r["refers_to"] for r in rows}
+    assert rows[1]["record_id"] == "urn:uuid:1b4e28ba-2fa1-11d2-883f-0016d3cca427" and rows[1]["url"] == "http://a.example/"
+    assert rows[1]["payload_digest"] == rows[3]["payload_digest"] == warc.base32_sha1(b"hello")
+    assert tuple(rows[5])[5:7] == (None, "ABC") and rows[5]["refers_to_id"] == "urn:uuid:0"
+
+
+def test_foreign_packages_that_cannot_be_read_whole(tmp_path):
+    def read(path):
+        with open(path, "rb") as source:
+            return list(warc.records_of(source, source.seek(0, 2)))
+
+    whole = {"r.warc.gz": member(RECORDS[1])}
+    with pytest.raises(ValueError, match="compressed by ZIP"):
+        read(package(tmp_path / "a", whole, {}, zipfile.ZIP_DEFLATED))
+    with pytest.raises(ValueError, match="lacks its stored archive"):
+        read(package(tmp_path / "b", {}, {}))
+    with pytest.raises(ValueError, match="which the package lacks"):
+        read(package(tmp_path / "c", whole, {"index.cdxj": listed(RECORDS, [0], "other.warc.gz")}))
+    for name, data in [("r.warc", RECORDS[1][:-9]), ("r.warc.gz", member(RECORDS[1])[:-9]), ("r.warc", RECORDS[1] + b"WARC/1.0")]:
+        with pytest.raises(ValueError, match="inside a record"):
+            read(package(tmp_path / "d", {name: data}, {}))
+    bad = foreign("response", PAGE, WARC_Payload_Digest="sha256:" + "0" * 64, **HTTP)
+    with pytest.raises(ValueError, match="does not match"):
+        read(package(tmp_path / "e", {"r.warc": bad}, {}))
+
+
+def test_index_lines_and_urls(spark, tmp_path):
+    rows = [(2, "http://B.Example.org/x y?q\u2028", "b"), (1, "http://a.example.org/", "a"), (3, "no url\r\nX: y", "c")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    packages = warc.write_archives(pages, str(tmp_path))
+    path = packages.first()["path"]
+    with zipfile.ZipFile(path) as packed:
+        lines = packed.read(warc.INDEX).decode().split("\n")
+    assert lines == sorted(lines)
+    assert [x.split(" ")[0] for x in lines] == ["no%20url%0D%0AX:%20y", "org,example,a)/", "org,example,b)/x%20y?q%E2%80%A8"]
+    urls = {r["page_id"]: r["url"] for r in warc.read_archives(packages).collect()}
+    assert urls == {1: "http://a.example.org/", 2: "http://B.Example.org/x%20y?q%E2%80%A8", 3: "no%20url%0D%0AX:%20y"}

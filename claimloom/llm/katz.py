@@ -35,7 +35,6 @@ ignored.
 
 from __future__ import annotations
 
-import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -44,6 +43,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 
@@ -59,11 +59,12 @@ BLOCK_TOKENS, BUCKET_TOKENS = 1_500_000, 2_000_000
 #: A context is dealt to buckets in parts of at most one in so many of a bucket's tokens.
 CONTEXT_SHARE = 4
 END, START, UNKNOWN = b"", -2, -1
-BLOCKS = "block long, doc_ids array<long>, held array<boolean>, lengths array<int>, words binary, tokens binary"
+#: A block is numbered by the task that made it and its place among that task's blocks.
+BLOCKS = "task int, step int, doc_ids array<long>, held array<boolean>, lengths array<int>, words binary, tokens binary"
 #: ``kind``: ``ask`` to a bucket, ``answer`` to a block, ``model`` (a bucket's part of the tables); with
 #: numbers instead of arrays ``sums``, ``split`` (a context dealt to several buckets, one bucket's share of its
 #: totals), ``wants`` (such contexts of a block) and ``totals`` (these with their totals, to a block).
-PARTS = "kind string, level int, bucket int, block long, arrays array<binary>, numbers array<double>"
+PARTS = "kind string, level int, bucket int, block int, arrays array<binary>, numbers array<double>"
 SUMS = ["tokens", "types", *(f"n{r}" for r in range(1, CUT + 2))]
 
 
@@ -101,7 +102,7 @@ def figures(kind: str, level: int, bucket: int, rows: np.ndarray) -> list[dict]:
 
 
 PART_SCHEMA = pa.schema(
-    [("kind", pa.string()), ("level", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64())]
+    [("kind", pa.string()), ("level", pa.int32()), ("bucket", pa.int32()), ("block", pa.int32())]
     + [("arrays", pa.list_(pa.binary())), ("numbers", pa.list_(pa.float64()))]
 )
 
@@ -124,17 +125,17 @@ def words_of(text: str) -> list[bytes]:
 @frees_memory
 def make_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
     schema = pa.schema(
-        [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))]
+        [("task", pa.int32()), ("step", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_()))]
         + [("lengths", pa.list_(pa.int32())), ("words", pa.binary()), ("tokens", pa.binary())]
     )
     numbers: dict[bytes, int] = {END: 0}
-    docs, held, tokens, size = [], [], [], 0
+    docs, held, tokens, size, step = [], [], [], 0, 0
+    task = TaskContext.get().partitionId()
 
     def block() -> pa.RecordBatch:
         words = zstandard.ZstdCompressor(level=1).compress(b" ".join(numbers))
-        number = int.from_bytes(os.urandom(8)) >> 1
         lengths = [len(t) for t in tokens]
-        row = [number, docs, held, lengths, words, packed(np.concatenate(tokens))]
+        row = [task, step, docs, held, lengths, words, packed(np.concatenate(tokens))]
         return pa.record_batch([pa.array([v], k.type) for v, k in zip(row, schema)], schema=schema)
 
     for batch in batches:
@@ -150,7 +151,7 @@ def make_blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Rec
                 size += len(known)
                 if size >= most:
                     yield block()
-                    numbers, docs, held, tokens, size = {END: 0}, [], [], [], 0
+                    numbers, docs, held, tokens, size, step = {END: 0}, [], [], [], 0, step + 1
     if docs:
         yield block()
 
@@ -407,10 +408,10 @@ def answer_pairs(table: pa.Table, level: int, buckets: int, last: bool) -> pa.Ta
 
 
 class Model:
-    """Count-of-counts of each level, numbers of blocks and buckets, and the tokens of a context's part."""
+    """Count-of-counts of each level, numbers of blocks' tasks and of buckets, and the tokens of a context's part."""
 
-    def __init__(self, blocks: int, buckets: int, context_tokens: int):
-        self.blocks, self.buckets, self.context_tokens, self.sums = blocks, buckets, context_tokens, {}
+    def __init__(self, tasks: int, buckets: int, context_tokens: int):
+        self.tasks, self.buckets, self.context_tokens, self.sums = tasks, buckets, context_tokens, {}
 
     def discounts(self, level: int) -> np.ndarray:
         """d_r for r from 0 to CUT (0 is not used)."""
@@ -504,9 +505,9 @@ def split_totals(parts: DataFrame, level: int) -> DataFrame:
 
 
 def with_answers(blocks: DataFrame, parts: DataFrame, model: Model, work, schema: str) -> DataFrame:
-    """Run ``work`` on each block with the answers it got, in as many tasks as there are blocks."""
-    answers = parts.where("kind in ('answer', 'totals')").repartition(model.blocks, "block")
-    own = blocks.repartition(model.blocks, "block")
+    """Run ``work`` on each block with the answers it got, mostly one block in a task."""
+    answers = parts.where("kind in ('answer', 'totals')").repartitionById(model.tasks, "block")
+    own = blocks.repartitionById(model.tasks, "block")
     return own.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(work, schema)
 
 
@@ -516,9 +517,12 @@ def learn(
     """Stored blocks, stored parts (the model's tables and the answers), and the global numbers."""
     blocks = blocks_of(docs, held, block_tokens)
     size = F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))
-    tokens, count = blocks.select(size, F.count(F.lit(1))).first()
+    tokens, count, last, most = blocks.select(size, F.count(F.lit(1)), F.max("task"), F.max("step")).first()
+    # tasks have read about the same, so these numbers leave few gaps; where they do, they are dealt round
+    width, depth = (last or 0) + 1, (most or 0) + 1
+    blocks = blocks.withColumn("block", F.col("task") + F.col("step") * F.lit(width)).drop("task", "step")
     buckets = int(max(8, (tokens or 0) // bucket_tokens))
-    model = Model(max(1, count), buckets, max(1, bucket_tokens // CONTEXT_SHARE))
+    model = Model(max(1, min(width * depth, 2 * count)), buckets, max(1, bucket_tokens // CONTEXT_SHARE))
 
     def words(table: pa.Table) -> pa.Table:
         release_memory()
@@ -535,8 +539,8 @@ def learn(
 
 
 def by_bucket(asked: DataFrame, model: Model) -> GroupedData:
-    """What is asked of each bucket, in as many tasks as there are buckets."""
-    return asked.repartition(model.buckets, "bucket").groupBy("bucket")
+    """What is asked of each bucket, a task for each."""
+    return asked.repartitionById(model.buckets, "bucket").groupBy("bucket")
 
 
 def _level(blocks: DataFrame, parts: DataFrame, model: Model, level: int, last: bool) -> DataFrame:

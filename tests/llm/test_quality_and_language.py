@@ -181,3 +181,39 @@ def test_rows_are_scored_by_trees_that_have_not_seen_them():
         assert own[row] == pytest.approx(part.score(rows[row : row + 1])[0])
     few = quality.grow(rows[:3], bad[:3], trees=5)
     assert (few.score(rows[:3], grown=True) == few.score(rows[:3])).all()
+
+
+@pytest.mark.parametrize("listed", [10, 50_000])
+def test_the_threshold_is_set_on_all_labels(spark, listed):
+    """Trees grow on a pool, but every labelled document counts for the threshold, also those beyond it."""
+    pick = np.random.default_rng(8)
+    rows = [(n, 100, 500, 0, 0, 0, *(pick.normal(size=len(quality.RULES)) + 4 * (n % 10 == 3)).tolist()) for n in range(900)]
+    counted = spark.createDataFrame(rows, quality.COUNTED)
+    labels = spark.createDataFrame([(n, int(n % 10 != 3), 0) for n in range(900)], "doc_id long, quality int, toxic int")
+    forest = quality.learn(counted, labels, 60, listed)
+    values, bad = np.array([r[6:] for r in rows]), np.arange(900) % 10 == 3
+    in_pool = np.zeros(900, bool)
+    for kind, size in ((False, 810), (True, 90)):
+        dealt = f"pmod(xxhash64(doc_id, {quality.SEED}), {1 << 20}) < {60 / size} * {1 << 20}"
+        ids = [r[0] for r in counted.where(dealt).select("doc_id").collect()]
+        in_pool[[i for i in ids if bad[i] == kind]] = True
+    assert 60 < in_pool.sum() < 240
+    grown = quality.grow(values[in_pool], bad[in_pool])
+    at = np.full(900, -1)
+    at[in_pool] = np.arange(in_pool.sum())
+    scores = grown.score(values, True, at)
+    assert forest.threshold == pytest.approx(quality.calibrate(grown, scores, bad).threshold, abs=1e-12)
+    assert np.array_equal(forest.column, grown.column)
+
+
+def test_deciding_scores_of_many_equal_ones(spark):
+    pick = np.random.default_rng(9)
+    scores = np.round(pick.uniform(0.3, 0.7, 2000), 2)
+    bad = pick.uniform(size=2000) < 0.2
+    frame = spark.createDataFrame([(bool(b), float(s)) for b, s in zip(bad, scores)], "bad boolean, score double")
+    forest = quality.grow(pick.normal(size=(9, 3)), np.arange(9) > 6, trees=3)
+    whole = quality.calibrate(forest, scores, bad).threshold
+    for listed in (1, 7, 300, 5000):
+        some, kind, lost = quality.deciding(frame, int((~bad).sum()), listed)
+        assert len(some) <= max(3, listed + 2)
+        assert quality.calibrate(forest, some, kind, quality.GOOD_LOST, lost).threshold == whole

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A key with more rows than this is spread over several tasks.
@@ -16,6 +18,8 @@ HOT_KEYS = 65_536
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: What a broadcast row takes besides its texts, and a value that is no text.
 ROW_BYTES, VALUE_BYTES = 48, 16
+#: Bits of a filter for each of its hashes, of a piece of it, and of all of it at most (8 MB), as it goes to every task.
+BITS_PER_HASH, PIECE_BITS, FILTER_BITS = 32, 32_768, 1 << 26
 
 
 def parts_of_hot(sizes: DataFrame, key: str, rows_per_task: int) -> DataFrame:
@@ -91,6 +95,69 @@ def measured_bytes(table: DataFrame) -> int:
     return table.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
+def may_have(found: Column, hashes: DataFrame, column: str) -> Column:
+    """Whether the hash ``found`` may be in ``column`` of ``hashes``, a stored frame: false only if it is not.
+
+    A bitmap of no more than ``FILTER_BITS``. The more hashes, the more others pass: then less is saved by it.
+    """
+    bits = min(FILTER_BITS, max(PIECE_BITS, 1 << (BITS_PER_HASH * hashes.count()).bit_length()))
+
+    def place(value: Column) -> tuple[Column, Column]:
+        at = F.pmod(value, F.lit(bits)).cast("bigint")
+        return F.shiftright(at, PIECE_BITS.bit_length() - 1), at % PIECE_BITS
+
+    piece, bit = place(F.col(column))
+    marks = hashes.select(piece.alias("piece"), bit.alias("bit"))
+    all_pieces = hashes.sparkSession.range(bits // PIECE_BITS)
+    marks = marks.unionByName(all_pieces.select(F.col("id").alias("piece"), F.lit(None).cast("bigint").alias("bit")))
+    pieces = marks.groupBy("piece").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    in_order = F.array_sort(F.collect_list(F.struct("piece", "bits")))["bits"]
+    piece, bit = place(found)
+    own = F.element_at(pieces.agg(in_order.alias("bitmap")).scalar(), piece.cast("int") + 1)
+    byte = F.substring(own, F.shiftright(bit, 3).cast("int") + 1, F.lit(1))
+    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (bit % 8).cast("int")) == 1
+
+
+@dataclass(frozen=True)
+class Exceptions:
+    """Keys that few rows have, too many to be broadcast, to be looked up later.
+
+    ``keys`` is stored and has one row per key with the rows ``n`` of it. Only
+    rows that may have one of its keys are shuffled for it.
+    """
+
+    keys: DataFrame
+    key: str
+    spread_by: tuple[str, ...]
+    rows_per_task: int
+
+    def may_concern(self) -> Column:
+        return may_have(F.xxhash64(self.key), self.keys.select(F.xxhash64(self.key).alias("hash")), "hash")
+
+    def table(self) -> DataFrame:
+        return self.keys.drop("n")
+
+    def looked_up(self, rows: DataFrame) -> DataFrame:
+        hot = parts_of_hot(self.keys, self.key, self.rows_per_task)
+        return salted_lookup(rows, self.table(), self.key, hot, list(self.spread_by))
+
+
+def with_exceptions(rows: DataFrame, exceptions: Sequence[Exceptions]) -> DataFrame:
+    """``rows`` with the columns of all ``exceptions``, null where the key is none of theirs.
+
+    The rows are read twice, so that those without an exception stay where they are.
+    """
+    if not exceptions:
+        return rows
+    concerned = reduce(Column.__or__, [e.may_concern() for e in exceptions])
+    few, rest = rows.where(concerned), rows.where(~concerned)
+    for e in exceptions:
+        few = e.looked_up(few)
+        kinds = {f.name: f.dataType for f in e.table().schema if f.name != e.key}
+        rest = rest.withColumns({name: F.lit(None).cast(kind) for name, kind in kinds.items()})
+    return few.unionByName(rest)
+
+
 def lookup(
     rows: DataFrame,
     table: DataFrame,

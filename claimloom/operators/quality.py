@@ -9,7 +9,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK
+from claimloom.operators.lookup import BROADCAST_BYTES, ROWS_PER_TASK, with_exceptions
 from claimloom.operators.rules import ROW, RULE_TYPES, Rule, RuleInputs
 from claimloom.sources.tables import Staging
 
@@ -144,7 +144,8 @@ def apply_rules(
         F.lit(""), *[F.when(F.col(_flag(i)), r.reason).otherwise("") for i, r in enumerate(rules)]
     )
     checked = (
-        checked.withColumns(flags)
+        with_exceptions(checked, inputs.later)
+        .withColumns(flags)
         .select(*df.columns, *flags)
         .withColumn(REASONS, reasons)
     )

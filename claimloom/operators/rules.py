@@ -21,8 +21,10 @@ from claimloom.functions.patterns import java_pattern
 from claimloom.operators.lookup import (
     BROADCAST_BYTES,
     ROWS_PER_TASK,
+    Exceptions,
     broadcast_lookup,
     lookup,
+    may_have,
     measured_bytes,
     parts_of_hot,
     salted_lookup,
@@ -63,6 +65,8 @@ class RuleInputs:
     these rows, for a load in batches. ``store`` writes a small intermediate
     frame, so that it can be measured; without it large rows are shuffled.
     Rows have a ``ROW`` column that stays the same however they are read.
+    What is too large to be broadcast is left in ``later``, to be looked up for
+    the rows of all rules at once.
     """
 
     rows: DataFrame
@@ -72,6 +76,7 @@ class RuleInputs:
     broadcast_bytes: int = BROADCAST_BYTES
     earlier: DataFrame | None = None
     store: Callable[[str, DataFrame], DataFrame] | None = None
+    later: list[Exceptions] = field(default_factory=list)
 
 
 Check = Callable[[DataFrame, Rule, RuleInputs, str], tuple[DataFrame, Column]]
@@ -139,11 +144,13 @@ def _unique(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     sizes = inputs.rows.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
     spread_by = [*inputs.order_by, ROW]
     if inputs.store:
-        # Counting needs no sort. Which row came first is only asked for keys that come twice.
-        repeated = inputs.store(f"repeated_{slot}", sizes.where("n > 1"))
-        copies = _looked_up(inputs.rows.select(name, *inputs.order_by, ROW), repeated, name, spread_by, inputs, "inner")
+        # Hashes are counted, without a sort and without moving a key. Which row came first is only asked
+        # for keys that come twice; keys that share a hash, or a bit, are told apart there.
+        hashed = inputs.rows.groupBy(F.xxhash64(name).alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+        hashes = inputs.store(f"repeated_{slot}", hashed.where("n > 1"))
+        copies = inputs.rows.where(may_have(F.xxhash64(name), hashes, "hash"))
         firsts = copies.groupBy(name).agg(first.alias(slot), F.count(F.lit(1)).alias("n"))
-        repeated = inputs.store(f"first_{slot}", firsts)
+        repeated = inputs.store(f"first_{slot}", firsts.where("n > 1"))
     else:
         repeated = inputs.rows.groupBy(name).agg(first.alias(slot), F.count(F.lit(1)).alias("n")).where("n > 1")
     found = _looked_up(df, repeated, name, spread_by, inputs)
@@ -166,14 +173,15 @@ def _unique(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     return found, later_copy | F.col(f"{slot}_again").isNotNull()
 
 
-def _looked_up(
-    df: DataFrame, keys: DataFrame, name: str, spread_by: list[str], inputs: RuleInputs, how: str = "left"
-) -> DataFrame:
-    """``df`` with the other columns of ``keys``, which also has the rows ``n`` of each key."""
+def _looked_up(df: DataFrame, keys: DataFrame, name: str, spread_by: list[str], inputs: RuleInputs) -> DataFrame:
+    """``df`` with the other columns of ``keys``, which also has the rows ``n`` of each key; or it gets them later."""
     table = keys.drop("n")
-    if inputs.store and measured_bytes(table) <= inputs.broadcast_bytes:
-        return broadcast_lookup(df, table, name, how)
-    return salted_lookup(df, table, name, parts_of_hot(keys, name, inputs.rows_per_task), spread_by, how)
+    if not inputs.store:
+        return salted_lookup(df, table, name, parts_of_hot(keys, name, inputs.rows_per_task), spread_by)
+    if measured_bytes(table) <= inputs.broadcast_bytes:
+        return broadcast_lookup(df, table, name)
+    inputs.later.append(Exceptions(keys, name, tuple(spread_by), inputs.rows_per_task))
+    return df
 
 
 def _readable(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
@@ -200,11 +208,19 @@ def _referential(df: DataFrame, rule: Rule, inputs: RuleInputs, slot: str):
     keys = inputs.references[rule.args["reference"]]
     kind = df.schema[name].dataType
     accepted = keys.select(F.col(keys.columns[0]).try_cast(kind).alias(name)).distinct()
+    spread_by = list(inputs.order_by or inputs.rows.columns)
+    if inputs.store and measured_bytes(keys) > inputs.broadcast_bytes:
+        # Keys are moved, once for each task that has them, and the rows only of those that are missing.
+        sizes = inputs.rows.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+        known = accepted.withColumnRenamed(name, "_known_key")
+        missing = sizes.join(known, F.col(name).eqNullSafe(F.col("_known_key")), "left_anti")
+        missing = inputs.store(f"missing_{slot}", missing.withColumn(slot, F.lit(True)))
+        return _looked_up(df, missing, name, spread_by, inputs), F.col(slot).isNotNull()
     found = lookup(
         df,
         accepted.withColumn(slot, F.lit(True)),
         name,
-        spread_by=inputs.order_by or inputs.rows.columns,
+        spread_by=spread_by,
         measured=keys,
         counted_on=inputs.rows,
         rows_per_task=inputs.rows_per_task,

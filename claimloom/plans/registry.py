@@ -142,11 +142,13 @@ def _build_ledger(built: Layers) -> DataFrame:
     Joined to the rows of the given table each is made of.
     """
     with _own_catalog(built) as config:
+        own = built.own()
         for day in (AS_OF - dt.timedelta(days=366), AS_OF):
             build = Build(built.spark, config, resume=True)
             for name in config.order:
                 build.made_of(f"silver.{name}", name)
-                build.keep("silver", name, partial(built.silver, name))
+                build.keep("silver", name, partial(own.silver, name))
+            own.clear()  # silver is written now
             build_gold(built.spark, config, day, build)
         listed = _listed(built, config).where("layer = 'gold'").drop("has_files", "layer")
     given = {"dim_member": "customer", "dim_provider": "supplier"}

@@ -69,9 +69,14 @@ def providers(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def claims(spark: SparkSession, folder: str) -> DataFrame:
-    # dealt out, as the extract of many files that it stands for would be
-    lineitem = spark.read.parquet(f"{folder}/lineitem.parquet").repartition("l_orderkey", "l_linenumber")
+def claims(spark: SparkSession, folder: str, dealt: bool = True, piece: int = 0, pieces: int = 1) -> DataFrame:
+    """``dealt``: to all tasks, however few the table's parts are. ``piece`` of ``pieces``: by a hash of the keys."""
+    lineitem = spark.read.parquet(f"{folder}/lineitem.parquet")
+    if pieces > 1:
+        lineitem = lineitem.where(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(pieces)) == piece)
+    if dealt:
+        # as the extract of many files that it stands for would be
+        lineitem = lineitem.repartition("l_orderkey", "l_linenumber")
     customers = (
         spark.read.parquet(f"{folder}/customer.parquet").agg(F.max("c_custkey") + 1).scalar()
     )

@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimloom.session import shuffles_freed
 from claimloom.sources import multiline
 from claimloom.sources.config import CORRUPT_LINE
 from claimloom.sources.tables import Staging
@@ -84,6 +85,7 @@ def read_extract(
     batch_ts: str,
     needed: Iterable[str] = (),
     multi_line: bool = False,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """A CSV file or folder with header, as it is, plus load metadata.
 
@@ -91,13 +93,13 @@ def read_extract(
     was written, and a line with more or fewer cells than the header is kept
     whole in ``_corrupt_line`` besides the cells it has. ``multi_line`` allows
     line breaks inside quotes; files are split all the same, and the records are
-    written below the shared folder first.
+    written below the shared folder first, to ``staging`` if its owner clears it.
     """
     header = spark.read.options(header=True, escape='"', multiLine=multi_line).csv(path).columns
     if not multi_line:
         lines = spark.read.options(**CSV_OPTIONS).schema(_schema(header)).csv(path)
         return bronze_rows(lines.select("*", "_metadata"), batch_ts, needed)
-    staging = Staging(spark, f"multi-line-{uuid4().hex}")
+    staging = staging or Staging(spark, f"multi-line-{uuid4().hex}")
     records = multiline.records_of(spark, path, staging.store)
     lines = multiline.parsed(records, header, _schema(header), CSV_OPTIONS)
     return bronze_rows(lines, batch_ts, needed, [F.col(c) for c in multiline.PLACE])
@@ -120,4 +122,5 @@ def write_lines(lines: DataFrame, path: str, header: Sequence[str]) -> None:
     lines = lines.select(F.explode(F.split(name, "\n", -1)))  # line breaks end lines as in any file
     # neither sign occurs in the lines, so nothing is quoted or escaped
     options = {"header": True, "sep": "\x01", "quote": "\x02", "emptyValue": "", "ignoreLeadingWhiteSpace": False}
-    lines.toDF(",".join(header)).write.options(**options, ignoreTrailingWhiteSpace=False).csv(path)
+    with shuffles_freed(lines.sparkSession):
+        lines.toDF(",".join(header)).write.options(**options, ignoreTrailingWhiteSpace=False).csv(path)

@@ -20,7 +20,8 @@ from claimloom.operators.quality import apply_rules
 from claimloom.plans.conform import conform
 from claimloom.sources.config import Dataset
 from claimloom.sources.extracts import ROW_ORDER, bronze_rows, row_of_extract
-from claimloom.sources.tables import Folder
+from claimloom.session import shuffles_freed
+from claimloom.sources.tables import COMPRESSION, Folder
 from claimloom.streaming.key_log import FAN, KeyLog
 
 References = Callable[[], Mapping[str, DataFrame]]
@@ -45,7 +46,8 @@ class IncrementalLoad:
 
     def _replace(self, df: DataFrame, layer: str, batch_id: int) -> DataFrame:
         path = f"{self._layer(layer)}/batch_id={batch_id}"
-        df.write.mode("overwrite").parquet(path)
+        with shuffles_freed(df.sparkSession):
+            df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def load_batch(self, lines: DataFrame, batch_id: int) -> None:

@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from claimloom.sources.tables import Folder
+from claimloom.session import shuffles_freed
+from claimloom.sources.tables import COMPRESSION, Folder
 
 #: Hash parts of a run, and bits of the bitmap of a part (one binary of 4 KB).
 PARTS, BITS = 256, 32_768
@@ -120,9 +121,10 @@ class KeyLog:
             at_most = keys.count()
         files = max(1, -(-at_most // self.file_keys))
         dealt = keys.coalesce(1) if files == 1 else keys.repartitionByRange(files, "part", self.key)
-        dealt.sortWithinPartitions("part", self.key).write.parquet(f"{path}/keys")
-        bits = self._read(name).groupBy("part").agg(F.bitmap_construct_agg(_bit(self.key)).alias("bits"))
-        bits.withColumn("run", F.lit(name)).coalesce(1).write.parquet(f"{path}/bitmaps")
+        with shuffles_freed(self.spark):
+            dealt.sortWithinPartitions("part", self.key).write.option("compression", COMPRESSION).parquet(f"{path}/keys")
+            bits = self._read(name).groupBy("part").agg(F.bitmap_construct_agg(_bit(self.key)).alias("bits"))
+            bits.withColumn("run", F.lit(name)).coalesce(1).write.parquet(f"{path}/bitmaps")
         return {"name": name, "level": level, "keys": at_most}
 
     def _clean(self) -> None:

@@ -17,7 +17,7 @@ from claimloom.session import shared_folder, shuffles_freed
 #: Versions of a table that are kept, and seconds for which an older one stays in any case.
 KEPT_VERSIONS, KEPT_SECONDS = 2, 3600.0
 MANIFESTS = "_manifests"
-#: Of the Parquet files that are written here: about two thirds of the default's bytes.
+#: Of the Parquet files that are written here.
 COMPRESSION = "zstd"
 CATALOG = (
     "database string, table string, version string, location string, rows bigint, bytes bigint, files bigint, "
